@@ -3,8 +3,9 @@
 Parquet does not enforce NOT NULL or primary keys, so a contract projects a
 frame onto the declared columns, casts each column (assignment cast: HALF_UP
 rounding, overflow raises under ANSI) and wraps NOT NULL columns in a
-``raise_error`` guard.  The guard is an ordinary expression: it costs nothing
-extra and fails the job on the first violating row, like the database would.
+``raise_error`` guard.  The guard is an ordinary filter predicate: it costs
+nothing extra and fails the job on the first violating row, like the
+database would.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _guard_not_null(c: Column, table: str, name: str) -> Column:
+def not_null_guard(c: Column, table: str, name: str) -> Column:
+    """A predicate that is TRUE for non-NULL values and raises otherwise."""
     msg = f"NOT NULL violated: {table}.{name}"
-    return F.when(c.isNull(), F.raise_error(F.lit(msg))).otherwise(c)
+    return F.when(c.isNull(), F.raise_error(F.lit(msg))).otherwise(F.lit(True))
 
 
 def apply_contract(df: DataFrame, schema: StructType, table: str = "table",
@@ -24,9 +26,13 @@ def apply_contract(df: DataFrame, schema: StructType, table: str = "table",
     """Project ``df`` onto ``schema``.
 
     ``positional=True`` maps source columns to target columns by position
-    (the extract-and-load semantics of A3); otherwise by name.
+    (the extract-and-load semantics of A3); otherwise by name.  Columns that
+    already have the declared type are passed through untouched and the NOT
+    NULL guards are a filter, so an upstream hash partitioning on a key
+    survives the contract (no re-shuffle before the next join).
     """
     src = df.columns
+    types = dict(df.dtypes)
     if positional:
         if len(src) != len(schema.fields):
             raise ValueError(f"{table}: {len(src)} columns for {len(schema.fields)} targets")
@@ -38,11 +44,18 @@ def apply_contract(df: DataFrame, schema: StructType, table: str = "table",
         pairs = [(f.name, f) for f in schema.fields]
     cols = []
     for s, f in pairs:
-        c = F.col(s).cast(f.dataType)
-        if not f.nullable:
-            c = _guard_not_null(c, table, f.name)
+        c = F.col(s)
+        if types[s] != f.dataType.simpleString():
+            c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    out = df.select(*cols)
+    guards = [not_null_guard(F.col(f.name), table, f.name) for f in schema.fields if not f.nullable]
+    if guards:
+        cond = guards[0]
+        for g in guards[1:]:
+            cond = cond & g
+        out = out.where(cond)
+    return out
 
 
 def assert_unique(df: DataFrame, keys: list[str], table: str = "table") -> DataFrame:

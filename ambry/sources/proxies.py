@@ -92,7 +92,7 @@ def src_campaign_products(t: Tables) -> DataFrame:
 def src_product_views(t: Tables) -> DataFrame:
     """View counts per product; the reference receives these as a CSV file."""
     return (t.events.where(F.col("event_type") == "view")
-            .groupBy(F.col("user_id").alias("product_id"))
+            .groupBy(F.col("user_id").cast("int").alias("product_id"))
             .agg(F.count(F.lit(1)).cast("int").alias("view_count")))
 
 
