@@ -89,3 +89,60 @@ def p13(spark, sf_dir):
     boosted = proxies.src_boosted(Tables(spark, sf_dir))
     return update_from(boosted, scores, "product_id", {"base_score": "score"},
                        "modified_at", params.AS_OF)
+
+
+# --------------------------------------------------------------------- sync
+def _orders_sync(spark, sf_dir, drop=None):
+    from ambry.plans.sync import TableMapping, sync_table
+    from ambry.sources import fixtures
+    t = Tables(spark, sf_dir)
+    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
+    return sync_table(spark, t.orders, fixtures.bronze_orders(t.orders, drop=drop), m,
+                      fixtures.audit_state(spark), params.ORDERS_AS_OF)
+
+
+@query("a1_changed_rows")
+def a1(spark, sf_dir):
+    from ambry.sources.incremental import changed_rows
+    return changed_rows(Tables(spark, sf_dir).orders, "o_orderdate", params.BRONZE_WATERMARK)
+
+
+@query("f1_page_by_ts")
+def f1(spark, sf_dir):
+    from ambry.sources.incremental import changed_rows, page
+    ch = changed_rows(Tables(spark, sf_dir).orders, "o_orderdate", params.BRONZE_WATERMARK)
+    return page(ch, ["o_orderdate", "o_orderkey"], 100, 1000)
+
+
+@query("f2_page_by_pk")
+def f2(spark, sf_dir):
+    from ambry.sources.incremental import page
+    return page(Tables(spark, sf_dir).orders, ["o_orderkey"], 2000, 1000)
+
+
+@query("p1_sync_orders")
+def p1(spark, sf_dir):
+    return _orders_sync(spark, sf_dir).target
+
+
+@query("p1_sync_orders_evolved")
+def p1e(spark, sf_dir):
+    return _orders_sync(spark, sf_dir, drop=["o_orderpriority"]).target
+
+
+@query("j6_sync_state")
+def j6(spark, sf_dir):
+    return _orders_sync(spark, sf_dir).state
+
+
+@query("p2_sync_all")
+def p2(spark, sf_dir):
+    from functools import reduce
+
+    from ambry.plans.sync import mapping_source, standard_mappings, sync_table
+    t = Tables(spark, sf_dir)
+    audits = []
+    for name, m in standard_mappings():
+        r = sync_table(spark, mapping_source(t, name, m), None, m, None, params.ORDERS_AS_OF)
+        audits.append(r.audit)
+    return reduce(lambda a, b: a.unionByName(b), audits)
