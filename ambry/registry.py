@@ -146,3 +146,70 @@ def p2(spark, sf_dir):
         r = sync_table(spark, mapping_source(t, name, m), None, m, None, params.ORDERS_AS_OF)
         audits.append(r.audit)
     return reduce(lambda a, b: a.unionByName(b), audits)
+
+
+# ------------------------------------------------------ extract, csv, publish
+PRODUCT_INFO_SQL = """
+SELECT id AS product_id, seller_id, category_id, total_stock_quantity AS stock_count,
+       CASE WHEN created_at >= TIMESTAMP_NTZ '{as_of}' - INTERVAL 7 DAYS THEN true ELSE false END,
+       TIMESTAMP_NTZ '{as_of}' AS updated_at
+FROM src_product
+WHERE approval_status_id = 1
+"""
+
+
+@query("a3_extract_product_info")
+def a3(spark, sf_dir):
+    from ambry.plans.scoring import PRODUCT_INFO
+    from ambry.sources.extract import extract_and_load
+    t = Tables(spark, sf_dir)
+    sql = PRODUCT_INFO_SQL.format(as_of=params.AS_OF.strftime("%Y-%m-%d %H:%M:%S"))
+    return extract_and_load(spark, sql, {"src_product": proxies.src_product(t)},
+                            PRODUCT_INFO, "stg.product_info")
+
+
+def view_count_csv(spark, sf_dir) -> str:
+    """Write the view counts as a CSV file set, with malformed lines made
+    from the other events, into the shared checkpoint folder."""
+    from pyspark.sql import functions as F
+
+    from ambry.session import scratch_path
+    from ambry.sources.csv_views import write_csv_lines
+    t = Tables(spark, sf_dir)
+    views = proxies.src_product_views(t)
+    # good rows in three spellings: plain, padded, quoted
+    k = F.col("product_id")
+    good = views.select(
+        F.when(k % 3 == 0, F.concat_ws(",", k.cast("string"), F.col("view_count").cast("string")))
+         .when(k % 3 == 1, F.concat(F.lit(" "), k.cast("string"), F.lit(" , "),
+                                    F.col("view_count").cast("string"), F.lit(" ")))
+         .otherwise(F.concat(F.lit('"'), k.cast("string"), F.lit('","'),
+                             F.col("view_count").cast("string"), F.lit('"'))).alias("line"))
+    other = t.events.where(F.col("event_type") != "view")
+    u, e = F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    bad = other.select(
+        F.when(F.col("event_type") == "click", F.concat_ws(",", u, e, e))        # 3 fields
+         .when(F.col("event_type") == "error", u)                               # 1 field
+         .when(F.col("event_type") == "purchase", F.concat(F.lit("x"), u, F.lit(","), e))
+         .otherwise(F.concat(u, F.lit(","), e, F.lit(".5"))).alias("line"))     # not an int
+    path = scratch_path(spark, "view-counts-csv")
+    write_csv_lines(good.unionByName(bad), path)
+    return path
+
+
+@query("a4_csv_product_views")
+def a4(spark, sf_dir):
+    from ambry.plans.scoring import product_views
+    from ambry.sources.csv_views import read_view_counts
+    return product_views(read_view_counts(spark, view_count_csv(spark, sf_dir)), params.AS_OF)
+
+
+@query("p14_publish_batches")
+def p14(spark, sf_dir):
+    from ambry.operators.state import empty_publish_state, publish_state_row
+    from ambry.plans.publish import SCORE_TABLE, publish_scores
+    state = empty_publish_state(spark).unionByName(
+        publish_state_row(spark, SCORE_TABLE.upper(), params.PUBLISH_LAST_SYNC))
+    msgs, _ = publish_scores(spark, _score_table(spark, sf_dir), state, params.AS_OF,
+                             params.PUBLISH_BATCH_SIZE)
+    return msgs

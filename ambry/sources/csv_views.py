@@ -29,12 +29,16 @@ def read_view_counts(spark: SparkSession, path: str) -> DataFrame:
     return assert_unique(ok, ["product_id"], "stg.product_views")
 
 
-def write_view_counts(df: DataFrame, path: str, extra_lines: DataFrame | None = None) -> None:
-    """Write ``product_id,view_count`` lines (plus any pre-formatted lines)."""
-    lines = df.select(F.concat_ws(",", F.col("product_id").cast("string"),
-                                  F.col("view_count").cast("string")).alias("line"))
-    if extra_lines is not None:
-        lines = lines.unionByName(extra_lines.select(F.col("line")))
-    (lines.withColumnRenamed("line", "product_id,view_count")
-     .write.mode("overwrite").option("header", "true").option("quote", "\u0000")
-     .option("escape", "\u0000").csv(path))
+def write_csv_lines(lines: DataFrame, path: str, header: str = "product_id,view_count") -> None:
+    """Write pre-formatted text lines as CSV files, each with the header."""
+    (lines.select(F.col("line").alias(header))
+     .write.mode("overwrite").option("header", "true").option("sep", "\t")
+     .option("quote", "\u0001").option("escapeQuotes", "false")
+     .option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
+
+
+def write_view_counts(df: DataFrame, path: str) -> None:
+    """Write ``product_id,view_count`` rows."""
+    write_csv_lines(df.select(F.concat_ws(",", F.col("product_id").cast("string"),
+                                          F.col("view_count").cast("string")).alias("line")), path)
