@@ -213,3 +213,34 @@ def p14(spark, sf_dir):
     msgs, _ = publish_scores(spark, _score_table(spark, sf_dir), state, params.AS_OF,
                              params.PUBLISH_BATCH_SIZE)
     return msgs
+
+
+# ---------------------------------------------------------------- warehouse
+def _wh(spark, sf_dir):
+    from ambry.plans.warehouse import Warehouse
+    return Warehouse(spark, sf_dir)
+
+
+for _dim in ("business", "store", "agent", "hub", "order", "delivery_status"):
+    QUERIES[f"s1_dim_{_dim}"] = (lambda d: lambda spark, sf_dir: _wh(spark, sf_dir).dim(d))(_dim)
+
+_WAREHOUSE_ATTRS = {
+    "s2_order_invoice_transaction": "order_invoice_transaction",
+    "s3_payment_invoice_transaction": "payment_invoice_transaction",
+    "s4_fact_order_status": "fact_order_status",
+    "s5_business_stats": "business_stats",
+    "s6_daily_orders_summary": "daily_orders_summary",
+    "s7_order_invoice": "order_invoice",
+    "s8_payment_invoice": "payment_invoice",
+    "s9_hub_performance": "hub_performance",
+    "g1_business_totals": "business_totals",
+    "g2_daily_orders_snapshot": "daily_orders_snapshot",
+    "g3_agent_report": "agent_report",
+    "g4_daily_order_invoice": "daily_order_invoice",
+    "g5_daily_payment_invoice": "daily_payment_invoice",
+    "g6_order_global_report": "order_global_report",
+    "g7_delivery_status_last_7days": "delivery_status_last_7days",
+    "g8_delivery_aging_last_7days": "delivery_aging_last_7days",
+}
+for _name, _attr in _WAREHOUSE_ATTRS.items():
+    QUERIES[_name] = (lambda a: lambda spark, sf_dir: getattr(_wh(spark, sf_dir), a))(_attr)

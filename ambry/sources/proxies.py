@@ -111,3 +111,78 @@ def algorithm_parameters(t: Tables, weights: dict | None = None) -> DataFrame:
     rows = [(k, v) for k, v in w.items()]
     return (t.spark.createDataFrame(rows, "rank_parameter string, weight_value string")
             .select("rank_parameter", F.col("weight_value").cast("decimal(10,2)")))
+
+
+# ------------------------------------------------------------ warehouse star
+def star_fact(t: Tables) -> DataFrame:
+    """Order-status fact rows on the star layout (FIXTURES.md §3 star_fact)."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    n_cust = _count(t.customer.select("c_custkey"))
+    n_supp = _count(t.supplier.select("s_suppkey"))
+    s = F.col("o_orderstatus")
+    return t.orders.select(
+        k.alias("id"),
+        F.col("o_orderdate").alias("timestamp_at"),
+        k.alias("order_id"),
+        c.alias("from_business_id"),
+        ((c * 7 + 3) % n_cust).alias("to_business_id"),
+        (k % n_supp).alias("from_store_id"),
+        ((k + 1) % n_supp).alias("to_store_id"),
+        (c % 25).cast("int").alias("pickup_hub_id"),
+        (k % 25).cast("int").alias("delivery_hub_id"),
+        F.lit(0).alias("billing_status_id"),
+        F.when(k % 10 == 0, F.lit(None)).otherwise(k % n_supp).alias("pickup_agent_id"),
+        F.when(k % 9 == 0, F.lit(None)).otherwise((k + 5) % n_supp).alias("delivery_agent_id"),
+        F.when(s == "F", 1).when(s == "O", 2).otherwise(3).alias("delivery_status_id"),
+        F.col("o_orderdate").alias("updated_at"),
+    )
+
+
+def _dim_ts(key: str) -> F.Column:
+    return ts_lit(params.DIM_EPOCH) + F.make_dt_interval(F.col(key).cast("int"))
+
+
+def dim_business(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_custkey").alias("business_id"),
+                             F.col("c_name").alias("business_name"),
+                             _dim_ts("c_custkey").alias("updated_at"))
+
+
+def dim_store(t: Tables) -> DataFrame:
+    return t.supplier.select(F.col("s_suppkey").alias("store_id"),
+                             F.col("s_name").alias("store_name"),
+                             F.col("s_nationkey").alias("hub_id"),
+                             _dim_ts("s_suppkey").alias("updated_at"))
+
+
+def dim_agent(t: Tables) -> DataFrame:
+    return t.supplier.select(F.col("s_suppkey").alias("agent_id"),
+                             F.col("s_name").alias("agent_name"),
+                             F.col("s_nationkey").alias("hub_id"),
+                             _dim_ts("s_suppkey").alias("updated_at"))
+
+
+def dim_hub(t: Tables) -> DataFrame:
+    return t.nation.select(F.col("n_nationkey").alias("hub_id"),
+                           F.col("n_name").alias("hub_name"),
+                           F.col("n_regionkey").alias("region_id"),
+                           _dim_ts("n_nationkey").alias("updated_at"))
+
+
+def dim_order(t: Tables) -> DataFrame:
+    return t.orders.select(F.col("o_orderkey").alias("order_id"),
+                           F.col("o_orderdate").alias("created_at"),
+                           F.col("o_custkey").alias("customer_id"),
+                           F.col("o_orderpriority").alias("priority"),
+                           F.col("o_orderdate").alias("updated_at"))
+
+
+# ---------------------------------------------------------------- fixed values
+# Delivery status reference rows (id, name).
+DELIVERY_STATUSES = [(1, "Delivered"), (2, "In transit"), (3, "Pending")]
+# ------------------------------------------------------------ end fixed values
+
+
+def delivery_status(t: Tables) -> DataFrame:
+    return (t.spark.createDataFrame(DELIVERY_STATUSES, "delivery_status_id INT, delivery_status_name STRING")
+            .withColumn("updated_at", ts_lit(params.DIM_EPOCH)))
