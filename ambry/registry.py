@@ -244,3 +244,27 @@ _WAREHOUSE_ATTRS = {
 }
 for _name, _attr in _WAREHOUSE_ATTRS.items():
     QUERIES[_name] = (lambda a: lambda spark, sf_dir: getattr(_wh(spark, sf_dir), a))(_attr)
+
+
+# ---------------------------------------------------------------- streaming
+@query("st1_stream_sync_orders")
+def st1(spark, sf_dir):
+    """Orders changed since the bronze watermark arrive as several Parquet
+    files; the stream upserts them batch by batch into the bronze fixture."""
+    from pyspark.sql import functions as F
+
+    from ambry.plans.sync import TableMapping
+    from ambry.session import scratch_path
+    from ambry.sources import fixtures
+    from ambry.sources.incremental import changed_rows
+    from ambry.streaming.sync_stream import start_stream_sync
+    t = Tables(spark, sf_dir)
+    arrivals = scratch_path(spark, "orders-arrivals")
+    (changed_rows(t.orders, "o_orderdate", params.BRONZE_WATERMARK)
+     .repartitionByRange(3, F.col("o_orderdate")).write.parquet(arrivals))
+    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
+    s = start_stream_sync(spark, arrivals, fixtures.bronze_orders(t.orders), m,
+                          scratch_path(spark, "bronze-orders"), scratch_path(spark, "orders-stream-ckpt"),
+                          max_files_per_trigger=1)
+    s.query.awaitTermination()
+    return s.latest(spark)
