@@ -52,6 +52,16 @@ def read_watermark(state: DataFrame, keys: dict[str, str], col: str = "last_sync
     return watermark_frame(state, keys, col, default).first()[0]
 
 
+def source_metrics(source: DataFrame, ts_col: str, since: _dt.datetime) -> DataFrame:
+    """D8–D11 in one aggregate pass: max ts, max ts since the watermark,
+    row count, row count since the watermark."""
+    newer = F.col(ts_col) > ts_lit(since)
+    return source.agg(F.max(ts_col).alias("max_ts"),
+                      F.max(F.when(newer, F.col(ts_col))).alias("max_ts_since"),
+                      F.count(F.lit(1)).alias("row_count"),
+                      F.count_if(newer).alias("row_count_since"))
+
+
 def audit_row(spark: SparkSession, keys: dict[str, str], source: DataFrame, target: DataFrame,
               ts_col: str, since: _dt.datetime, as_of: _dt.datetime,
               overlap_hours: int = params.SYNC_OVERLAP_HOURS, status: str = "SUCCESS",
@@ -63,8 +73,9 @@ def audit_row(spark: SparkSession, keys: dict[str, str], source: DataFrame, targ
     subquery over the new target version.
     """
     since_c = ts_lit(since)
-    src = source.agg(F.max(ts_col).alias("last_source_max_updated"),
-                     F.count_if(F.col(ts_col) > since_c).alias("last_source_row_count"))
+    src = source_metrics(source, ts_col, since).select(
+        F.col("max_ts").alias("last_source_max_updated"),
+        F.col("row_count_since").alias("last_source_row_count"))
     tgt_n = target.where(F.col(ts_col) > since_c).select(F.count(F.lit(1))).scalar()
     synced = as_of - _dt.timedelta(hours=overlap_hours) if status == "SUCCESS" else since
     err = None if error is None else error[: params.ERROR_TEXT_LIMIT]

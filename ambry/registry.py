@@ -268,3 +268,9 @@ def st1(spark, sf_dir):
                           max_files_per_trigger=1)
     s.query.awaitTermination()
     return s.latest(spark)
+
+
+@query("d8_source_metrics")
+def d8(spark, sf_dir):
+    from ambry.operators.state import source_metrics
+    return source_metrics(Tables(spark, sf_dir).lineitem, "l_shipdate", params.BRONZE_WATERMARK)

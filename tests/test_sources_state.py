@@ -89,3 +89,15 @@ def test_type_mapping():
     assert spark_type({"data_type": "numeric"}) == DecimalType(38, 18)
     assert spark_type({"data_type": "timestamp without time zone"}).simpleString() == "timestamp_ntz"
     assert struct_field({"column_name": "j", "data_type": "jsonb", "is_nullable": "NO"}).metadata == {"json": True}
+
+
+def test_sinks_observe_counts(spark):
+    from ambry.operators.sinks import append_rows, replace_table
+    d = tempfile.mkdtemp(prefix="ambry-sink-")
+    df = spark.createDataFrame([(1, W), (2, W + dt.timedelta(days=1))], "id int, ts timestamp_ntz")
+    m = append_rows(df, f"{d}/t", "ts")
+    assert m["rows"] == 2 and m["max_ts"] == W + dt.timedelta(days=1)
+    append_rows(df, f"{d}/t")
+    assert spark.read.parquet(f"{d}/t").count() == 4
+    assert replace_table(df.limit(1), f"{d}/t")["rows"] == 1
+    assert spark.read.parquet(f"{d}/t").count() == 1
