@@ -22,14 +22,17 @@ def not_null_guard(c: Column, table: str, name: str) -> Column:
 
 
 def apply_contract(df: DataFrame, schema: StructType, table: str = "table",
-                   positional: bool = False) -> DataFrame:
+                   positional: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
     """Project ``df`` onto ``schema``.
 
     ``positional=True`` maps source columns to target columns by position
     (the extract-and-load semantics of A3); otherwise by name.  Columns that
-    already have the declared type are passed through untouched and the NOT
-    NULL guards are a filter, so an upstream hash partitioning on a key
-    survives the contract (no re-shuffle before the next join).
+    already have the declared type are passed through untouched.  NOT NULL
+    guards of ``keys`` are a filter, so an upstream hash partitioning on the
+    key survives the contract (no re-shuffle before the next join); other
+    columns are guarded inside the projection, so a computed value is never
+    evaluated twice (a filter would be pushed below the projection and
+    recompute it).
     """
     src = df.columns
     types = dict(df.dtypes)
@@ -47,9 +50,12 @@ def apply_contract(df: DataFrame, schema: StructType, table: str = "table",
         c = F.col(s)
         if types[s] != f.dataType.simpleString():
             c = c.cast(f.dataType)
+        if not f.nullable and f.name not in keys:
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"NOT NULL violated: {table}.{f.name}"))).otherwise(c)
         cols.append(c.alias(f.name))
     out = df.select(*cols)
-    guards = [not_null_guard(F.col(f.name), table, f.name) for f in schema.fields if not f.nullable]
+    guards = [not_null_guard(F.col(f.name), table, f.name) for f in schema.fields
+              if not f.nullable and f.name in keys]
     if guards:
         cond = guards[0]
         for g in guards[1:]:
