@@ -48,6 +48,7 @@ PUBLISH_BATCH_SIZE = 100                     # rows per published message
 PUBLISH_LAST_SYNC = _dt.datetime(2001, 11, 4, 12)  # publish watermark fixture
 OLD_SCORE_TS = _dt.datetime(2001, 11, 4, 9)  # updated_at of the existing scores
 DIM_EPOCH = _dt.datetime(2001, 1, 1)         # dims: ts = epoch + key days
+BRONZE_KEY_RANGE = 1000                      # keys per partition of a ranged bronze table
 
 # Weight table of the scoring job (decimal(10,2)), FIXTURES.md §3.
 WEIGHTS = {

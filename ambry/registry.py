@@ -274,3 +274,21 @@ def st1(spark, sf_dir):
 def d8(spark, sf_dir):
     from ambry.operators.state import source_metrics
     return source_metrics(Tables(spark, sf_dir).lineitem, "l_shipdate", params.BRONZE_WATERMARK)
+
+
+@query("p1_sync_orders_ranges")
+def p1r(spark, sf_dir):
+    """The P1 sync applied in place to a key-range partitioned bronze table."""
+    from ambry.operators.ranges import RANGE_COL, upsert_touched_ranges, write_ranged
+    from ambry.operators.state import read_watermark
+    from ambry.session import scratch_path
+    from ambry.sources import fixtures
+    from ambry.sources.incremental import changed_rows
+    t = Tables(spark, sf_dir)
+    path = scratch_path(spark, "bronze-orders-ranged")
+    write_ranged(fixtures.bronze_orders(t.orders), path, "o_orderkey", params.BRONZE_KEY_RANGE)
+    since = read_watermark(fixtures.audit_state(spark),
+                           {"target_db_name": "dw", "target_schema": "bronze", "target_table": "orders"})
+    upsert_touched_ranges(spark, path, changed_rows(t.orders, "o_orderdate", since),
+                          "o_orderkey", "o_orderdate", params.BRONZE_KEY_RANGE)
+    return spark.read.parquet(path).drop(RANGE_COL)

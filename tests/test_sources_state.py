@@ -101,3 +101,26 @@ def test_sinks_observe_counts(spark):
     assert spark.read.parquet(f"{d}/t").count() == 4
     assert replace_table(df.limit(1), f"{d}/t")["rows"] == 1
     assert spark.read.parquet(f"{d}/t").count() == 1
+
+
+def test_upsert_touched_ranges_rewrites_only_touched(spark):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from ambry.operators.ranges import RANGE_COL, upsert_touched_ranges, write_ranged
+    d = tempfile.mkdtemp(prefix="ambry-ranged-")
+    base = spark.range(5000).select(F.col("id").alias("k"), F.lit("a").alias("v"),
+                                    F.lit(W).cast("timestamp_ntz").alias("ts"))
+    write_ranged(base, d, "k", 1000)
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{d}/{RANGE_COL}=*/*.parquet")}
+    batch = spark.createDataFrame([(1500, "b", W + dt.timedelta(days=1)), (7000, "new", W)],
+                                  "k long, v string, ts timestamp_ntz")
+    upsert_touched_ranges(spark, d, batch, "k", "ts", 1000)
+    out = spark.read.parquet(d)
+    assert out.count() == 5001
+    assert {r["k"]: r["v"] for r in out.where(F.col("k").isin(1500, 7000, 1501)).collect()} == \
+        {1500: "b", 7000: "new", 1501: "a"}
+    after = {p: os.path.getmtime(p) for p in glob.glob(f"{d}/{RANGE_COL}=*/*.parquet")}
+    untouched = [p for p in before if f"{RANGE_COL}=1/" not in p]
+    assert untouched and all(after.get(p) == before[p] for p in untouched)
