@@ -92,6 +92,23 @@ def audit_row(spark: SparkSession, keys: dict[str, str], source: DataFrame, targ
         ts_lit(as_of).alias("updated_at"))
 
 
+def mark_status(spark: SparkSession, state: DataFrame, keys: dict[str, str], status: str,
+                as_of: _dt.datetime, error: str | None = None) -> DataFrame:
+    """I6 for RUNNING / FAILED: only ``status``, ``last_error`` and
+    ``updated_at`` change; the watermark and counts of the row are kept (a
+    missing row is created with the default watermark)."""
+    err = F.lit(None if error is None else error[: params.ERROR_TEXT_LIMIT]).cast("string")
+    hit = _key_match(keys)
+    existing = state.where(hit)
+    new_vals = {"status": F.lit(status), "last_error": err, "updated_at": ts_lit(as_of)}
+    changed = existing.withColumns(new_vals)
+    fresh = spark.createDataFrame(
+        [(keys["target_db_name"], keys["target_schema"], keys["target_table"],
+          params.DEFAULT_WATERMARK, None, 0, 0, None, None, None)], AUDIT_SCHEMA).withColumns(new_vals)
+    missing = existing.select(F.count(F.lit(1))).scalar() == 0
+    return state.where(~hit).unionByName(changed).unionByName(fresh.where(missing))
+
+
 def _norm_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumns({f"__k_{k}": F.lower(F.col(k)) for k in keys})
 

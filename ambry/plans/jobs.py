@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ambry import params
 from ambry.operators.batching import write_messages
-from ambry.operators.state import empty_audit, empty_publish_state
+from ambry.operators.state import empty_audit, empty_publish_state, mark_status
 from ambry.operators.upsert import conditional_upsert, update_from
 from ambry.operators.versioned import read_version, version_path, write_version
 from ambry.plans import scoring
@@ -87,9 +87,15 @@ def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, stor
     tname = f"{mapping.target_schema}.{mapping.target_table}"
     target = _previous(spark, store, tname, run_id, initial_target)
     state = _previous(spark, store, "_audit", run_id, initial_state) or empty_audit(spark)
-    res = sync_table(spark, source, target, mapping, state, as_of)
-    tpath = write_version(res.target, f"{store}/{tname}", run_id, sort_by=[mapping.ts_column])
-    spath = write_version(res.state, f"{store}/_audit", run_id)
+    try:
+        res = sync_table(spark, source, target, mapping, state, as_of)
+        tpath = write_version(res.target, f"{store}/{tname}", run_id, sort_by=[mapping.ts_column])
+        spath = write_version(res.state, f"{store}/_audit", run_id)
+    except Exception as e:
+        # FAILED keeps the previous watermark, so the next run re-reads the rows
+        failed = mark_status(spark, state, mapping.state_keys(), "FAILED", as_of, str(e))
+        write_version(failed, f"{store}/_audit", run_id)
+        raise
     return tpath, spath
 
 
