@@ -23,6 +23,22 @@ BASE_CONF = {
 }
 
 
+# Starting point for a large cluster (~1000 executors, ~100 TB inputs): many
+# initial shuffle partitions that AQE coalesces to ~256 MB each, larger scan
+# splits, and skew splitting for joins.  Tune per workload.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "ambry",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
