@@ -46,10 +46,18 @@ def watermark_frame(state: DataFrame, keys: dict[str, str], col: str,
         F.coalesce(F.max(col), ts_lit(default)).alias(col))
 
 
-def read_watermark(state: DataFrame, keys: dict[str, str], col: str = "last_synced_at",
+def read_watermark(state: DataFrame | None, keys: dict[str, str], col: str = "last_synced_at",
                    default: _dt.datetime = params.DEFAULT_WATERMARK) -> _dt.datetime:
-    """The watermark as a driver value (one row), to become a scan literal."""
-    return watermark_frame(state, keys, col, default).first()[0]
+    """The watermark as a driver value, to become a scan literal.
+
+    The state is keyed, so at most one row matches; it is fetched directly
+    (one narrow scan of a tiny table, no aggregate job).  No state at all
+    means the default without running anything.
+    """
+    if state is None:
+        return default
+    vals = [r[0] for r in state.where(_key_match(keys)).select(col).collect() if r[0] is not None]
+    return max(vals) if vals else default
 
 
 def source_metrics(source: DataFrame, ts_col: str, since: _dt.datetime) -> DataFrame:
