@@ -100,3 +100,12 @@ def test_deal_bowl_inclusive_end_and_distinct(spark):
                                    (3, AS_OF - dt.timedelta(days=9), AS_OF - dt.timedelta(days=1))],
                                   "id int, start_date timestamp_ntz, end_date timestamp_ntz")
     assert [r[0] for r in scoring.deal_bowl(cp, camps, AS_OF).collect()] == [5]
+
+
+def test_customer_review_integer_rating_divides_like_integers(spark):
+    src = spark.createDataFrame([(1, 4, True), (1, 5, True), (1, 1, False), (2, 3, None)],
+                                "product_id long, rating int, is_accepted boolean")
+    out = [tuple(r)[:2] for r in scoring.customer_review(src, AS_OF, integer_rating=True).collect()]
+    assert out == [(1, Decimal("4.00"))]          # (4 + 5) div 2 = 4; rejected and NULL dropped
+    dec = src.withColumn("rating", F.col("rating").cast("decimal(10,2)"))
+    assert [tuple(r)[:2] for r in scoring.customer_review(dec, AS_OF).collect()] == [(1, Decimal("4.50"))]

@@ -153,3 +153,13 @@ def test_failed_sync_run_writes_failed_state(spark):
         run_sync(spark, bad, m, d, 0, W)
     st = spark.read.parquet(f"{d}/_audit/v000000").collect()
     assert st[0]["status"] == "FAILED" and "boom" in st[0]["last_error"]
+
+
+def test_arrays_become_json_only_for_json_targets(spark):
+    from pyspark.sql.types import ArrayType
+    src = spark.createDataFrame([(1, [1, 2], [3])], "id int, tags array<int>, raw array<int>")
+    target = StructType([StructField("id", IntegerType()),
+                         StructField("tags", StringType(), True, {"json": True}),
+                         StructField("raw", ArrayType(IntegerType()))])
+    r = align_to_target(src, target).collect()[0]
+    assert r["tags"] == "[1,2]" and r["raw"] == [3]
