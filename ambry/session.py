@@ -60,20 +60,25 @@ def build_session(master: str | None = None, app: str = "ambry",
     return spark
 
 
+_FALLBACK_DIRS: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    folder when it is unset (local tests).
+    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
+    (local tests) a folder of our own is created once per SparkContext and
+    registered as the RDD checkpoint directory.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="ambry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        d = _FALLBACK_DIRS.get(id(sc))
+        if d is None:
+            d = tempfile.mkdtemp(prefix="ambry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+            _FALLBACK_DIRS[id(sc)] = d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
