@@ -74,3 +74,14 @@ def test_warehouse_runs_converge_to_full_recompute(spark):
         assert sorted(map(tuple, got.select(*exp.columns).collect())) == sorted(map(tuple, exp.collect())), name
     st = spark.read.parquet(out["_silver_state"]).collect()
     assert len(st) == 8 and all(r["last_synced_at"] == params.ORDERS_AS_OF - dt.timedelta(hours=6) for r in st)
+
+
+def test_cli_sync_and_score(spark):
+    from ambry.cli import main
+    store = tempfile.mkdtemp(prefix="ambry-cli-")
+    out = main(["sync", "--sf-dir", SF, "--store", store, "--run-id", "0", "--as-of", "2001-08-02T00:00:00",
+                "--tables", "orders,nation"])
+    assert set(out) == {"orders", "nation"}
+    assert spark.read.parquet(out["orders"][0]).count() == Tables(spark, SF).orders.count()
+    out = main(["score", "--sf-dir", SF, "--store", store, "--run-id", "0"])
+    assert spark.read.parquet(out["product_score"]).count() > 0
