@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ambry import params
 from ambry.functions import ts_lit
-from ambry.operators.upsert import upsert
 
 AUDIT_SCHEMA = ("target_db_name STRING, target_schema STRING, target_table STRING, "
                 "last_synced_at TIMESTAMP_NTZ, last_source_max_updated TIMESTAMP_NTZ, "
@@ -117,15 +116,19 @@ def mark_status(spark: SparkSession, state: DataFrame, keys: dict[str, str], sta
     return state.where(~hit).unionByName(changed).unionByName(fresh.where(missing))
 
 
-def _norm_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumns({f"__k_{k}": F.lower(F.col(k)) for k in keys})
-
-
 def upsert_state(state: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Key-value upsert of state rows, keys case-insensitive."""
-    nk = [f"__k_{k}" for k in keys]
-    merged = upsert(_norm_keys(state, keys), _norm_keys(rows.select(*state.columns), keys), nk)
-    return merged.drop(*nk)
+    """Key-value upsert of state rows, keys case-insensitive.
+
+    One grouped aggregate over ``state ∪ rows`` keyed by the lower-cased
+    keys, preferring the new row: no join (the new rows' keys are often
+    literals, which would turn a join into a nested loop).
+    """
+    tagged = (state.withColumn("__new", F.lit(0))
+              .unionByName(rows.select(*state.columns).withColumn("__new", F.lit(1))))
+    nk = [F.lower(F.col(k)).alias(f"__k_{k}") for k in keys]
+    picked = tagged.groupBy(*nk).agg(
+        F.max_by(F.struct(*[F.col(c) for c in state.columns]), F.col("__new")).alias("__row"))
+    return picked.select(*[F.col(f"__row.{c}").alias(c) for c in state.columns])
 
 
 def publish_state_row(spark: SparkSession, table_name: str, last_sync_at: _dt.datetime) -> DataFrame:

@@ -51,6 +51,21 @@ def test_query_matches_oracle(spark, con, name):
     a = Counter(tuple(_norm(r[i]) for i in si) for r in df.collect())
     b = Counter(tuple(_norm(r[i]) for i in oi) for r in cur.fetchall())
     assert a == b
+    _check_plan(name, df)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas")
+
+
+def _check_plan(name, df):
+    """No cross/nested-loop joins, no Python in the plan, and no window
+    except the per-partition offsets of the row index (one row per partition)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [k for k in FORBIDDEN if k in plan], name
+    for line in plan.splitlines():
+        if "Window [" in line:
+            assert "__part" in line, (name, line)
 
 
 def _plan(df):
