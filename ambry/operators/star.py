@@ -2,13 +2,17 @@
 
 One dimension table can serve several foreign keys of the fact (business as
 sender and receiver, hub as pickup and delivery, ...).  Each role is joined
-with its own aliased projection of the dimension, carrying only the key and
-the attributes asked for, renamed with the role prefix.  Nullable links are
-LEFT joins; the others are INNER.
-
-No side is forced to broadcast unless the caller marks the dimension as a
-bounded reference table; AQE switches a join to broadcast when the measured
-dimension is under the threshold and keeps a shuffled join otherwise.
+with its own projection of the dimension, carrying only the key (renamed to
+the fact's key column) and the attributes asked for, renamed with the role
+prefix.  Nullable links are LEFT joins; the others are INNER.
+
+Foreign keys are where hot keys live (one business with a third of all
+orders).  All role keys are counted in ONE pass over the fact
+(``hot_role_keys``), and every role join is a ``skew_safe_join``: hot keys
+join a broadcast of their (unique) dimension rows in place, NULL links skip
+the join, the rest is an ordinary join that AQE turns into a broadcast when
+the measured dimension is small.  Only dimensions the caller marks as
+bounded reference tables are broadcast up front.
 """
 
 from __future__ import annotations
@@ -18,6 +22,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ambry import params
+from ambry.operators.materialize import materialize
+from ambry.operators.skew import BUCKETS, hot_role_keys, skew_safe_join
+
 
 @dataclass(frozen=True)
 class Role:
@@ -29,14 +37,24 @@ class Role:
 
 
 def star_join(fact: DataFrame, dims: dict[str, DataFrame], roles: list[Role],
-              bounded: frozenset[str] = frozenset()) -> DataFrame:
+              bounded: frozenset[str] = frozenset(), min_rows: int | None = None) -> DataFrame:
+    keys = [r.fact_key for r in roles if r.dim not in bounded]
+    hot = None
+    if keys:
+        # written once (it is small and bounded) so the nine role joins read
+        # a tiny table instead of each carrying the fact's lineage
+        hot = materialize(hot_role_keys(fact.select(*keys), keys, min_rows or params.HOT_KEY_ROWS),
+                          "hot-role-keys")
     out = fact
-    for i, r in enumerate(roles):
-        k = f"__k{i}"
-        d = dims[r.dim].select(F.col(r.dim_key).alias(k),
+    for r in roles:
+        kt = fact.schema[r.fact_key].dataType
+        d = dims[r.dim].select(F.col(r.dim_key).cast(kt).alias(r.fact_key),
                                *[F.col(c).alias(o) for c, o in r.attrs.items()])
+        how = "left" if r.nullable else "inner"
         if r.dim in bounded:
-            d = F.broadcast(d)
-        out = (out.join(d, F.col(r.fact_key) == F.col(k), "left" if r.nullable else "inner")
-               .drop(k))
+            out = out.join(F.broadcast(d), r.fact_key, how)
+        else:
+            role_hot = (hot.where(F.col("role") == r.fact_key)
+                        .select(F.col("key").cast(kt).alias(r.fact_key), BUCKETS))
+            out = skew_safe_join(out, d, [r.fact_key], how, hot=role_hot)
     return out

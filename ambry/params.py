@@ -37,6 +37,13 @@ SYNC_OVERLAP_HOURS = 6               # bronze watermark = run time - 6 h
 ERROR_TEXT_LIMIT = 1000              # audit row error text is cut here
 # ------------------------------------------------------------ end fixed values
 
+# A key with at least this many rows on the many side of a join is "hot":
+# its rows are joined against a broadcast of its (unique) partner rows
+# instead of being shuffled into one task (ambry.operators.skew).
+HOT_KEY_ROWS = 1_000_000
+# Buckets over which rows with a NULL join key are spread (they never match).
+NULL_KEY_BUCKETS = 64
+
 # Test-fixture parameters (FIXTURES.md §3); all jobs take them as arguments.
 AS_OF = _dt.datetime(2001, 11, 5)            # scoring "now"
 ORDER_WINDOW_DAYS = 90                       # window on the test data

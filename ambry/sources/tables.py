@@ -20,13 +20,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Tables:
-    """Attribute access to the tables of one scale-factor folder."""
+    """Attribute access to the tables of one scale-factor folder.
+
+    Each table is opened once per instance (one file listing and footer
+    read), and every use shares the same relation.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._open: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return read_table(self.spark, self.sf_dir, name)
+            if name not in self._open:
+                self._open[name] = read_table(self.spark, self.sf_dir, name)
+            return self._open[name]
         raise AttributeError(name)
