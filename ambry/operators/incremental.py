@@ -10,8 +10,9 @@ replacing those keys in the previous result:
 
 Both joins have the touched-key set on one side; AQE broadcasts it once it
 has measured it, so neither the full source nor the previous result is
-shuffled when few keys changed.  The aggregate keeps partial aggregation, so
-a hot key (a third of all rows) is combined map-side.
+shuffled when few keys changed.  The semi join over the source is salted for
+hot keys (``skew.skew_safe_join``) and the aggregate keeps partial
+aggregation, so a key with a third of all rows never lands in one task.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ambry.functions import ts_lit
+from ambry.operators.skew import skew_safe_join
 
 
 def touched_keys(keyed: DataFrame, keys: list[str], ts_col: str, wm: _dt.datetime) -> DataFrame:
@@ -33,7 +35,10 @@ def refresh_touched(previous: DataFrame, keyed: DataFrame, keys: list[str], ts_c
                     wm: _dt.datetime, aggregate: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``keyed`` is the source with its key columns already computed."""
     touched = touched_keys(keyed, keys, ts_col, wm)
-    refreshed = aggregate(keyed.join(touched, keys, "left_semi"))
+    # a hot key (one day holding a third of the rows) must not make the
+    # semi join a single task; ``touched`` is unique per key
+    refreshed = aggregate(skew_safe_join(keyed, touched, keys, "left_semi",
+                                         key_source=keyed.select(*keys)))
     kept = previous.join(touched, keys, "left_anti")
     return kept.unionByName(refreshed.select(*previous.columns))
 
