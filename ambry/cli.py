@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--as-of", type=_ts, default=None, help="run time (ISO), default per job")
     ap.add_argument("--tables", default=None, help="sync: comma-separated mapping names")
     ap.add_argument("--batch-size", type=int, default=params.PUBLISH_BATCH_SIZE)
+    ap.add_argument("--parallelism", type=int, default=4, help="sync: tables synced at once")
     ap.add_argument("--master", default=None, help="only for local use; spark-submit sets it")
     a = ap.parse_args(argv)
 
@@ -49,10 +50,10 @@ def main(argv: list[str] | None = None) -> dict:
     elif a.job == "sync":
         t = Tables(spark, a.sf_dir)
         wanted = set(a.tables.split(",")) if a.tables else None
-        for name, m in standard_mappings():
-            if wanted is None or name in wanted:
-                out[name] = jobs.run_sync(spark, mapping_source(t, name, m), m, f"{a.store}/{name}",
-                                          a.run_id, a.as_of or params.ORDERS_AS_OF)
+        sources = {name: (mapping_source(t, name, m), m) for name, m in standard_mappings()
+                   if wanted is None or name in wanted}
+        out = jobs.run_sync_all(spark, sources, a.store, a.run_id, a.as_of or params.ORDERS_AS_OF,
+                                parallelism=a.parallelism)
     else:
         out = jobs.run_warehouse(spark, a.sf_dir, a.store, a.run_id, a.as_of or params.ORDERS_AS_OF)
     print(json.dumps(out, default=str))

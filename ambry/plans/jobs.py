@@ -99,6 +99,29 @@ def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, stor
     return tpath, spath
 
 
+def run_sync_all(spark: SparkSession, sources: dict[str, tuple[DataFrame, TableMapping]], store: str,
+                 run_id: int, as_of: _dt.datetime, parallelism: int = 4) -> dict[str, tuple[str, str]]:
+    """The independent table syncs, ``parallelism`` of them at a time.
+
+    Each sync is its own set of Spark jobs; submitting them from a few driver
+    threads lets the scheduler overlap them (small tables do not leave the
+    cluster idle while a big one finishes).  A failure in one table does not
+    stop the others; it is raised after all have finished.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(name: str):
+        df, m = sources[name]
+        return run_sync(spark, df, m, f"{store}/{name}", run_id, as_of)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        futures = {name: pool.submit(one, name) for name in sources}
+    errors = {n: f.exception() for n, f in futures.items() if f.exception() is not None}
+    if errors:
+        raise RuntimeError(f"sync failed for {sorted(errors)}: {next(iter(errors.values()))}")
+    return {n: f.result() for n, f in futures.items()}
+
+
 SILVER_STATE_SCHEMA = "target_schema STRING, target_table STRING, last_synced_at TIMESTAMP_NTZ"
 
 

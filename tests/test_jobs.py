@@ -85,3 +85,16 @@ def test_cli_sync_and_score(spark):
     assert spark.read.parquet(out["orders"][0]).count() == Tables(spark, SF).orders.count()
     out = main(["score", "--sf-dir", SF, "--store", store, "--run-id", "0"])
     assert spark.read.parquet(out["product_score"]).count() > 0
+
+
+def test_run_sync_all_parallel(spark):
+    from ambry.plans.jobs import run_sync_all
+    from ambry.plans.sync import mapping_source, standard_mappings
+    t = Tables(spark, SF)
+    store = tempfile.mkdtemp(prefix="ambry-syncall-")
+    sources = {n: (mapping_source(t, n, m), m) for n, m in standard_mappings()}
+    out = run_sync_all(spark, sources, store, 0, params.ORDERS_AS_OF, parallelism=4)
+    assert set(out) == set(sources)
+    assert spark.read.parquet(out["nation"][0]).count() == 25
+    li = t.lineitem.select("l_orderkey", "l_linenumber").distinct().count()
+    assert spark.read.parquet(out["lineitem"][0]).count() == li
