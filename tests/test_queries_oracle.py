@@ -40,9 +40,17 @@ def test_entry_runs(spark):
     assert df.columns == ["product_id", "score", "updated_at"] and df.count() > 0
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "double": "DOUBLE", "smallint": "SMALLINT"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = {c: str(t).replace(" ", "") for c, t in zip(rel.columns, rel.types)}
+    spark_types = {c: SPARK_TO_DUCK.get(t, t.upper().replace(" ", "")) for c, t in df.dtypes}
+    assert spark_types == duck_types
     cur = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
