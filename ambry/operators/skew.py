@@ -46,6 +46,13 @@ def hot_keys(keys_df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
             .select(*keys, F.ceil(F.col("__n") / F.lit(min_rows)).cast("int").alias(BUCKETS)))
 
 
+def hot_from_counts(counts: DataFrame, keys: list[str], min_rows: int,
+                    count_col: str = "__n") -> DataFrame:
+    """Hot keys from an aggregate that already counted rows per key."""
+    return (counts.where(F.col(count_col) >= min_rows)
+            .select(*keys, F.ceil(F.col(count_col) / F.lit(min_rows)).cast("int").alias(BUCKETS)))
+
+
 def hot_role_keys(df: DataFrame, key_cols: list[str], min_rows: int) -> DataFrame:
     """Hot keys of several key columns in one pass: ``(role, key, buckets)``.
 
