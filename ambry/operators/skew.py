@@ -31,6 +31,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from ambry import params
 
@@ -64,6 +65,22 @@ def hot_role_keys(df: DataFrame, key_cols: list[str], min_rows: int) -> DataFram
     return hot_keys(df.select(F.inline(pairs)), ["role", "key"], min_rows)
 
 
+def _hashable(t) -> bool:
+    if isinstance(t, (MapType, VariantType)):
+        return False
+    if isinstance(t, ArrayType):
+        return _hashable(t.elementType)
+    if isinstance(t, StructType):
+        return all(_hashable(f.dataType) for f in t.fields)
+    return True
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """Deterministic per-row hash over the hashable columns (maps cannot be hashed)."""
+    cols = [F.col(f.name) for f in df.schema.fields if _hashable(f.dataType)]
+    return F.xxhash64(*cols) if cols else F.xxhash64(F.to_json(F.struct(*df.columns)))
+
+
 def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
@@ -81,6 +98,9 @@ def skew_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
+    clash = (set(left.columns) & set(right.columns)) - set(keys)
+    if clash and how in ("inner", "left"):
+        raise ValueError(f"columns on both sides besides the keys: {sorted(clash)}")
     min_rows = min_rows or params.HOT_KEY_ROWS
     if hot is None:
         src = key_source if key_source is not None else left
@@ -97,7 +117,7 @@ def salt_sides(left: DataFrame, right: DataFrame, keys: list[str],
     """Both join inputs with the ``__salt`` column added (see module doc)."""
     hot_b = F.broadcast(hot.select(*keys, BUCKETS))      # <= rows / min_rows entries
     # left: one bucket per row (deterministic), NULL keys spread as well
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    row_hash = _row_hash(left)
     salt = (F.when(_any_null(keys), F.pmod(row_hash, F.lit(params.NULL_KEY_BUCKETS)))
             .when(F.col(BUCKETS).isNotNull(), F.pmod(row_hash, F.col(BUCKETS).cast("long")))
             .otherwise(F.lit(0)).cast("int").alias(SALT))

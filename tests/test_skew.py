@@ -111,3 +111,17 @@ def test_hot_seller_in_product_stats_and_score(spark):
         assert scores.where(F.col("score").isNull()).count() == 0
         assert scores.count() == n
     assert by_seller[0] >= n // 3 - 1
+
+
+def test_salted_join_with_map_column_and_clash_guard(spark):
+    import pytest
+
+    from ambry.operators.skew import skew_safe_join
+    left = spark.createDataFrame([(1, {"a": 1}), (1, {"b": 2}), (2, None), (None, {"c": 3})],
+                                 "k int, props map<string,int>")
+    right = spark.createDataFrame([(1, "x"), (2, "y")], "k int, name string")
+    out = skew_safe_join(left, right, ["k"], "left", min_rows=2)
+    assert sorted((r["k"] is None, r["k"], r["name"]) for r in out.collect()) == \
+        [(False, 1, "x"), (False, 1, "x"), (False, 2, "y"), (True, None, None)]
+    with pytest.raises(ValueError):
+        skew_safe_join(left, left, ["k"], "inner")
