@@ -24,7 +24,7 @@ from ambry.operators.state import empty_audit, empty_publish_state, mark_status
 from ambry.operators.upsert import conditional_upsert, update_from
 from ambry.operators.versioned import read_version, version_path, write_version
 from ambry.plans import scoring
-from ambry.plans.pipeline import ScoringRun
+from ambry.plans.scoring_run import ScoringRun
 from ambry.plans.publish import publish_scores
 from ambry.plans.sync import TableMapping, sync_table
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ambry import params
 from ambry.operators.upsert import conditional_upsert, update_from
-from ambry.plans.pipeline import ScoringRun, previous_scores
+from ambry.plans.scoring_run import ScoringRun, previous_scores
 from ambry.sources import proxies
 from ambry.sources.tables import Tables
 

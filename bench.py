@@ -37,7 +37,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(f"local[{cpus}]", app="ambry-bench", shuffle_partitions=2 * cpus,
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus))
+    spark = build_session(f"local[{cpus}]", app="ambry-bench", shuffle_partitions=partitions,
                           extra={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
     for name in HEADLINE:
