@@ -163,3 +163,22 @@ def test_arrays_become_json_only_for_json_targets(spark):
                          StructField("raw", ArrayType(IntegerType()))])
     r = align_to_target(src, target).collect()[0]
     assert r["tags"] == "[1,2]" and r["raw"] == [3]
+
+
+def test_load_mappings(tmp_path):
+    from ambry.sources.mappings import load_mappings
+    p = tmp_path / "map.xml"
+    p.write_text('<?xml version="1.0"?><sources>'
+                 '<source source_db_name="ops" source_conn_id="c1" target_db_name="dw" target_conn_id="c2">'
+                 '<table source_schema="public" source_table="orders" target_schema="bronze_ops" '
+                 'target_table="orders" pk_column="id" ts_column="updated_at"/>'
+                 '<table source_schema="public" source_table="lines" target_schema="bronze_ops" '
+                 'target_table="lines" pk_column="order_id, line_no" ts_column="updated_at"/>'
+                 '</source></sources>')
+    ms = load_mappings(str(p))
+    assert [m.target_table for m in ms] == ["orders", "lines"]
+    assert ms[1].pk == ["order_id", "line_no"] and ms[0].extra == {"source_conn_id": "c1", "target_conn_id": "c2"}
+    bad = tmp_path / "bad.xml"
+    bad.write_text('<sources><source><table source_table="x"/></source></sources>')
+    with pytest.raises(ValueError, match="missing"):
+        load_mappings(str(bad))
