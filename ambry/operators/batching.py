@@ -46,19 +46,42 @@ def global_index(df: DataFrame, order_col: str, num_ranges: int | None = None,
             .drop("__part", "__off", "__mid"))
 
 
+def _iso(c: F.Column, with_offset: bool) -> F.Column:
+    """ISO-8601 text like Python's ``isoformat()``: fraction only when non-zero."""
+    base = "yyyy-MM-dd'T'HH:mm:ss"
+    off = "xxx" if with_offset else ""
+    return (F.when(F.date_format(c, "SSSSSS") != "000000", F.date_format(c, base + ".SSSSSS" + off))
+            .otherwise(F.date_format(c, base + off)))
+
+
+def _encode(rows: DataFrame) -> list[F.Column]:
+    """Message value encoding (H15): decimals as JSON numbers, timestamps as
+    ISO text (zone-aware ones with their offset), dates as ``yyyy-MM-dd``."""
+    out = []
+    for c, t in rows.dtypes:
+        col = F.col(c)
+        if t.startswith("decimal"):
+            col = col.cast("double")
+        elif t == "timestamp_ntz":
+            col = _iso(col, with_offset=False)
+        elif t == "timestamp":
+            col = _iso(col, with_offset=True)
+        out.append(col.alias(c))
+    return out
+
+
 def message_batches(rows: DataFrame, id_col: str, batch_size: int,
                     num_ranges: int | None = None) -> DataFrame:
     """One row per message: ``batch_no, n_rows, first_id, last_id, value``.
 
     ``value`` is the JSON array of the batch's rows in id order; decimals are
-    sent as JSON numbers (the reference converts them to float).
+    sent as JSON numbers (the reference converts them to float) and
+    timestamps as ISO text.
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     payload_cols = rows.columns
-    enc = [F.col(c).cast("double").alias(c) if dict(rows.dtypes)[c].startswith("decimal")
-           else F.col(c) for c in payload_cols]
-    indexed = global_index(rows.select(*enc), id_col, num_ranges)
+    indexed = global_index(rows.select(*_encode(rows)), id_col, num_ranges)
     grouped = (indexed.withColumn("batch_no", F.floor(F.col("row_index") / batch_size).cast("long"))
                .groupBy("batch_no")
                .agg(F.count(F.lit(1)).alias("n_rows"),

@@ -75,3 +75,11 @@ def test_stream_sync_restart_processes_only_new_files(spark):
     out = s2.latest(spark)
     assert out.count() == orders.count()
     assert out.where(F.col("o_orderkey") == 0).first()["o_orderpriority"] == "changed"
+
+
+def test_message_timestamps_like_isoformat(spark):
+    rows = [(1, dt.datetime(2001, 11, 5, 0, 0), dt.date(2001, 11, 5)),
+            (2, dt.datetime(2001, 11, 5, 1, 2, 3, 450000), dt.date(2001, 1, 2))]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz, d date")
+    got = json.loads(message_batches(df, "id", 10, num_ranges=2).first()["value"])
+    assert got == [{"id": r[0], "ts": r[1].isoformat(), "d": r[2].isoformat()} for r in rows]
