@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ambry import params
-from ambry.operators.materialize import materialize
-from ambry.operators.skew import BUCKETS, hot_role_keys, skew_safe_join
+from ambry.operators.skew import BUCKETS, fetch_hot, hot_role_keys, skew_safe_join
 
 
 @dataclass(frozen=True)
@@ -41,10 +40,9 @@ def star_join(fact: DataFrame, dims: dict[str, DataFrame], roles: list[Role],
     keys = [r.fact_key for r in roles if r.dim not in bounded]
     hot = None
     if keys:
-        # written once (it is small and bounded) so the nine role joins read
-        # a tiny table instead of each carrying the fact's lineage
-        hot = materialize(hot_role_keys(fact.select(*keys), keys, min_rows or params.HOT_KEY_ROWS),
-                          "hot-role-keys")
+        # fetched once (small and bounded), so the role joins carry no copy
+        # of the fact's lineage; no hot key at all means plain joins
+        hot = fetch_hot(hot_role_keys(fact.select(*keys), keys, min_rows or params.HOT_KEY_ROWS))
     out = fact
     for r in roles:
         kt = fact.schema[r.fact_key].dataType
@@ -53,6 +51,8 @@ def star_join(fact: DataFrame, dims: dict[str, DataFrame], roles: list[Role],
         how = "left" if r.nullable else "inner"
         if r.dim in bounded:
             out = out.join(F.broadcast(d), r.fact_key, how)
+        elif hot is None:
+            out = out.join(d, r.fact_key, how)
         else:
             role_hot = (hot.where(F.col("role") == r.fact_key)
                         .select(F.col("key").cast(kt).alias(r.fact_key), BUCKETS))

@@ -125,3 +125,11 @@ def test_salted_join_with_map_column_and_clash_guard(spark):
         [(False, 1, "x"), (False, 1, "x"), (False, 2, "y"), (True, None, None)]
     with pytest.raises(ValueError):
         skew_safe_join(left, left, ["k"], "inner")
+
+
+def test_sampled_hot_key_detection(spark):
+    from ambry.operators.skew import BUCKETS, hot_keys
+    n = 300_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    got = {r["k"]: r[BUCKETS] for r in hot_keys(df, ["k"], 10_000).collect()}
+    assert list(got) == [-1] and 7 <= got[-1] <= 13          # ~100,000 rows / 10,000
