@@ -26,6 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
+from ambry.operators.schema_evolution import align_to_target, evolve_schema, evolve_table
 from ambry.operators.upsert import latest_per_key, upsert
 from ambry.session import scratch_path
 
@@ -43,22 +46,30 @@ def write_ranged(df: DataFrame, path: str, pk: str, range_size: int) -> None:
 
 
 def read_ranged(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The whole table (all ranges, widest layout) without the range column."""
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(RANGE_COL)
 
 
-def upsert_touched_ranges(spark: SparkSession, path: str, batch: DataFrame, pk: str, ts_col: str,
-                          range_size: int) -> DataFrame:
+def upsert_touched_ranges(spark: SparkSession, path: str, batch: DataFrame, pk: str | list[str],
+                          ts_col: str, range_size: int) -> DataFrame:
     """Upsert ``batch`` into the range-partitioned table at ``path``.
 
+    The range is taken on the first key column; rows are matched on all key
+    columns.  New batch columns are added (additive evolution): the touched
+    partitions are written with the wider layout and the table is read with
+    ``mergeSchema``, so untouched partitions show NULL for them.
     Returns the staged rows of the touched ranges (already written).
     """
-    current = spark.read.parquet(path)
-    cols = [c for c in current.columns if c != RANGE_COL]
-    newest = (latest_per_key(batch.select(*cols), [pk], ts_col)
-              .withColumn(RANGE_COL, key_range(pk, range_size)))
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    current = spark.read.option("mergeSchema", "true").parquet(path)
+    base = StructType([f for f in current.schema.fields if f.name != RANGE_COL])
+    schema = evolve_schema(base, batch.schema)
+    newest = (latest_per_key(align_to_target(batch, schema), keys, ts_col)
+              .withColumn(RANGE_COL, key_range(keys[0], range_size)))
     touched = [r[0] for r in newest.select(RANGE_COL).distinct().collect()]
-    old = current.where(F.col(RANGE_COL).isin(touched))
-    merged = upsert(old, newest.select(*current.columns), [pk])
+    old = evolve_table(current.where(F.col(RANGE_COL).isin(touched)).drop(RANGE_COL), schema) \
+        .withColumn(RANGE_COL, key_range(keys[0], range_size))
+    merged = upsert(old, newest.select(*old.columns), keys)
     staging = scratch_path(spark, "touched-ranges")
     merged.repartition(RANGE_COL).write.partitionBy(RANGE_COL).parquet(staging)
     staged = spark.read.parquet(staging)

@@ -98,3 +98,24 @@ def test_run_sync_all_parallel(spark):
     assert spark.read.parquet(out["nation"][0]).count() == 25
     li = t.lineitem.select("l_orderkey", "l_linenumber").distinct().count()
     assert spark.read.parquet(out["lineitem"][0]).count() == li
+
+
+def test_ranged_sync_in_slices_equals_full_load(spark):
+    from ambry.operators.ranges import read_ranged
+    from ambry.plans.jobs import run_sync_ranged
+    orders = Tables(spark, SF).orders
+    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
+    store = tempfile.mkdtemp(prefix="ambry-ranged-sync-")
+    cuts = [dt.datetime(1995, 1, 1), dt.datetime(1999, 1, 1), dt.datetime(2003, 1, 1)]
+    for i, cut in enumerate(cuts):
+        src = orders.where(F.col("o_orderdate") <= F.lit(cut.isoformat(" ")).cast("timestamp_ntz"))
+        if i == 2:   # a new source column arrives with the last slice
+            src = src.withColumn("o_channel", F.lit("web"))
+        tpath, spath = run_sync_ranged(spark, src, m, store, i, cut, key_range=100)
+    out = read_ranged(spark, tpath)
+    assert out.count() == orders.count()
+    exp = orders.withColumn("o_channel", F.when(F.col("o_orderdate") > F.lit("1998-12-31 18:00:00")
+                                                .cast("timestamp_ntz"), F.lit("web")))
+    assert _rows(out.select(*exp.columns), "o_orderkey") == _rows(exp, "o_orderkey")
+    st = spark.read.parquet(spath).collect()
+    assert len(st) == 1 and st[0]["status"] == "SUCCESS"
