@@ -2,6 +2,7 @@
 
     python -m ambry.cli score     --sf-dir DIR --store DIR --run-id N [--as-of TS]
     python -m ambry.cli sync      --sf-dir DIR --store DIR --run-id N --as-of TS [--tables orders,...]
+                                  [--key-range N]
     python -m ambry.cli warehouse --sf-dir DIR --store DIR --run-id N --as-of TS
 
 A scheduler (cron, a DAG runner) calls one of these per run with an
@@ -33,6 +34,9 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--tables", default=None, help="sync: comma-separated mapping names")
     ap.add_argument("--batch-size", type=int, default=params.PUBLISH_BATCH_SIZE)
     ap.add_argument("--parallelism", type=int, default=4, help="sync: tables synced at once")
+    ap.add_argument("--key-range", type=int, default=None,
+                    help="sync: keep targets partitioned by key ranges of this size and rewrite "
+                         "only touched ranges (default: a new full version per run)")
     ap.add_argument("--master", default=None, help="only for local use; spark-submit sets it")
     a = ap.parse_args(argv)
 
@@ -53,7 +57,7 @@ def main(argv: list[str] | None = None) -> dict:
         sources = {name: (mapping_source(t, name, m), m) for name, m in standard_mappings()
                    if wanted is None or name in wanted}
         out = jobs.run_sync_all(spark, sources, a.store, a.run_id, a.as_of or params.ORDERS_AS_OF,
-                                parallelism=a.parallelism)
+                                parallelism=a.parallelism, key_range=a.key_range)
     else:
         out = jobs.run_warehouse(spark, a.sf_dir, a.store, a.run_id, a.as_of or params.ORDERS_AS_OF)
     print(json.dumps(out, default=str))

@@ -144,7 +144,8 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
 
 
 def run_sync_all(spark: SparkSession, sources: dict[str, tuple[DataFrame, TableMapping]], store: str,
-                 run_id: int, as_of: _dt.datetime, parallelism: int = 4) -> dict[str, tuple[str, str]]:
+                 run_id: int, as_of: _dt.datetime, parallelism: int = 4,
+                 key_range: int | None = None) -> dict[str, tuple[str, str]]:
     """The independent table syncs, ``parallelism`` of them at a time.
 
     Each sync is its own set of Spark jobs; submitting them from a few driver
@@ -156,6 +157,8 @@ def run_sync_all(spark: SparkSession, sources: dict[str, tuple[DataFrame, TableM
 
     def one(name: str):
         df, m = sources[name]
+        if key_range:
+            return run_sync_ranged(spark, df, m, f"{store}/{name}", run_id, as_of, key_range)
         return run_sync(spark, df, m, f"{store}/{name}", run_id, as_of)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

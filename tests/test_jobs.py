@@ -119,3 +119,13 @@ def test_ranged_sync_in_slices_equals_full_load(spark):
     assert _rows(out.select(*exp.columns), "o_orderkey") == _rows(exp, "o_orderkey")
     st = spark.read.parquet(spath).collect()
     assert len(st) == 1 and st[0]["status"] == "SUCCESS"
+
+
+def test_cli_sync_ranged(spark):
+    from ambry.cli import main
+    from ambry.operators.ranges import read_ranged
+    store = tempfile.mkdtemp(prefix="ambry-cli-ranged-")
+    for run in ("0", "1"):
+        out = main(["sync", "--sf-dir", SF, "--store", store, "--run-id", run, "--as-of", "2001-08-02T00:00:00",
+                    "--tables", "orders", "--key-range", "500"])
+    assert read_ranged(spark, out["orders"][0]).count() == Tables(spark, SF).orders.count()
