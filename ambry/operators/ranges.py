@@ -58,7 +58,8 @@ def upsert_touched_ranges(spark: SparkSession, path: str, batch: DataFrame, pk:
     columns.  New batch columns are added (additive evolution): the touched
     partitions are written with the wider layout and the table is read with
     ``mergeSchema``, so untouched partitions show NULL for them.
-    Returns the staged rows of the touched ranges (already written).
+    Returns the staged rows of the touched ranges (already written); an
+    empty batch changes nothing.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
     current = spark.read.option("mergeSchema", "true").parquet(path)
@@ -67,6 +68,8 @@ def upsert_touched_ranges(spark: SparkSession, path: str, batch: DataFrame, pk:
     newest = (latest_per_key(align_to_target(batch, schema), keys, ts_col)
               .withColumn(RANGE_COL, key_range(keys[0], range_size)))
     touched = [r[0] for r in newest.select(RANGE_COL).distinct().collect()]
+    if not touched:                       # empty batch: nothing to rewrite
+        return newest
     old = evolve_table(current.where(F.col(RANGE_COL).isin(touched)).drop(RANGE_COL), schema) \
         .withColumn(RANGE_COL, key_range(keys[0], range_size))
     merged = upsert(old, newest.select(*old.columns), keys)

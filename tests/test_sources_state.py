@@ -182,3 +182,14 @@ def test_load_mappings(tmp_path):
     bad.write_text('<sources><source><table source_table="x"/></source></sources>')
     with pytest.raises(ValueError, match="missing"):
         load_mappings(str(bad))
+
+
+def test_upsert_touched_ranges_empty_batch(spark):
+    from pyspark.sql import functions as F
+
+    from ambry.operators.ranges import read_ranged, upsert_touched_ranges, write_ranged
+    d = tempfile.mkdtemp(prefix="ambry-ranged-empty-")
+    base = spark.range(100).select(F.col("id").alias("k"), F.lit(W).cast("timestamp_ntz").alias("ts"))
+    write_ranged(base, d, "k", 10)
+    upsert_touched_ranges(spark, d, base.limit(0), "k", "ts", 10)
+    assert read_ranged(spark, d).count() == 100
