@@ -129,11 +129,13 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
         if exists:
             upsert_touched_ranges(spark, tpath, changed_rows(source, mapping.ts_column, since),
                                   mapping.pk, mapping.ts_column, key_range)
+            target = read_ranged(spark, tpath)
         else:
-            first = sync_table(spark, source, None, mapping, None, as_of).target
-            write_ranged(first, tpath, mapping.pk[0], key_range)
-        audit = audit_row(spark, keys, source, read_ranged(spark, tpath), mapping.ts_column,
-                          since, as_of)
+            # first load; an empty source leaves no data file, so the next run
+            # simply loads again
+            target = sync_table(spark, source, None, mapping, None, as_of).target
+            write_ranged(target, tpath, mapping.pk[0], key_range)
+        audit = audit_row(spark, keys, source, target, mapping.ts_column, since, as_of)
         spath = write_version(upsert_state(state, audit, list(audit.columns[:3])),
                               f"{store}/_audit", run_id)
     except Exception as e:

@@ -129,3 +129,14 @@ def test_cli_sync_ranged(spark):
         out = main(["sync", "--sf-dir", SF, "--store", store, "--run-id", run, "--as-of", "2001-08-02T00:00:00",
                     "--tables", "orders", "--key-range", "500"])
     assert read_ranged(spark, out["orders"][0]).count() == Tables(spark, SF).orders.count()
+
+
+def test_ranged_sync_empty_first_source(spark):
+    from ambry.operators.ranges import read_ranged
+    from ambry.plans.jobs import run_sync_ranged
+    orders = Tables(spark, SF).orders
+    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
+    store = tempfile.mkdtemp(prefix="ambry-ranged-empty-")
+    run_sync_ranged(spark, orders.limit(0), m, store, 0, params.ORDERS_AS_OF, key_range=100)
+    tpath, _ = run_sync_ranged(spark, orders, m, store, 1, params.ORDERS_AS_OF, key_range=100)
+    assert read_ranged(spark, tpath).count() == orders.count()
