@@ -1,11 +1,10 @@
 """Versioned Parquet tables: the write half of an upsert without MERGE.
 
 Spark cannot overwrite a table it is reading, so every upsert writes the new
-state as a new version folder and the caller records the version in its
-state row.  A version is written once (``errorifexists``); a retried job
-writes the same version again after removing nothing — the failed attempt's
-folder is not yet referenced by any state row, so retries use ``overwrite``
-on that unreferenced version.
+state as a new version folder and the run id (or stream batch id) names the
+version.  A version is only read by the next run, never by the run writing
+it, so a failed run is retried by writing the same version again
+(``overwrite`` of a folder nobody reads yet).
 """
 
 from __future__ import annotations
