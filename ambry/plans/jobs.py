@@ -16,11 +16,13 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ambry import params
 from ambry.operators.batching import write_messages
-from ambry.operators.state import empty_audit, empty_publish_state, mark_status
+from ambry.operators.state import (audit_row, empty_audit, empty_publish_state, mark_status,
+                                   upsert_state)
 from ambry.operators.upsert import conditional_upsert, update_from
 from ambry.operators.versioned import read_version, version_path, write_version
 from ambry.plans import scoring
@@ -90,7 +92,13 @@ def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, stor
     try:
         res = sync_table(spark, source, target, mapping, state, as_of)
         tpath = write_version(res.target, f"{store}/{tname}", run_id, sort_by=[mapping.ts_column])
-        spath = write_version(res.state, f"{store}/_audit", run_id)
+        # the audit counts the written version (a column-pruned scan), not
+        # the upsert plan again
+        written = read_version(spark, f"{store}/{tname}", run_id)
+        audit = audit_row(spark, mapping.state_keys(), source, written, mapping.ts_column,
+                          res.since, as_of)
+        new_state = upsert_state(state, audit, list(audit.columns[:3]))
+        spath = write_version(new_state, f"{store}/_audit", run_id)
     except Exception as e:
         # FAILED keeps the previous watermark, so the next run re-reads the rows
         failed = mark_status(spark, state, mapping.state_keys(), "FAILED", as_of, str(e))
@@ -110,10 +118,8 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
     ``run_sync``.  Suited to serial keys, where changes cluster in recent
     ranges.
     """
-    from pyspark.errors import AnalysisException
-
     from ambry.operators.ranges import read_ranged, upsert_touched_ranges, write_ranged
-    from ambry.operators.state import audit_row, read_watermark, upsert_state
+    from ambry.operators.state import read_watermark
     from ambry.sources.incremental import changed_rows
 
     tpath = f"{store}/{mapping.target_schema}.{mapping.target_table}"
@@ -133,8 +139,12 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
         else:
             # first load; an empty source leaves no data file, so the next run
             # simply loads again
-            target = sync_table(spark, source, None, mapping, None, as_of).target
-            write_ranged(target, tpath, mapping.pk[0], key_range)
+            write_ranged(sync_table(spark, source, None, mapping, None, as_of).target, tpath,
+                         mapping.pk[0], key_range)
+            try:
+                target = read_ranged(spark, tpath)
+            except AnalysisException:     # empty source: nothing was written
+                target = source.limit(0)
         audit = audit_row(spark, keys, source, target, mapping.ts_column, since, as_of)
         spath = write_version(upsert_state(state, audit, list(audit.columns[:3])),
                               f"{store}/_audit", run_id)
