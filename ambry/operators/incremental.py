@@ -8,11 +8,12 @@ replacing those keys in the previous result:
     refreshed = aggregate(rows whose key is touched)            (semi join)
     result    = previous minus touched keys  ∪  refreshed       (anti join)
 
-Both joins have the touched-key set on one side; AQE broadcasts it once it
-has measured it, so neither the full source nor the previous result is
-shuffled when few keys changed.  The semi join over the source is salted for
-hot keys (``skew.skew_safe_join``) and the aggregate keeps partial
-aggregation, so a key with a third of all rows never lands in one task.
+Both joins have the touched-key set on one side.  It is written once and
+counted; up to ``BROADCAST_MAX_ROWS`` keys it is broadcast, so neither the
+full source nor the previous result is shuffled.  Beyond that the semi join
+is shuffled and salted for hot keys (``skew.skew_safe_join``); the aggregate
+keeps partial aggregation, so a key with a third of all rows never lands in
+one task.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ambry import params
 from ambry.functions import ts_lit
+from ambry.operators.materialize import broadcast_if_small
 from ambry.operators.skew import skew_safe_join
 
 
@@ -34,11 +37,16 @@ def touched_keys(keyed: DataFrame, keys: list[str], ts_col: str, wm: _dt.datetim
 def refresh_touched(previous: DataFrame, keyed: DataFrame, keys: list[str], ts_col: str,
                     wm: _dt.datetime, aggregate: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``keyed`` is the source with its key columns already computed."""
-    touched = touched_keys(keyed, keys, ts_col, wm)
-    # a hot key (one day holding a third of the rows) must not make the
-    # semi join a single task; ``touched`` is unique per key
-    refreshed = aggregate(skew_safe_join(keyed, touched, keys, "left_semi",
-                                         key_source=keyed.select(*keys)))
+    touched, small = broadcast_if_small(touched_keys(keyed, keys, ts_col, wm),
+                                        params.BROADCAST_MAX_ROWS, "touched-keys")
+    if small:
+        # the source streams past the broadcast key set: no shuffle, no skew
+        rows = keyed.join(touched, keys, "left_semi")
+    else:
+        # a hot key (one day holding a third of the rows) must not make the
+        # shuffled semi join a single task; ``touched`` is unique per key
+        rows = skew_safe_join(keyed, touched, keys, "left_semi", key_source=keyed.select(*keys))
+    refreshed = aggregate(rows)
     kept = previous.join(touched, keys, "left_anti")
     return kept.unionByName(refreshed.select(*previous.columns))
 

@@ -8,6 +8,7 @@ the same points (it stores stage tables).  ``localCheckpoint`` is never used.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ambry.session import scratch_path
 
@@ -16,3 +17,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, name: str) -> tuple[DataFrame, bool]:
+    """Write ``df`` once and broadcast it when its row count is at most ``max_rows``.
+
+    For the small side of a join against a huge table (batch keys against a
+    bronze target, touched keys against a source).  Left to AQE, both shuffle
+    map stages would start together and the huge side would be shuffled
+    before the join turns into a broadcast; deciding up front from the
+    counted rows of the written copy (a proven bound) avoids that.  Beyond
+    the bound the caller keeps a shuffled join.  Returns ``(side, broadcast)``.
+    """
+    m = materialize(df, name)
+    if m.count() <= max_rows:
+        return F.broadcast(m), True
+    return m, False

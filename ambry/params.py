@@ -41,6 +41,9 @@ ERROR_TEXT_LIMIT = 1000              # audit row error text is cut here
 # its rows are joined against a broadcast of its (unique) partner rows
 # instead of being shuffled into one task (ambry.operators.skew).
 HOT_KEY_ROWS = 1_000_000
+# Largest key set (rows of one to a few narrow key columns) broadcast against
+# a huge table after an explicit count (ambry.operators.materialize).
+BROADCAST_MAX_ROWS = 5_000_000
 # Buckets over which rows with a NULL join key are spread (they never match).
 NULL_KEY_BUCKETS = 64
 

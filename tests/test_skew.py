@@ -7,6 +7,7 @@ split the skewed join partition (thresholds lowered to this data size).
 import contextlib
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from ambry import params
@@ -41,8 +42,10 @@ def conf(spark, values):
                 spark.conf.set(k, v)
 
 
-def test_hot_order_in_order_items(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast_rows", [0, params.BROADCAST_MAX_ROWS])
+def test_hot_order_in_order_items(spark, monkeypatch, broadcast_rows):
     monkeypatch.setattr(params, "HOT_KEY_ROWS", 100)
+    monkeypatch.setattr(params, "BROADCAST_MAX_ROWS", broadcast_rows)
     t = Tables(spark, SF)
     items = proxies.src_order_items(t)
     # every third item belongs to order 1 (an 'O' order, so it counts)
@@ -62,7 +65,10 @@ def test_hot_order_in_order_items(spark, monkeypatch):
       FROM i WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = i.order_id AND o.o_orderstatus = 'O')
       GROUP BY product_id""").fetchall()
     assert got == sorted((a, str(b), c) for a, b, c in exp)
-    assert "__salt" in plan            # the hot order went through the salted join
+    if broadcast_rows:   # small id set: orders and items are only streamed
+        assert "__salt" not in plan and "BroadcastHashJoin" in plan
+    else:                # shuffled fallback: the hot order goes through the salted join
+        assert "__salt" in plan
 
 
 def test_salted_buckets_are_bounded(spark):
