@@ -26,8 +26,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int, name: str) -> tuple[DataFra
     bronze target, touched keys against a source).  Left to AQE, both shuffle
     map stages would start together and the huge side would be shuffled
     before the join turns into a broadcast; deciding up front from the
-    counted rows of the written copy (a proven bound) avoids that.  Beyond
-    the bound the caller keeps a shuffled join.  Returns ``(side, broadcast)``.
+    counted rows of the written copy (a proven bound; the count reads only
+    file metadata-sized data) avoids that.  Beyond the bound the caller keeps
+    a shuffled join.  Returns ``(side, broadcast)``.
     """
     m = materialize(df, name)
     if m.count() <= max_rows:

@@ -65,8 +65,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
     and counted; when it has at most ``BROADCAST_MAX_ROWS`` rows its keys are
     broadcast, so the target is streamed through the anti join and never
     shuffled.  A larger batch takes a shuffled anti join (keys unique on both
-    sides, so no skew).  Into an empty target (a first load, found with a
-    one-row probe) the deduplicated batch is the result as it is.
+    sides, so no skew).
     """
     from ambry import params
     from ambry.operators.materialize import broadcast_if_small
@@ -75,8 +74,6 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
         batch = latest_per_key(batch, keys, ts_col)
     else:
         batch = batch.dropDuplicates(keys)
-    if target.isEmpty():                  # first load: a one-row probe, then no join at all
-        return batch.select(*target.columns)
     batch, small = broadcast_if_small(batch.select(*target.columns), params.BROADCAST_MAX_ROWS,
                                       "upsert-batch")
     batch_keys = batch.select(*keys)

@@ -26,7 +26,7 @@ from ambry import params
 from ambry.operators.schema_evolution import (align_to_target, create_target_schema, empty_table,
                                               evolve_schema, evolve_table)
 from ambry.operators.state import audit_row, empty_audit, read_watermark, upsert_state
-from ambry.operators.upsert import upsert
+from ambry.operators.upsert import latest_per_key, upsert
 from ambry.sources.incremental import changed_rows
 
 
@@ -62,7 +62,8 @@ def sync_table(spark: SparkSession, source: DataFrame, target: DataFrame | None,
     """One incremental sync of ``source`` into ``target``."""
     since = read_watermark(state, mapping.state_keys())
     state = state if state is not None else empty_audit(spark)
-    if target is None:
+    first_load = target is None
+    if first_load:
         tschema = create_target_schema(source.schema, mapping.pk)
         target = empty_table(spark, tschema)
     else:
@@ -70,7 +71,10 @@ def sync_table(spark: SparkSession, source: DataFrame, target: DataFrame | None,
         target = evolve_table(target, tschema)
     changed = changed_rows(source, mapping.ts_column, since)
     batch = align_to_target(changed, tschema)
-    new_target = upsert(target, batch, mapping.pk, mapping.ts_column)
+    if first_load:   # nothing to merge into: the newest row per key is the table
+        new_target = latest_per_key(batch, mapping.pk, mapping.ts_column)
+    else:
+        new_target = upsert(target, batch, mapping.pk, mapping.ts_column)
     audit = audit_row(spark, mapping.state_keys(), source, new_target, mapping.ts_column,
                       since, as_of, overlap_hours)
     new_state = upsert_state(state, audit, list(audit.columns[:3]))
