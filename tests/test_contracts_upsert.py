@@ -91,3 +91,19 @@ def test_update_from_touches_every_match(spark):
     src = spark.createDataFrame([(1, Decimal("5.00"))], "product_id int, score decimal(10,2)")
     out = rows(update_from(tgt, src, "product_id", {"base_score": "score"}, "modified_at", AS_OF), "product_id")
     assert out == [(1, Decimal("5.00"), AS_OF), (2, Decimal("0.00"), T0)]
+
+
+@pytest.mark.parametrize("bound", [0, 5_000_000])
+def test_upsert_streams_target_past_broadcast_keys(spark, monkeypatch, bound):
+    from ambry import params
+    monkeypatch.setattr(params, "BROADCAST_MAX_ROWS", bound)
+    target = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    batch = target.where(F.col("o_orderkey") < 50).withColumn("o_orderpriority", F.lit("x"))
+    out = upsert(target, batch, ["o_orderkey"], "o_orderdate")
+    assert out.count() == target.count()
+    assert out.where(F.col("o_orderpriority") == "x").count() == 50
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    if bound:   # counted within the bound: the target is streamed, never shuffled
+        assert "Exchange hashpartitioning(o_orderkey" not in plan
+    # beyond the bound the join is left to the planner; the written copy gives
+    # it exact sizes, so a tiny batch may still be broadcast
