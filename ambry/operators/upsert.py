@@ -112,9 +112,20 @@ def update_from(target: DataFrame, source: DataFrame, key: str, assignments: dic
     Every matched row is rewritten (even when unchanged); others untouched.
     ``source`` is unique on ``key`` (it is a primary-keyed table).
     """
+    from ambry import params
+    from ambry.operators.materialize import broadcast_if_small
+
     src_cols = sorted(set(assignments.values()))
     s = source.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__s_{c}") for c in src_cols])
-    j = target.join(s, F.col(key) == F.col("__k"), "left")
+    # The target (e.g. a curated subset) is usually far smaller than the
+    # source; a LEFT join cannot broadcast its right side, so the source is
+    # first reduced to the target's keys (counted, broadcast within the
+    # bound) and the reduced source — no larger than the key set — is then
+    # broadcast into the LEFT join.  Nothing big is shuffled.
+    tkeys, small = broadcast_if_small(target.select(F.col(key).alias("__k")).distinct(),
+                                      params.BROADCAST_MAX_ROWS, "update-keys")
+    s = s.join(tkeys, "__k", "left_semi")
+    j = target.join(F.broadcast(s) if small else s, F.col(key) == F.col("__k"), "left")
     hit = F.col("__k").isNotNull()
     out = []
     for c in target.columns:
