@@ -34,3 +34,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int, name: str) -> tuple[DataFra
     if m.count() <= max_rows:
         return F.broadcast(m), True
     return m, False
+
+
+def count_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of several frames in ONE job (a union of one-row aggregates)."""
+    from functools import reduce
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
+             for name, df in frames.items()]
+    if not parts:
+        return {}
+    return {r["name"]: r["rows"] for r in reduce(lambda a, b: a.unionByName(b), parts).collect()}

@@ -6,13 +6,16 @@ with its own projection of the dimension, carrying only the key (renamed to
 the fact's key column) and the attributes asked for, renamed with the role
 prefix.  Nullable links are LEFT joins; the others are INNER.
 
-Foreign keys are where hot keys live (one business with a third of all
-orders).  All role keys are counted in ONE pass over the fact
-(``hot_role_keys``), and every role join is a ``skew_safe_join``: hot keys
-join a broadcast of their (unique) dimension rows in place, NULL links skip
-the join, the rest is an ordinary join that AQE turns into a broadcast when
-the measured dimension is small.  Only dimensions the caller marks as
-bounded reference tables are broadcast up front.
+Each dimension, projected to the key and the attributes the roles need, is
+counted (all dimensions in one job); within ``DIM_BROADCAST_MAX_ROWS`` it is broadcast
+and the fact streams through the role join unshuffled.  Left to AQE the
+fact would be shuffle-written for every role before the join turned into a
+broadcast.  Larger dimensions take a shuffled join that is salted for hot
+foreign keys (one business with a third of all orders): the role keys of
+those joins are counted in ONE sampled pass over the fact
+(``hot_role_keys``), and hot keys meet replicas of their dimension row.
+Dimensions the caller marks as bounded reference tables are broadcast
+without counting.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ambry import params
+from ambry.operators.materialize import count_rows
 from ambry.operators.skew import BUCKETS, fetch_hot, hot_role_keys, skew_safe_join
 
 
@@ -37,19 +41,32 @@ class Role:
 
 def star_join(fact: DataFrame, dims: dict[str, DataFrame], roles: list[Role],
               bounded: frozenset[str] = frozenset(), min_rows: int | None = None) -> DataFrame:
-    keys = [r.fact_key for r in roles if r.dim not in bounded]
+    # Each dimension, projected to its key and every attribute any role
+    # needs, is counted (one job for all): within DIM_BROADCAST_MAX_ROWS it is
+    # broadcast, so the fact streams through that role join unshuffled (and
+    # no skew can arise).  Larger dimensions take a salted shuffled join.
+    needed: dict[str, set[str]] = {}
+    for r in roles:
+        needed.setdefault(r.dim, set()).update(r.attrs)
+    proj = {name: dims[name].select(next(r.dim_key for r in roles if r.dim == name), *sorted(attrs))
+            for name, attrs in needed.items()}
+    rows = count_rows({n: d for n, d in proj.items() if n not in bounded})   # one job
+    small = {n: n in bounded or rows[n] <= params.DIM_BROADCAST_MAX_ROWS for n in proj}
+
+    shuffled = [r.fact_key for r in roles if not small[r.dim]]
     hot = None
-    if keys:
+    if shuffled:
         # fetched once (small and bounded), so the role joins carry no copy
         # of the fact's lineage; no hot key at all means plain joins
-        hot = fetch_hot(hot_role_keys(fact.select(*keys), keys, min_rows or params.HOT_KEY_ROWS))
+        hot = fetch_hot(hot_role_keys(fact.select(*shuffled), shuffled,
+                                      min_rows or params.HOT_KEY_ROWS))
     out = fact
     for r in roles:
         kt = fact.schema[r.fact_key].dataType
-        d = dims[r.dim].select(F.col(r.dim_key).cast(kt).alias(r.fact_key),
+        d = proj[r.dim].select(F.col(r.dim_key).cast(kt).alias(r.fact_key),
                                *[F.col(c).alias(o) for c, o in r.attrs.items()])
         how = "left" if r.nullable else "inner"
-        if r.dim in bounded:
+        if small[r.dim]:
             out = out.join(F.broadcast(d), r.fact_key, how)
         elif hot is None:
             out = out.join(d, r.fact_key, how)

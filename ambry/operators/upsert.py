@@ -60,23 +60,20 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
     even if it is older.  Duplicate keys in the batch collapse to the newest
     row (``ts_col``) — the reference would apply them in ts order.
 
-    The deduplicated batch is written once to the shared checkpoint folder
-    (it is read twice: its keys for the anti join, its rows for the union)
-    and counted; when it has at most ``BROADCAST_MAX_ROWS`` rows its keys are
-    broadcast, so the target is streamed through the anti join and never
-    shuffled.  A larger batch takes a shuffled anti join (keys unique on both
+    The deduplicated batch is counted first; when it has at most
+    ``BROADCAST_MAX_ROWS`` rows its keys are broadcast, so the target is
+    streamed through the anti join and never shuffled.  A larger batch takes a shuffled anti join (keys unique on both
     sides, so no skew).
     """
     from ambry import params
-    from ambry.operators.materialize import broadcast_if_small
 
     if ts_col is not None:
         batch = latest_per_key(batch, keys, ts_col)
     else:
         batch = batch.dropDuplicates(keys)
-    batch, small = broadcast_if_small(batch.select(*target.columns), params.BROADCAST_MAX_ROWS,
-                                      "upsert-batch")
+    batch = batch.select(*target.columns)
     batch_keys = batch.select(*keys)
+    small = batch_keys.count() <= params.BROADCAST_MAX_ROWS       # one job: a proven bound
     kept = target.join(F.broadcast(batch_keys) if small else batch_keys, keys, "left_anti")
     return kept.unionByName(batch)
 

@@ -44,6 +44,9 @@ HOT_KEY_ROWS = 1_000_000
 # Largest key set (rows of one to a few narrow key columns) broadcast against
 # a huge table after an explicit count (ambry.operators.materialize).
 BROADCAST_MAX_ROWS = 5_000_000
+# Largest dimension (projected to its key and the attributes a star join
+# needs) broadcast into a star join after an explicit count.
+DIM_BROADCAST_MAX_ROWS = 1_000_000
 # Buckets over which rows with a NULL join key are spread (they never match).
 NULL_KEY_BUCKETS = 64
 
