@@ -7,15 +7,17 @@ plain shuffle stages, which our plans avoid on purpose (the unique side of a
 join is usually an aggregate whose partitioning is reused), so hot keys are
 salted explicitly:
 
-* hot keys are found with a partial aggregate over the key column(s): keys
-  with ``n >= min_rows`` rows.  There are at most ``rows / min_rows`` of
-  them, so broadcasting them is bounded by construction;
+* hot keys are found with a partial aggregate over a deterministic sample
+  of the key column(s): keys whose estimated count ``n`` reaches
+  ``min_rows / 2``.  There are at most about ``2 * rows / min_rows`` of
+  them, so fetching and broadcasting the list is bounded by construction;
+  with none, the ordinary join runs and nothing is salted;
 * a hot key gets ``b = ceil(n / min_rows)`` salt buckets; each left row of
   it picks a bucket from a deterministic hash of the row, so every bucket
   holds about ``min_rows`` rows;
 * the right side is unique per key (a dimension or an aggregate); its row
   for a hot key is replicated once per bucket.  The replicas total
-  ``sum(b) <= 2 * rows / min_rows`` — bounded, whatever the skew;
+  ``sum(b) <= about 3 * rows / min_rows`` — bounded, whatever the skew;
 * rows with a NULL key never match; they are spread over buckets too,
   instead of all hashing to one task;
 * the join runs on ``keys + salt``: one reference to each input, so the
