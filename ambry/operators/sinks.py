@@ -3,6 +3,11 @@
 ``observe`` attaches named aggregates to the write itself, so the row count
 (and max change timestamp) of what was written come back without a second
 scan — the reference counts before fetching with a separate query.
+
+Note (PySpark 4.1): after an ``Observation`` has been used, a later query in
+the same session that fails analysis (e.g. reading a missing path inside a
+``try``) makes the listener bus log an ERROR line; it is harmless.  Library
+internals therefore count written copies instead of observing.
 """
 
 from __future__ import annotations
