@@ -140,3 +140,11 @@ def test_ranged_sync_empty_first_source(spark):
     run_sync_ranged(spark, orders.limit(0), m, store, 0, params.ORDERS_AS_OF, key_range=100)
     tpath, _ = run_sync_ranged(spark, orders, m, store, 1, params.ORDERS_AS_OF, key_range=100)
     assert read_ranged(spark, tpath).count() == orders.count()
+
+
+def test_cli_warehouse(spark):
+    from ambry.cli import main
+    store = tempfile.mkdtemp(prefix="ambry-cli-wh-")
+    out = main(["warehouse", "--sf-dir", SF, "--store", store, "--run-id", "0", "--as-of", "2001-08-02T00:00:00"])
+    assert spark.read.parquet(out["order_global_report"]).count() == Tables(spark, SF).orders.count()
+    assert spark.read.parquet(out["_silver_state"]).count() == 8
