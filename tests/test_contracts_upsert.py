@@ -107,3 +107,14 @@ def test_upsert_streams_target_past_broadcast_keys(spark, monkeypatch, bound):
         assert any("BroadcastHashJoin" in line and "LeftAnti" in line for line in plan.splitlines())
     # beyond the bound the join is left to the planner; the written copy gives
     # it exact sizes, so a tiny batch may still be broadcast
+
+
+def test_size_check_helpers(spark):
+    from ambry.operators.materialize import broadcast_if_small, count_rows
+    a, b = spark.range(10), spark.range(1000)
+    assert count_rows({"a": a, "b": b}) == {"a": 10, "b": 1000}
+    assert count_rows({}) == {}
+    side, small = broadcast_if_small(b, 999, "t-big")
+    assert not small and side.count() == 1000
+    side, small = broadcast_if_small(a, 10, "t-small")
+    assert small and sorted(r[0] for r in side.collect()) == list(range(10))
