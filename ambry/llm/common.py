@@ -65,22 +65,41 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
         yield flush()
 
 
+def pieces(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[pa.Array]:
+    """``texts`` with null as empty, in runs of about ``size`` bytes."""
+    texts = pc.fill_null(texts, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield texts.slice(at, upto - at)
+        at = upto
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts in a row, and where each text starts (one more entry ends the last)."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    if not len(texts) or ends[0] == ends[-1]:
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    return np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]], ends - ends[0]
+
+
+def per_text(marks: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of ``marks`` over each text's positions."""
+    total = np.concatenate(([0], np.cumsum(marks, dtype=np.int64)))
+    return total[starts[1:]] - total[starts[:-1]]
+
+
 def _word_counts(texts: pa.Array) -> pa.Array:
     """Number of words ``[^\\x20\\x09-\\x0D]+`` in each text, from its bytes; 0 for null."""
     texts = pc.fill_null(texts, "")
-    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
-    first, last = (int(ends[0]), int(ends[-1])) if len(texts) else (0, 0)
-    if first == last:
-        return pa.array(np.zeros(len(texts), np.int64))
-    raw = np.frombuffer(texts.buffers()[2], np.uint8)[first:last]
+    raw, starts = text_bytes(texts)
     inside = ~((raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D)))
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
-    at = ends[:-1] - first
-    own = at[at < len(raw)]
-    opens[own] = inside[own]  # a text's first byte may open a word whatever lies before it
-    total = np.concatenate(([0], np.cumsum(opens, dtype=np.int64)))
-    return pa.array(total[ends[1:] - first] - total[at])
+    first = starts[:-1][starts[:-1] < len(raw)]
+    opens[first] = inside[first]  # a text's first byte may open a word whatever lies before it
+    return pa.array(per_text(opens, starts))
 
 
 def n_words(text: Column | str) -> Column:
