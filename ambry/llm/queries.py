@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ambry.llm import boosted_quality, hash_tree, line_index, source_mix, string_kernel
+from ambry.llm import boosted_quality, hash_tree, line_index, signature_tree, source_mix, string_kernel
 from ambry.llm.common import table
 
 
@@ -22,9 +22,13 @@ def op6_line_index_dedup(spark, sf_dir):
     return line_index.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_signature_tree_join(spark, sf_dir):
+    return signature_tree.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_boosted_quality(spark, sf_dir):
     return boosted_quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_hash_tree_shards, op6_line_index_dedup, op8_boosted_quality, op9_source_mix, op10_string_kernel_language)}
+QUERIES = {f.__name__: f for f in (op3_hash_tree_shards, op6_line_index_dedup, op7_signature_tree_join, op8_boosted_quality, op9_source_mix, op10_string_kernel_language)}
 ORACLE = {"op6_line_index_dedup": line_index.SQL, "op9_source_mix": source_mix.SQL}
