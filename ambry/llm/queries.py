@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ambry.llm import boosted_quality, hash_tree, line_index, signature_tree, source_mix, string_kernel, warc_revisit
+from ambry.llm import boosted_quality, decontaminate, hash_tree, line_index, signature_tree, source_mix, string_kernel, warc_revisit
 from ambry.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_warc_revisits(spark, sf_dir):
     return warc_revisit.revisit_report(table(spark, sf_dir, "pages"))
 
 
+def op2_simhash_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_hash_tree_shards(spark, sf_dir):
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -34,5 +38,5 @@ def op8_boosted_quality(spark, sf_dir):
     return boosted_quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op3_hash_tree_shards, op6_line_index_dedup, op7_signature_tree_join, op8_boosted_quality, op9_source_mix, op10_string_kernel_language)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_simhash_decontamination, op3_hash_tree_shards, op6_line_index_dedup, op7_signature_tree_join, op8_boosted_quality, op9_source_mix, op10_string_kernel_language)}
 ORACLE = {"op1_warc_revisits": warc_revisit.SQL, "op6_line_index_dedup": line_index.SQL, "op9_source_mix": source_mix.SQL}
