@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ambry.llm import boosted_quality, decontaminate, hash_tree, huffman_ids, line_index, signature_tree, source_mix, string_kernel, warc_revisit
+from ambry.llm import boosted_quality, decontaminate, hash_tree, huffman_ids, line_index, signature_tree, skip_chain_pii, source_mix, string_kernel, warc_revisit
 from ambry.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op4_huffman_token_ids(spark, sf_dir):
     return huffman_ids.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_skip_chain_pii(spark, sf_dir):
+    return skip_chain_pii.personal_data_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_line_index_dedup(spark, sf_dir):
     return line_index.line_digest(table(spark, sf_dir, "documents"))
 
@@ -43,5 +47,5 @@ def op8_boosted_quality(spark, sf_dir):
     return boosted_quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_simhash_decontamination, op3_hash_tree_shards, op4_huffman_token_ids, op6_line_index_dedup, op7_signature_tree_join, op8_boosted_quality, op9_source_mix, op10_string_kernel_language)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_simhash_decontamination, op3_hash_tree_shards, op4_huffman_token_ids, op5_skip_chain_pii, op6_line_index_dedup, op7_signature_tree_join, op8_boosted_quality, op9_source_mix, op10_string_kernel_language)}
 ORACLE = {"op1_warc_revisits": warc_revisit.SQL, "op6_line_index_dedup": line_index.SQL, "op9_source_mix": source_mix.SQL}
