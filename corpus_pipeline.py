@@ -1,12 +1,41 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""The corpus pipeline over ``documents``: language, near duplicates, benchmark passages, source mix, shards.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
+as Parquet and reread as the next stage's docs.  All stages but the last return
+the columns of ``documents``.
+
+Defined cases: rows without text have no language and go in the first stage;
+rows with null ids or sources, repeated rows, ties and empty tables are treated
+as the operators' docstrings say; further columns stay until the last stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ambry.llm import hash_tree, source_mix
+from ambry.llm import decontaminate, hash_tree, signature_tree, source_mix, string_kernel
 from ambry.llm.common import table, written
 
+#: Least score of a predicted language; with four languages chance has 0.25.
+MIN_LANGUAGE_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language; unknown ones and those that resemble none go."""
+    cols = docs.columns
+    found = string_kernel.identify(docs)
+    return found.where(f"lang_pred <> '{string_kernel.UNKNOWN}' AND score >= {MIN_LANGUAGE_SCORE}").select(*cols)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near duplicates."""
+    return signature_tree.one_of_each(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight asks for."""
@@ -18,7 +47,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(docs)
 
 
-STAGES = [("mix_sources", mix_sources), ("shard", shard)]
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("benchmark_passages", benchmark_passages),
+          ("mix_sources", mix_sources), ("shard", shard)]
 
 #: A trained classifier decides in the first stage, which SQL can't express.
 ORACLE_SQL = None
