@@ -32,6 +32,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(df: DataFrame, keep: list[str]) -> DataFrame:
+    """``df`` with all columns but ``keep`` in one struct, out of the way of columns that are added."""
+    others = [c for c in df.columns if c not in keep]
+    return df.select(*keep, *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("_others")] if others else []))
+
+
+def brought_back(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    """The columns as they were before ``set_aside``, in their order."""
+    return df.select(*[F.col(c) if c in keep else F.col(f"_others.`{c}`").alias(c) for c in columns])
+
+
 def array_of(batch: pa.RecordBatch | pa.Table, column: str) -> pa.Array:
     a = batch.column(column)
     return a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a

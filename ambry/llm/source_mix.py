@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ambry.llm.common import n_words, written
+from ambry.llm.common import brought_back, n_words, set_aside, written
 
 #: Weights of the sources, in turn.
 WEIGHTS = (1, 2, 3)
@@ -119,14 +119,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_EPOC
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: every document as often as it is taken.  The last copy of the document at
     a source's cut ends with the last word that the budget holds."""
-    cols = docs.columns
-    m = mix(docs, **how)
+    own = ["doc_id", "source", "text"]
+    m = mix(set_aside(docs, own), **how)
     copies = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
     m = m.where(F.col("taken") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
     words = F.least(F.col("size"), F.col("taken") - (F.col("_copy") - 1) * F.col("size")).cast("int")
     pieces = F.split(F.col("text"), "(?<=[^ \\x09-\\x0D])(?=[ \\x09-\\x0D])")  # each ends with a word
     text = F.when(words < F.col("size"), F.array_join(F.slice(pieces, 1, words), "")).otherwise(F.col("text"))
-    return m.withColumn("text", text).select(*cols)
+    return brought_back(m.withColumn("text", text), docs.columns, own)
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
