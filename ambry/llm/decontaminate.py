@@ -228,4 +228,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the contaminated ones."""
     bad = contaminated(docs, benchmark, **how).select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
