@@ -57,10 +57,11 @@ def test_codes_are_prefix_free_and_decode():
         assert (decode(bits, at[::128], segments(n), decode_table(ids, lengths)) == ids[pick]).all()
 
 
-def test_round_trip(spark, docs):
+@pytest.mark.parametrize("special", [False, True])  # with a special token's string, texts are encoded whole
+def test_round_trip(spark, docs, special):
     from tokenizers import Tokenizer
     rng = random.Random(5)
-    texts = ["", "  ", "Hello  WORLD, it's 2024!\n", "é é Ünï x ́y", "日本語 text<|endoftext|> x", "a" * 3000, "word " * 20_000,
+    texts = ["İstanbul İx ﬀ ǅ K Å, A.B. x... ?!no (yes), don't! I'M 'S we'RE 1st. ٣٤ e\u0301te\u0301. 한글 ß. ΑΣ ΣΑΣ, ", "", "  ", "Hello  WORLD, it's 2024!\n", "é é Ünï x ́y", "日本語 text<|endoftext|> x" if special else "日本語 text x", "a" * 3000, "word " * 20_000,
              *[" ".join(rng.choice(["the", "Zebra", "x1y2", "naïve", "—", "foo_bar", "don't"]) for _ in range(rng.randrange(300))) for _ in range(60)]]
     rows = [(3 * i, t) for i, t in enumerate(texts)] + [(1, None)]
     rng.shuffle(rows)
@@ -74,6 +75,14 @@ def test_round_trip(spark, docs):
         assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in round_trip(docs(rows), PATH, **how).collect()} == want
 
 
+def test_other_tokenizers(docs):
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, texts = Tokenizer.from_file(path), ["Two  spaces, CASE counts.", None, " x\n"]
+    want = [zlib.crc32(np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for x in texts]
+    assert [r.ids_crc32 for r in round_trip(docs(texts), path).orderBy("doc_id").collect()] == want
+
+
 def test_files(spark, docs, tmp_path):
     write_files(token_rows(docs([(i, "some words " * (i % 40)) for i in range(200)]), PATH), str(tmp_path / "f"), block_tokens=300, part_tokens=2000)
     blocks = spark.read.parquet(str(tmp_path / "f" / "blocks")).orderBy("part", "block").collect()

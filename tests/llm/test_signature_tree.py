@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from ambry.llm.signature_tree import SignatureTree, _forest, block_links, components, near_duplicates, needed, one_of_each
+from ambry.llm.signature_tree import SignatureTree, _forest, bitmap, block_links, components, near_duplicates, needed, one_of_each
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -62,8 +62,8 @@ def test_against_all_pairs(docs):
     df, want = docs(rows), by_hand(rows)
     assert len({c for _, c in want.values()}) < len(rows) - 30
     assert result(df) == want
-    # many buckets, hot tokens dealt to several, groups in several blocks
-    assert result(df, sketch_bits=8, bucket_entries=200, hot_bits=1, block_docs=3, block_shingles=300) == want
+    # many buckets, groups in several blocks
+    assert result(df, bucket_entries=200, block_docs=3, block_shingles=300) == want
 
 
 def test_edges(docs, frame, tmp_path):
@@ -95,9 +95,11 @@ def test_large_block_is_pruned():
     rng = np.random.default_rng(3)
     base = [np.unique(rng.integers(0, 1 << 56, 200, dtype=np.uint64)) for _ in range(40)]
     sets = [np.unique(np.concatenate((b[rng.random(len(b)) > 0.05], rng.integers(0, 1 << 56, 5, dtype=np.uint64)))) for b in base for _ in range(8)]
-    links = block_links(np.arange(len(sets)), np.zeros(len(sets), int), sets)
-    label = {i: i for i in range(len(sets))} | dict(map(tuple, links.tolist()))
-    assert all(label[i] == i // 8 * 8 for i in label)
-    tree = SignatureTree(sets, 1024)
+    n, bits = np.array([len(x) for x in sets]), [bitmap(x, 512 << i % 2) for i, x in enumerate(sets)]
+    for exact in (sets, None):  # bitmaps of twice the sets' sizes let nothing else through here
+        links = block_links(np.arange(len(sets)), np.zeros(len(sets), int), bits, n, exact)
+        label = {i: i for i in range(len(sets))} | dict(map(tuple, links.tolist()))
+        assert all(label[i] == i // 8 * 8 for i in label)
+    tree = SignatureTree(n, np.stack([bitmap(x, 1024) for x in sets]))
     assert len(tree.levels) > 2 and tree.root["to"] == len(sets)
     assert needed(100, 100) == 89 and needed(4, 5) == 4
