@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ambry.session import scratch_path
 
 #: Bytes of text that a Python task works on at once; one longer text makes a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Rows in an Arrow batch; texts may be long, so far fewer than Spark's 10,000.
 BATCH_ROWS = 1000
 
