@@ -87,10 +87,10 @@ def message_batches(rows: DataFrame, id_col: str, batch_size: int,
                .agg(F.count(F.lit(1)).alias("n_rows"),
                     F.min(id_col).alias("first_id"),
                     F.max(id_col).alias("last_id"),
-                    F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in payload_cols])))
+                    F.array_sort(F.collect_list(F.struct("row_index", F.struct(*[F.col(c) for c in payload_cols]).alias("row"))))
                     .alias("__rows")))
     return grouped.select("batch_no", "n_rows", "first_id", "last_id",
-                          F.to_json("__rows").alias("value"))
+                          F.to_json("__rows.row").alias("value"))
 
 
 def write_messages(messages: DataFrame, path: str | None = None,

@@ -64,6 +64,19 @@ def apply_contract(df: DataFrame, schema: StructType, table: str = "table",
     return out
 
 
+def require_keys(df: DataFrame, keys: list[str], table: str = "table") -> DataFrame:
+    """``df`` itself, failing on a NULL or repeated key when it is run.
+
+    The check is one hash aggregate over the key columns alone, read as a
+    scalar subquery; the rows are neither shuffled nor aggregated.
+    """
+    most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).scalar()
+    cond = F.when(most > 1, F.raise_error(F.lit(f"PRIMARY KEY violated: {table}({', '.join(keys)})"))).otherwise(F.lit(True))
+    for k in keys:
+        cond = cond & not_null_guard(F.col(k), table, k)
+    return df.where(cond)
+
+
 def assert_unique(df: DataFrame, keys: list[str], table: str = "table") -> DataFrame:
     """Fail if ``keys`` repeat; returns one row per key (the input rows).
 

@@ -49,7 +49,7 @@ def align_to_target(rows: DataFrame, target_schema: StructType) -> DataFrame:
     cols = []
     for f in target_schema.fields:
         if f.name not in src:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name, metadata=f.metadata))
             continue
         c, st = F.col(f.name), src[f.name]
         if isinstance(f.dataType, StringType) and (
@@ -58,5 +58,5 @@ def align_to_target(rows: DataFrame, target_schema: StructType) -> DataFrame:
             c = F.to_json(c)
         elif st != f.dataType:
             c = c.cast(f.dataType)
-        cols.append(c.alias(f.name))
+        cols.append(c.alias(f.name, metadata=f.metadata))  # the JSON flag stays with the stored table
     return rows.select(*cols)

@@ -60,18 +60,25 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
     even if it is older.  Duplicate keys in the batch collapse to the newest
     row (``ts_col``) — the reference would apply them in ts order.
 
-    The deduplicated batch is counted first; when it has at most
-    ``BROADCAST_MAX_ROWS`` rows its keys are broadcast, so the target is
-    streamed through the anti join and never shuffled.  A larger batch takes a shuffled anti join (keys unique on both
-    sides, so no skew).
+    A NULL in a key fails the job: the keys are declared NOT NULL.
+
+    The deduplicated batch is written once; the count, the anti join and the
+    result all read that copy, so a live source is read a single time.  When
+    it has at most ``BROADCAST_MAX_ROWS`` rows its keys are broadcast, so the
+    target is streamed through the anti join and never shuffled.  A larger
+    batch takes a shuffled anti join (keys unique on both sides, so no skew).
     """
     from ambry import params
+    from ambry.operators.contracts import not_null_guard
+    from ambry.operators.materialize import materialize
 
     if ts_col is not None:
         batch = latest_per_key(batch, keys, ts_col)
     else:
         batch = batch.dropDuplicates(keys)
-    batch = batch.select(*target.columns)
+    for k in keys:
+        batch = batch.where(not_null_guard(F.col(k), "upsert", k))
+    batch = materialize(batch.select(*target.columns), "upsert-batch")
     batch_keys = batch.select(*keys)
     small = batch_keys.count() <= params.BROADCAST_MAX_ROWS       # one job: a proven bound
     kept = target.join(F.broadcast(batch_keys) if small else batch_keys, keys, "left_anti")

@@ -29,5 +29,16 @@ def write_version(df: DataFrame, root: str, version: int, sort_by: list[str] | N
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there; any other trouble with its store is raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def last_version(spark: SparkSession, root: str, before: int) -> int | None:
+    """The newest version below ``before`` that was written whole."""
+    return next((v for v in range(before - 1, -1, -1) if exists(spark, f"{version_path(root, v)}/_SUCCESS")), None)
+
+
 def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(version_path(root, version))

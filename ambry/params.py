@@ -59,8 +59,10 @@ BRONZE_WATERMARK = _dt.datetime(2001, 7, 1)  # bronze sync watermark
 BRONZE_TARGET_UNTIL = _dt.datetime(2001, 7, 15)  # existing bronze rows end here
 PUBLISH_BATCH_SIZE = 100                     # rows per published message
 PUBLISH_LAST_SYNC = _dt.datetime(2001, 11, 4, 12)  # publish watermark fixture
+PUBLISH_DELAY = _dt.timedelta(seconds=1)     # scores are published after they are stamped
 OLD_SCORE_TS = _dt.datetime(2001, 11, 4, 9)  # updated_at of the existing scores
-DIM_EPOCH = _dt.datetime(2001, 1, 1)         # dims: ts = epoch + key days
+DIM_EPOCH = _dt.datetime(2001, 1, 1)         # dims: ts = epoch + key % DIM_DAYS days
+DIM_DAYS = 3650
 BRONZE_KEY_RANGE = 1000                      # keys per partition of a ranged bronze table
 
 # Weight table of the scoring job (decimal(10,2)), FIXTURES.md §3.

@@ -3,9 +3,10 @@ writes its own (SURVEY §3 entries 1 and 3).
 
 Layout under ``store``: ``<table>/v<run_id>`` Parquet folders.  A run is
 identified by an increasing ``run_id`` chosen by the scheduler; run ``n``
-reads version ``n-1`` of its targets and state and writes version ``n``.
-Because a version is only ever read by the next run, a failed run is simply
-retried with the same ``run_id`` (its partial output is overwritten).
+reads the newest whole version below ``n`` of its targets and state and
+writes version ``n``.  A version is only ever read by later runs, so a failed
+run is either retried with the same ``run_id`` (its partial output is
+overwritten) or passed over by the next one.
 
 Write order follows the reference: targets first, messages next, and the
 publish watermark last (at-least-once delivery).
@@ -16,7 +17,6 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ambry import params
@@ -24,7 +24,7 @@ from ambry.operators.batching import write_messages
 from ambry.operators.state import (audit_row, empty_audit, empty_publish_state, mark_status,
                                    upsert_state)
 from ambry.operators.upsert import conditional_upsert, update_from
-from ambry.operators.versioned import read_version, version_path, write_version
+from ambry.operators.versioned import exists, last_version, read_version, version_path, write_version
 from ambry.plans import scoring
 from ambry.plans.scoring_run import ScoringRun
 from ambry.plans.publish import publish_scores
@@ -33,9 +33,24 @@ from ambry.plans.sync import TableMapping, sync_table
 
 def _previous(spark: SparkSession, store: str, table: str, run_id: int,
               initial: DataFrame | None) -> DataFrame | None:
-    if run_id > 0:
-        return read_version(spark, f"{store}/{table}", run_id - 1)
-    return initial
+    """The newest whole version that an earlier run wrote; a failed run leaves a gap."""
+    v = last_version(spark, f"{store}/{table}", run_id)
+    return initial if v is None else read_version(spark, f"{store}/{table}", v)
+
+
+def _cause(e: Exception) -> str:
+    """The error's text, its root cause first: the audit row keeps the beginning."""
+    text = str(e)
+    causes = [line.removeprefix("Caused by: ") for line in text.splitlines() if line.startswith("Caused by: ")]
+    return "\n".join([*causes[-1:], text])
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a table with key-range partitions is at ``path``."""
+    if not exists(spark, path):
+        return False
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return any(f.isDirectory() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p))
 
 
 @dataclass
@@ -52,8 +67,12 @@ def run_scoring(spark: SparkSession, sf_dir: str, store: str, run_id: int,
                 as_of: _dt.datetime = params.AS_OF, boosted: DataFrame | None = None,
                 views: DataFrame | None = None, weights: dict | None = None,
                 batch_size: int = params.PUBLISH_BATCH_SIZE,
-                window_days: int = params.ORDER_WINDOW_DAYS) -> ScoringOutputs:
-    """P3–P14 as one scheduled run."""
+                window_days: int = params.ORDER_WINDOW_DAYS, publish_at: _dt.datetime | None = None) -> ScoringOutputs:
+    """P3–P14 as one scheduled run.  ``publish_at`` is the time of publishing, later than the
+    scores' stamp ``as_of``, so that the next run doesn't send them again (default: just after)."""
+    publish_at = publish_at or as_of + _dt.timedelta(microseconds=1)
+    if publish_at <= as_of:
+        raise ValueError("scores are published after they are stamped")
     run = ScoringRun(spark, sf_dir, as_of, window_days, weights, views)
     p = {t: version_path(f"{store}/{t}", run_id) for t in
          ("product_stats", "category_states", "product_score", "boosted_products", "messages",
@@ -76,7 +95,7 @@ def run_scoring(spark: SparkSession, sf_dir: str, store: str, run_id: int,
                                   "modified_at", as_of), f"{store}/boosted_products", run_id)
 
     prev_pub = _previous(spark, store, "publish_state", run_id, empty_publish_state(spark))
-    msgs, new_state = publish_scores(spark, table, prev_pub, as_of, batch_size)
+    msgs, new_state = publish_scores(spark, table, prev_pub, publish_at, batch_size)
     write_messages(msgs, p["messages"])
     write_version(new_state, f"{store}/publish_state", run_id)
     return ScoringOutputs(**p)
@@ -101,7 +120,7 @@ def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, stor
         spath = write_version(new_state, f"{store}/_audit", run_id)
     except Exception as e:
         # FAILED keeps the previous watermark, so the next run re-reads the rows
-        failed = mark_status(spark, state, mapping.state_keys(), "FAILED", as_of, str(e))
+        failed = mark_status(spark, state, mapping.state_keys(), "FAILED", as_of, _cause(e))
         write_version(failed, f"{store}/_audit", run_id)
         raise
     return tpath, spath
@@ -127,12 +146,8 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
     keys = mapping.state_keys()
     try:
         since = read_watermark(state, keys)
-        try:
-            spark.read.parquet(tpath).schema
-            exists = True
-        except AnalysisException:
-            exists = False
-        if exists:
+        # an empty first load leaves its marker but no data file
+        if _has_data(spark, tpath):
             upsert_touched_ranges(spark, tpath, changed_rows(source, mapping.ts_column, since),
                                   mapping.pk, mapping.ts_column, key_range)
             target = read_ranged(spark, tpath)
@@ -141,15 +156,12 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
             # simply loads again
             write_ranged(sync_table(spark, source, None, mapping, None, as_of).target, tpath,
                          mapping.pk[0], key_range)
-            try:
-                target = read_ranged(spark, tpath)
-            except AnalysisException:     # empty source: nothing was written
-                target = source.limit(0)
+            target = read_ranged(spark, tpath) if _has_data(spark, tpath) else source.limit(0)
         audit = audit_row(spark, keys, source, target, mapping.ts_column, since, as_of)
         spath = write_version(upsert_state(state, audit, list(audit.columns[:3])),
                               f"{store}/_audit", run_id)
     except Exception as e:
-        failed = mark_status(spark, state, keys, "FAILED", as_of, str(e))
+        failed = mark_status(spark, state, keys, "FAILED", as_of, _cause(e))
         write_version(failed, f"{store}/_audit", run_id)
         raise
     return tpath, spath
@@ -186,9 +198,12 @@ SILVER_STATE_SCHEMA = "target_schema STRING, target_table STRING, last_synced_at
 
 def run_warehouse(spark: SparkSession, sf_dir: str, store: str, run_id: int,
                   as_of: _dt.datetime,
-                  overlap_hours: int = params.SYNC_OVERLAP_HOURS) -> dict[str, str]:
+                  overlap_hours: int = params.SYNC_OVERLAP_HOURS, old_sf_dir: str | None = None) -> dict[str, str]:
     """Silver facts (incremental from the previous run) and gold snapshots.
 
+    ``old_sf_dir`` holds the tables as the previous run saw them, where rows
+    may have moved between keys since (insert-only tables don't need it).
+
     Each fact reads its watermark from the silver state (J2, key
     ``silver.<fact>``, default 1900), refreshes only touched keys of its
     previous version, and the state advances to ``as_of - overlap`` after all
@@ -202,9 +217,8 @@ def run_warehouse(spark: SparkSession, sf_dir: str, store: str, run_id: int,
     state = _previous(spark, store, "_silver_state", run_id,
                       spark.createDataFrame([], SILVER_STATE_SCHEMA))
     wm = {f: read_watermark(state, {"target_schema": "silver", "target_table": f}) for f in SILVER_FACTS}
-    previous = {f: read_version(spark, f"{store}/silver.{f}", run_id - 1) for f in SILVER_FACTS} \
-        if run_id > 0 else {}
-    wh = Warehouse(spark, sf_dir, wm, as_of, previous)
+    previous = {f: df for f in SILVER_FACTS if (df := _previous(spark, store, f"silver.{f}", run_id, None)) is not None}
+    wh = Warehouse(spark, sf_dir, wm, as_of, previous, old_sf_dir)
     out = {}
     for f in SILVER_FACTS:
         out[f] = write_version(getattr(wh, f), f"{store}/silver.{f}", run_id)

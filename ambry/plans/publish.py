@@ -1,8 +1,9 @@
 """Publish changed scores as batched JSON messages (P14: A5, A10, J3, J5).
 
-The watermark is read before the scan and advanced to the run's ``as_of``
-(the time taken before the query) only after the messages are written:
-delivery is at-least-once, rows updated during the run are sent again.
+The watermark is read before the scan and advanced to the time of publishing
+only after the messages are written: delivery is at-least-once.  That time is
+taken after the scores were stamped and before they are read, so unchanged
+scores are sent once, and rows updated during the run are sent again.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ def changed_scores(scores: DataFrame, since: _dt.datetime) -> DataFrame:
 
 
 def publish_scores(spark: SparkSession, scores: DataFrame, state: DataFrame,
-                   as_of: _dt.datetime, batch_size: int = params.PUBLISH_BATCH_SIZE,
+                   publish_at: _dt.datetime, batch_size: int = params.PUBLISH_BATCH_SIZE,
                    table_name: str = SCORE_TABLE) -> tuple[DataFrame, DataFrame]:
     """Returns (messages, new publish state); write messages first, then state."""
     since = read_watermark(state, {"table_name": table_name}, "last_sync_at")
     msgs = message_batches(changed_scores(scores, since), "id", batch_size)
-    new_state = upsert_state(state, publish_state_row(spark, table_name, as_of), ["table_name"])
+    new_state = upsert_state(state, publish_state_row(spark, table_name, publish_at), ["table_name"])
     return msgs, new_state

@@ -26,7 +26,8 @@ from ambry import params
 from ambry.operators.schema_evolution import (align_to_target, create_target_schema, empty_table,
                                               evolve_schema, evolve_table)
 from ambry.operators.state import audit_row, empty_audit, read_watermark, upsert_state
-from ambry.operators.upsert import latest_per_key, upsert
+from ambry.operators.contracts import require_keys
+from ambry.operators.upsert import upsert
 from ambry.sources.incremental import changed_rows
 
 
@@ -71,8 +72,8 @@ def sync_table(spark: SparkSession, source: DataFrame, target: DataFrame | None,
         target = evolve_table(target, tschema)
     changed = changed_rows(source, mapping.ts_column, since)
     batch = align_to_target(changed, tschema)
-    if first_load:   # nothing to merge into: the newest row per key is the table
-        new_target = latest_per_key(batch, mapping.pk, mapping.ts_column)
+    if first_load:   # nothing to merge into; a repeated or NULL key fails instead of losing rows
+        new_target = require_keys(batch, mapping.pk, mapping.target_table)
     else:
         new_target = upsert(target, batch, mapping.pk, mapping.ts_column)
     audit = audit_row(spark, mapping.state_keys(), source, new_target, mapping.ts_column,
@@ -83,9 +84,9 @@ def sync_table(spark: SparkSession, source: DataFrame, target: DataFrame | None,
 
 def with_ts(df: DataFrame, key: str, epoch: _dt.datetime = params.DIM_EPOCH,
             name: str = "updated_at") -> DataFrame:
-    """Fixture: give a table without a change timestamp one (epoch + key days)."""
+    """Fixture: give a table without a change timestamp one (epoch + up to 3649 days by key)."""
     from ambry.functions import ts_lit
-    return df.withColumn(name, ts_lit(epoch) + F.make_dt_interval(F.col(key).cast("int")))
+    return df.withColumn(name, ts_lit(epoch) + F.make_dt_interval((F.col(key) % params.DIM_DAYS).cast("int")))
 
 
 def standard_mappings() -> list[tuple[str, TableMapping]]:
@@ -101,8 +102,18 @@ def standard_mappings() -> list[tuple[str, TableMapping]]:
     ]
 
 
+def order_lines(lineitem: DataFrame) -> DataFrame:
+    """Fixture: lineitem with its key made unique, one row per (order, line)."""
+    return lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum(F.col("l_quantity").cast("long")).alias("l_quantity"),
+        F.sum(F.col("l_extendedprice").cast("decimal(10,2)")).cast("decimal(18,2)").alias("l_extendedprice"),
+        F.max("l_shipdate").alias("l_shipdate"))
+
+
 def mapping_source(tables, name: str, mapping: TableMapping) -> DataFrame:
     df = getattr(tables, name)
+    if name == "lineitem":
+        df = order_lines(df)
     if mapping.ts_column == "updated_at" and "updated_at" not in df.columns:
         df = with_ts(df, mapping.pk[0])
     return df

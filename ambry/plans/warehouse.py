@@ -76,6 +76,10 @@ def payment_invoice_agg(rows: DataFrame) -> DataFrame:
                  F.sum(F.when(paid, zero).otherwise(amt)).cast(AMOUNT).alias("unpaid_amount")))
 
 
+def star_days(t: Tables) -> DataFrame:
+    return proxies.star_fact(t).withColumn("day", F.to_date("timestamp_at"))
+
+
 def hub_performance_agg(rows: DataFrame) -> DataFrame:
     """S9 (ours): per delivery hub and day, orders, delivered, share in bp."""
     g = (rows.groupBy("delivery_hub_id", "day")
@@ -105,8 +109,9 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str,
                  wm: _dt.datetime | dict = params.SILVER_WATERMARK,
                  as_of: _dt.datetime = params.ORDERS_AS_OF,
-                 previous: dict[str, DataFrame] | None = None):
+                 previous: dict[str, DataFrame] | None = None, old_sf_dir: str | None = None):
         self.t = Tables(spark, sf_dir)
+        self.old = Tables(spark, old_sf_dir) if old_sf_dir else None
         self._wm = wm
         self.as_of = as_of
         self.previous = previous or {}
@@ -143,12 +148,13 @@ class Warehouse:
         return proxies.star_fact(self.t)
 
     # silver facts -------------------------------------------------------------
-    def _refresh(self, name: str, keyed: DataFrame, keys: list[str], ts: str, agg) -> DataFrame:
-        wm = self.wm(name)
+    def _refresh(self, name: str, rows, keys: list[str], ts: str, agg, ids: list[str]) -> DataFrame:
+        """``rows`` gives the keyed source from a set of tables."""
+        wm, keyed = self.wm(name), rows(self.t)
         previous = self.previous.get(name)
         if previous is None:
             previous = as_of_watermark(keyed, ts, wm, agg)
-        return refresh_touched(previous, keyed, keys, ts, wm, agg)
+        return refresh_touched(previous, keyed, keys, ts, wm, agg, rows(self.old) if self.old else None, ids)
 
     def _upsert_newer(self, name: str, rows: DataFrame, key: str, ts: str) -> DataFrame:
         wm = ts_lit(self.wm(name))
@@ -159,8 +165,8 @@ class Warehouse:
 
     @cached_property
     def order_invoice_transaction(self) -> DataFrame:          # S2
-        return self._refresh("order_invoice_transaction", self.t.lineitem,
-                             ["l_orderkey", "l_linenumber"], "l_shipdate", order_lines_agg)
+        ids = ["l_orderkey", "l_linenumber"]
+        return self._refresh("order_invoice_transaction", lambda t: t.lineitem, ids, "l_shipdate", order_lines_agg, ids)
 
     @cached_property
     def payment_invoice_transaction(self) -> DataFrame:        # S3
@@ -173,30 +179,25 @@ class Warehouse:
 
     @cached_property
     def business_stats(self) -> DataFrame:                     # S5
-        keyed = self.star.withColumn("day", F.to_date("timestamp_at"))
-        return self._refresh("business_stats", keyed, ["from_business_id", "day"], "updated_at",
-                             business_stats_agg)
+        return self._refresh("business_stats", star_days, ["from_business_id", "day"], "updated_at", business_stats_agg, ["id"])
 
     @cached_property
     def daily_orders_summary(self) -> DataFrame:               # S6
-        keyed = self.t.orders.withColumn("day", F.to_date("o_orderdate"))
-        return self._refresh("daily_orders_summary", keyed, ["day"], "o_orderdate", daily_orders_agg)
+        return self._refresh("daily_orders_summary", lambda t: t.orders.withColumn("day", F.to_date("o_orderdate")), ["day"],
+                             "o_orderdate", daily_orders_agg, ["o_orderkey"])
 
     @cached_property
     def order_invoice(self) -> DataFrame:                      # S7
-        return self._refresh("order_invoice", self.t.lineitem, ["l_orderkey"], "l_shipdate",
-                             order_invoice_agg)
+        return self._refresh("order_invoice", lambda t: t.lineitem, ["l_orderkey"], "l_shipdate", order_invoice_agg,
+                             ["l_orderkey", "l_linenumber"])
 
     @cached_property
     def payment_invoice(self) -> DataFrame:                    # S8
-        return self._refresh("payment_invoice", self.t.orders, ["o_custkey"], "o_orderdate",
-                             payment_invoice_agg)
+        return self._refresh("payment_invoice", lambda t: t.orders, ["o_custkey"], "o_orderdate", payment_invoice_agg, ["o_orderkey"])
 
     @cached_property
     def hub_performance(self) -> DataFrame:                    # S9
-        keyed = self.star.withColumn("day", F.to_date("timestamp_at"))
-        return self._refresh("hub_performance", keyed, ["delivery_hub_id", "day"], "updated_at",
-                             hub_performance_agg)
+        return self._refresh("hub_performance", star_days, ["delivery_hub_id", "day"], "updated_at", hub_performance_agg, ["id"])
 
     # gold snapshots -----------------------------------------------------------
     @cached_property

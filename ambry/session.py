@@ -66,12 +66,14 @@ _FALLBACK_DIRS: dict[int, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a folder of our own is created once per SparkContext and
-    registered as the RDD checkpoint directory.
+    The cluster names it in ``spark.checkpoint.dir``, or the user with
+    ``setCheckpointDir``.  Only local sessions without either get a folder of
+    their own, once per SparkContext; a cluster without one is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not d and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = _FALLBACK_DIRS.get(id(sc))
         if d is None:

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ambry.operators.contracts import assert_unique
-
 RAW = "product_id STRING, view_count STRING"
 
 
@@ -24,9 +22,8 @@ def read_view_counts(spark: SparkSession, path: str) -> DataFrame:
     parsed = raw.select(
         F.expr("try_cast(trim(product_id) AS INT)").alias("product_id"),
         F.expr("try_cast(trim(view_count) AS INT)").alias("view_count"))
-    ok = parsed.where(F.col("product_id").isNotNull() & F.col("view_count").isNotNull())
-    # product_stats keys on product_id: a repeated id would violate it there.
-    return assert_unique(ok, ["product_id"], "stg.product_views")
+    # the stage has no key; product_stats checks its own
+    return parsed.where(F.col("product_id").isNotNull() & F.col("view_count").isNotNull())
 
 
 def write_csv_lines(lines: DataFrame, path: str, header: str = "product_id,view_count") -> None:

@@ -139,7 +139,7 @@ def star_fact(t: Tables) -> DataFrame:
 
 
 def _dim_ts(key: str) -> F.Column:
-    return ts_lit(params.DIM_EPOCH) + F.make_dt_interval(F.col(key).cast("int"))
+    return ts_lit(params.DIM_EPOCH) + F.make_dt_interval((F.col(key) % params.DIM_DAYS).cast("int"))
 
 
 def dim_business(t: Tables) -> DataFrame:
@@ -177,12 +177,13 @@ def dim_order(t: Tables) -> DataFrame:
                            F.col("o_orderdate").alias("updated_at"))
 
 
-# ---------------------------------------------------------------- fixed values
-# Delivery status reference rows (id, name).
+# Names of the delivery statuses (ours).
 DELIVERY_STATUSES = [(1, "Delivered"), (2, "In transit"), (3, "Pending")]
-# ------------------------------------------------------------ end fixed values
 
 
 def delivery_status(t: Tables) -> DataFrame:
-    return (t.spark.createDataFrame(DELIVERY_STATUSES, "delivery_status_id INT, delivery_status_name STRING")
-            .withColumn("updated_at", ts_lit(params.DIM_EPOCH)))
+    """The statuses that occur in the order facts, named."""
+    name = F.create_map(*[F.lit(x) for s in DELIVERY_STATUSES for x in s])
+    return (star_fact(t).select("delivery_status_id").distinct()
+            .select("delivery_status_id", name[F.col("delivery_status_id")].alias("delivery_status_name"),
+                    ts_lit(params.DIM_EPOCH).alias("updated_at")))

@@ -16,14 +16,13 @@ initial version 0 is written only on the very first start.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ambry.operators.schema_evolution import align_to_target, evolve_schema, evolve_table
 from ambry.operators.upsert import upsert
-from ambry.operators.versioned import read_version, write_version
+from ambry.operators.versioned import exists, read_version, write_version
 from ambry.plans.sync import TableMapping
 
 
@@ -37,10 +36,9 @@ def _record(spark: SparkSession, target_root: str, version: int) -> None:
 
 
 def latest_version(spark: SparkSession, target_root: str) -> int | None:
-    try:
-        return spark.read.parquet(_commits_path(target_root)).agg(F.max("version")).first()[0]
-    except AnalysisException:
+    if not exists(spark, _commits_path(target_root)):
         return None
+    return spark.read.parquet(_commits_path(target_root)).agg(F.max("version")).first()[0]
 
 
 class StreamSync:

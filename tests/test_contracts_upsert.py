@@ -38,6 +38,58 @@ def test_assert_unique(spark):
         assert_unique(df, ["k"]).collect()
 
 
+def test_require_keys(spark):
+    from ambry.operators.contracts import require_keys
+    ok = spark.createDataFrame([(1, 2), (2, 3)], "k int, v int")
+    assert rows(require_keys(ok, ["k"]), "k") == [(1, 2), (2, 3)]
+    assert require_keys(ok.where("k > 5"), ["k"]).collect() == []
+    for bad, what in (([(1, 2), (1, 3)], "PRIMARY KEY"), ([(None, 2), (1, 3)], "NOT NULL")):
+        with pytest.raises(Exception, match=what):
+            require_keys(spark.createDataFrame(bad, "k int, v int"), ["k"]).collect()
+
+
+def test_upsert_null_key_fails(spark):
+    tgt = spark.createDataFrame([(1, "a", T0)], "id int, v string, ts timestamp_ntz")
+    batch = spark.createDataFrame([(None, "x", T1), (2, "y", T1)], "id int, v string, ts timestamp_ntz")
+    with pytest.raises(Exception, match="NOT NULL violated"):
+        upsert(tgt, batch, ["id"], "ts").collect()
+
+
+def test_first_load_fails_on_a_repeated_key(spark):
+    from ambry.plans.sync import TableMapping, sync_table
+    src = spark.createDataFrame([(1, "a", T0), (1, "b", T1)], "id int, v string, ts timestamp_ntz")
+    with pytest.raises(Exception, match="PRIMARY KEY"):
+        sync_table(spark, src, None, TableMapping("t", "t", ["id"], "ts"), None, AS_OF).target.collect()
+
+
+def test_json_flag_stays_with_the_stored_table(spark, tmp_path):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from ambry.operators.schema_evolution import align_to_target
+    target = StructType([StructField("id", IntegerType()), StructField("tags", StringType(), True, {"json": True})])
+    batch = spark.createDataFrame([(1, [1, 2])], "id int, tags array<int>")
+    for run in range(2):
+        align_to_target(batch, target).write.parquet(f"{tmp_path}/{run}")
+        stored = spark.read.parquet(f"{tmp_path}/{run}")
+        assert stored.collect()[0]["tags"] == "[1,2]"
+        target = stored.schema
+
+
+def test_messages_keep_the_id_order_whatever_the_columns(spark):
+    from ambry.operators.batching import message_batches
+    df = spark.createDataFrame([("z", 1), ("a", 2), ("m", 3)], "name string, id int")
+    assert message_batches(df, "id", 10).first()["value"] == '[{"name":"z","id":1},{"name":"a","id":2},{"name":"m","id":3}]'
+
+
+def test_null_and_old_keys_are_refreshed(spark):
+    from ambry.operators.incremental import refresh_touched
+    agg = lambda d: d.groupBy("k").agg(F.count("*").alias("n"))
+    old = spark.createDataFrame([(1, 10, T0), (2, 10, T0), (3, None, T0)], "id int, k int, ts timestamp_ntz")
+    new = spark.createDataFrame([(1, 20, T1), (2, 10, T0), (3, None, T0), (4, None, T1)], "id int, k int, ts timestamp_ntz")
+    out = refresh_touched(agg(old), new, ["k"], "ts", T0, agg, old, ["id"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, agg(new).collect()), key=str)
+
+
 def test_upsert_null_overwrites_and_inserts(spark):
     tgt = spark.createDataFrame([(1, "a", T0), (2, "b", T0)], "id int, v string, ts timestamp_ntz")
     batch = spark.createDataFrame([(2, None, T1), (3, "c", T1)], "id int, v string, ts timestamp_ntz")

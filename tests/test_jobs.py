@@ -3,6 +3,7 @@
 import datetime as dt
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ambry import params
@@ -27,10 +28,10 @@ def test_scoring_rerun_keeps_updated_at(spark):
     s1 = _rows(spark.read.parquet(b.product_score), "product_id")
     assert s0 == s1 and all(r[2] == params.AS_OF for r in s1)   # no score changed: updated_at kept
     st = spark.read.parquet(b.publish_state).collect()
-    assert [(r[0], r[1]) for r in st] == [("public.product_score", params.AS_OF)]
-    # the publish watermark is inclusive: rows stamped at the watermark are sent again
-    sent = [spark.read.json(x.messages).agg(F.sum("n_rows")).first()[0] for x in (a, b)]
-    assert sent == [len(s0), len(s0)]
+    assert [(r[0], r[1]) for r in st] == [("public.product_score", params.AS_OF + dt.timedelta(microseconds=1))]
+    # scores are published after they are stamped: unchanged ones are sent once
+    sent = [spark.read.schema("n_rows long").json(x.messages).agg(F.sum("n_rows")).first()[0] for x in (a, b)]
+    assert sent == [len(s0), None]
     bo = spark.read.parquet(b.boosted_products)
     assert bo.count() == boosted.count() and bo.where(F.col("modified_at") == params.AS_OF).count() > 0
     # a later run with changed inputs bumps only the changed scores
@@ -59,6 +60,42 @@ def test_sync_in_slices_equals_full_load(spark):
     assert len(audit) == 1 and audit[0]["status"] == "SUCCESS"
 
 
+def test_sync_goes_on_after_a_failed_run(spark):
+    orders = Tables(spark, SF).orders
+    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
+    store = tempfile.mkdtemp(prefix="ambry-fail-")
+    run_sync(spark, orders.where("o_orderkey < 50"), m, store, 0, dt.datetime(1990, 1, 1))
+    bad = orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") != 60, F.col("o_orderkey")))
+    with pytest.raises(Exception, match="NOT NULL violated"):
+        run_sync(spark, bad, m, store, 1, dt.datetime(2002, 1, 1))
+    failed = spark.read.parquet(f"{store}/_audit/v000001").collect()
+    assert [r["status"] for r in failed] == ["FAILED"]
+    tpath, spath = run_sync(spark, orders, m, store, 2, dt.datetime(2002, 1, 1))
+    assert _rows(spark.read.parquet(tpath), "o_orderkey") == _rows(orders, "o_orderkey")
+    assert [r["status"] for r in spark.read.parquet(spath).collect()] == ["SUCCESS"]
+
+
+def test_warehouse_refreshes_keys_that_lost_rows(spark):
+    from ambry.plans.jobs import run_warehouse
+    from ambry.plans.warehouse import Warehouse
+    import os
+    new, store = tempfile.mkdtemp(prefix="ambry-moved-"), tempfile.mkdtemp(prefix="ambry-wh-")
+    for name in os.listdir(SF):
+        if name != "orders.parquet":
+            os.symlink(f"{SF}/{name}", f"{new}/{name}")
+    # after the first run, every seventh order moves to another customer and day
+    moved, at = F.col("o_orderkey") % 7 == 0, F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
+    (Tables(spark, SF).orders.withColumn("o_custkey", F.when(moved, (F.col("o_custkey") + 1) % 150).otherwise(F.col("o_custkey")))
+     .withColumn("o_orderdate", F.when(moved, at).otherwise(F.col("o_orderdate"))).write.parquet(f"{new}/orders.parquet"))
+    run_warehouse(spark, SF, store, 0, dt.datetime(2001, 12, 1))
+    out = run_warehouse(spark, new, store, 1, dt.datetime(2002, 2, 1), old_sf_dir=SF)
+    full = Warehouse(spark, new, wm=dt.datetime(1900, 1, 1))
+    for name in ("business_stats", "daily_orders_summary", "payment_invoice", "hub_performance"):
+        exp = getattr(full, name)
+        got = spark.read.parquet(out[name]).select(*exp.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, exp.collect())), name
+
+
 def test_warehouse_runs_converge_to_full_recompute(spark):
     from ambry.plans.jobs import run_warehouse
     from ambry.plans.warehouse import Warehouse
