@@ -46,7 +46,7 @@ def watermark_frame(state: DataFrame, keys: dict[str, str], col: str,
 
 
 def read_watermark(state: DataFrame | None, keys: dict[str, str], col: str = "last_synced_at",
-                   default: _dt.datetime = params.DEFAULT_WATERMARK) -> _dt.datetime:
+                   default: _dt.datetime | None = params.DEFAULT_WATERMARK) -> _dt.datetime | None:
     """The watermark as a driver value, to become a scan literal.
 
     The state is keyed, so at most one row matches; it is fetched directly
@@ -59,6 +59,11 @@ def read_watermark(state: DataFrame | None, keys: dict[str, str], col: str = "la
     return max(vals) if vals else default
 
 
+def read_source_max(state: DataFrame | None, keys: dict[str, str]) -> _dt.datetime | None:
+    """The source's max ts as the last run stored it."""
+    return read_watermark(state, keys, "last_source_max_updated", None)
+
+
 def source_metrics(source: DataFrame, ts_col: str, since: _dt.datetime) -> DataFrame:
     """D8–D11 in one aggregate pass: max ts, max ts since the watermark,
     row count, row count since the watermark."""
@@ -72,17 +77,24 @@ def source_metrics(source: DataFrame, ts_col: str, since: _dt.datetime) -> DataF
 def audit_row(spark: SparkSession, keys: dict[str, str], source: DataFrame, target: DataFrame,
               ts_col: str, since: _dt.datetime, as_of: _dt.datetime,
               overlap_hours: int = params.SYNC_OVERLAP_HOURS, status: str = "SUCCESS",
-              error: str | None = None) -> DataFrame:
+              error: str | None = None, previous_max: _dt.datetime | None = None) -> DataFrame:
     """J4/J6 with D8, D11, D12: the audit row of one sync run.
 
     One aggregate pass over the source gives both its max ts and its count
     since the watermark; the target count since the watermark is a scalar
-    subquery over the new target version.
+    subquery over the new target version.  With ``previous_max`` (the last
+    audit row's) the pass reads only rows newer than the watermark: the filter
+    reaches the scan, and the greater of both maxima is the source's.
     """
     since_c = ts_lit(since)
-    src = source_metrics(source, ts_col, since).select(
-        F.col("max_ts").alias("last_source_max_updated"),
-        F.col("row_count_since").alias("last_source_row_count"))
+    if previous_max is None:
+        src = source_metrics(source, ts_col, since).select(
+            F.col("max_ts").alias("last_source_max_updated"),
+            F.col("row_count_since").alias("last_source_row_count"))
+    else:
+        src = source.where(F.col(ts_col) > since_c).agg(
+            F.greatest(F.max(ts_col), ts_lit(previous_max)).alias("last_source_max_updated"),
+            F.count(F.lit(1)).alias("last_source_row_count"))
     tgt_n = target.where(F.col(ts_col) > since_c).select(F.count(F.lit(1))).scalar()
     synced = as_of - _dt.timedelta(hours=overlap_hours) if status == "SUCCESS" else since
     err = None if error is None else error[: params.ERROR_TEXT_LIMIT]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ambry import params
 from ambry.operators.batching import write_messages
 from ambry.operators.state import (audit_row, empty_audit, empty_publish_state, mark_status,
-                                   upsert_state)
+                                   read_source_max, upsert_state)
 from ambry.operators.upsert import conditional_upsert, update_from
 from ambry.operators.versioned import exists, last_version, read_version, version_path, write_version
 from ambry.plans import scoring
@@ -115,7 +115,7 @@ def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, stor
         # the upsert plan again
         written = read_version(spark, f"{store}/{tname}", run_id)
         audit = audit_row(spark, mapping.state_keys(), source, written, mapping.ts_column,
-                          res.since, as_of)
+                          res.since, as_of, previous_max=read_source_max(state, mapping.state_keys()))
         new_state = upsert_state(state, audit, list(audit.columns[:3]))
         spath = write_version(new_state, f"{store}/_audit", run_id)
     except Exception as e:
@@ -157,7 +157,8 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
             write_ranged(sync_table(spark, source, None, mapping, None, as_of).target, tpath,
                          mapping.pk[0], key_range)
             target = read_ranged(spark, tpath) if _has_data(spark, tpath) else source.limit(0)
-        audit = audit_row(spark, keys, source, target, mapping.ts_column, since, as_of)
+        audit = audit_row(spark, keys, source, target, mapping.ts_column, since, as_of,
+                          previous_max=read_source_max(state, keys))
         spath = write_version(upsert_state(state, audit, list(audit.columns[:3])),
                               f"{store}/_audit", run_id)
     except Exception as e:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ambry import params
 from ambry.operators.schema_evolution import (align_to_target, create_target_schema, empty_table,
                                               evolve_schema, evolve_table)
-from ambry.operators.state import audit_row, empty_audit, read_watermark, upsert_state
+from ambry.operators.state import audit_row, empty_audit, read_source_max, read_watermark, upsert_state
 from ambry.operators.contracts import require_keys
 from ambry.operators.upsert import upsert
 from ambry.sources.incremental import changed_rows
@@ -77,7 +77,8 @@ def sync_table(spark: SparkSession, source: DataFrame, target: DataFrame | None,
     else:
         new_target = upsert(target, batch, mapping.pk, mapping.ts_column)
     audit = audit_row(spark, mapping.state_keys(), source, new_target, mapping.ts_column,
-                      since, as_of, overlap_hours)
+                      since, as_of, overlap_hours,
+                      previous_max=read_source_max(state, mapping.state_keys()))
     new_state = upsert_state(state, audit, list(audit.columns[:3]))
     return SyncResult(new_target, new_state, audit, changed, since)
 
