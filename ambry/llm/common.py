@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from ambry.session import scratch_path
 #: Bytes of text that a Python task works on at once; one longer text makes a chunk of its own.
 CHUNK_BYTES = 4 << 20
 #: Rows in an Arrow batch; texts may be long, so far fewer than Spark's 10,000.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_share(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """The rows whose keys hash into about ``rows`` of all, so that choosing the lowest hashes among
+    them stays as small as that on any number of tasks; small tables stay whole."""
+    share = min(1.0, rows / max(1, df.count()))
+    return df if share == 1 else df.where(F.pmod(F.xxhash64(F.lit("share"), *key), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def set_aside(df: DataFrame, keep: list[str]) -> DataFrame:
     """``df`` with all columns but ``keep`` in one struct, out of the way of columns that are added."""
     others = [c for c in df.columns if c not in keep]
@@ -48,6 +56,15 @@ def array_of(batch: pa.RecordBatch | pa.Table, column: str) -> pa.Array:
     return a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its tasks, next to the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
                 size: int = CHUNK_BYTES) -> Iterator[pa.Table]:
     """The rows of all batches, regrouped into tables of about ``size`` bytes of ``column``
@@ -72,8 +89,10 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             if have >= size or at < b.num_rows:
                 yield flush()
                 held, have = [], 0
+                give_back()
     if held:
         yield flush()
+    give_back()
 
 
 def pieces(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[pa.Array]:

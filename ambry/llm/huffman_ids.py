@@ -1,7 +1,8 @@
 """Token ids in a canonical, length-limited Huffman code.
 
-Texts are encoded by a public tokenizer; white space always parts its tokens, so
-each distinct white-space-free piece of a batch is encoded once.  Global counts
+Texts are encoded by a public tokenizer; where its definition says that white
+space always parts tokens and case doesn't count, each distinct word of a batch
+is encoded once.  Global counts
 of the ids (at most one for each id of the vocabulary) give optimal code lengths
 under a limit by package-merge, and these the canonical code.
 
@@ -42,34 +43,120 @@ from ambry.session import scratch_path
 
 #: Longest code, ids of a block, ids between checkpoints, ids of a part.
 LONGEST, BLOCK_TOKENS, CHECK, PART_TOKENS = 18, 1 << 18, 128, 8_000_000
+#: Stands for a null doc_id.
+NO_ID = -(1 << 62)
 #: The id that ends every document.
 END = 2
+#: Words whose ids an encoder remembers.
+KNOWN_WORDS = 300_000
 #: Bytes of text that are encoded at once: distinct pieces repeat more in larger chunks.
-ENCODE_BYTES = 24 << 20
+ENCODE_BYTES = 10 << 20
 BLOCK_FIELDS = "block long, doc_ids array<long>, n_tokens array<long>, bits binary, checkpoints array<long>"
 
 
 # ---- ids -----------------------------------------------------------------------------------
 
-def encoded(texts: pa.Array, tokenizer, end: int) -> tuple[np.ndarray, np.ndarray]:
+class Encoder:
+    """A tokenizer from its definition.  Where the definition drops white space between tokens, ignores
+    case and marks the token that ends a word, distinct words are encoded, many in a call."""
+
+    #: Marks that may follow a word; next to letters they are tokens of their own.
+    MARKS = ".,;:!?"
+
+    def __init__(self, definition: str):
+        import json
+
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_str(definition)
+        d = json.loads(definition)
+        self.known: dict[str, np.ndarray] = {}
+        suffix = d["model"].get("end_of_word_suffix")
+        kinds = [x["type"] for x in (d.get("normalizer") or {}).get("normalizers", [])]
+        splits = [x for x in (d.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"]
+        self.by_word = bool(suffix and "Lowercase" in kinds and splits and splits[0].get("behavior") == "Removed" and splits[0].get("invert"))
+        if self.by_word:
+            vocab = self.tokenizer.get_vocab()
+            self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+
+    def each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and number of ids of words of letters only; the last words of earlier calls are known."""
+        new = [w for w in words if w not in self.known]
+        flat, n = self._encoded_words(new)
+        ends = np.cumsum(n).tolist()
+        flat = flat.astype(np.uint32)
+        fresh = {w: flat[a:b] for w, a, b in zip(new, [0, *ends], ends)}
+        own = [fresh[w] if w in fresh else self.known[w] for w in words]
+        self.known = fresh if len(self.known) + len(fresh) > KNOWN_WORDS else self.known | fresh
+        return (np.concatenate(own).astype(np.int64) if own else np.zeros(0, np.int64)), np.array([len(x) for x in own], np.int64)
+
+    def _encoded_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words joined by spaces, and their ids parted where a token ends a word."""
+        flat, counts = [], []
+        for at in range(0, len(words), 2000):
+            own = words[at:at + 2000]
+            ids = np.array(self.each([" ".join(own)])[0], np.int64)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(own) or ends[-1] != len(ids):  # letters that lower case turns into others
+                alone = self.each(own)
+                ids, n = np.array([i for x in alone for i in x], np.int64), np.array([len(x) for x in alone], np.int64)
+            else:
+                n = np.diff(ends, prepend=0)
+            flat.append(ids)
+            counts.append(n)
+        return np.concatenate([np.zeros(0, np.int64), *flat]), np.concatenate([np.zeros(0, np.int64), *counts])
+
+    def pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces (texts without white space) in a row, and the number of each one's."""
+        stems = pc.ascii_rtrim(pieces, characters=self.MARKS)
+        plain = pc.match_substring_regex(stems, r"^\p{L}+$").to_numpy(zero_copy_only=False)
+        some = pa.array(np.flatnonzero(plain))
+        stem = stems.take(some).dictionary_encode()
+        tail = pc.replace_substring_regex(pieces.take(some), r"^\p{L}+", "").dictionary_encode()
+        rest = self.each(pieces.take(pa.array(np.flatnonzero(~plain))).to_pylist())
+        tails = self.each(tail.dictionary.to_pylist())
+        flat, n = self.words(stem.dictionary.to_pylist())
+        others = tails + rest
+        n = np.concatenate((n, np.array([len(x) for x in others], np.int64)))
+        flat = np.concatenate((flat, np.array([i for x in others for i in x], np.int64)))
+        # a piece is its stem's and its tail's ids, or its own
+        first = np.full(len(pieces), -1, np.int64)
+        second = np.full(len(pieces), -1, np.int64)
+        first[plain] = stem.indices.to_numpy(zero_copy_only=False)
+        second[plain] = len(stem.dictionary) + tail.indices.to_numpy(zero_copy_only=False)
+        first[~plain] = len(stem.dictionary) + len(tails) + np.arange(len(rest))
+        both = np.stack((first, second), 1)
+        used = both >= 0
+        size = np.where(used, n[both], 0).sum(1)
+        return gathered(flat, n, both[used])[0], size
+
+
+def gathered(flat: np.ndarray, n: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``pick`` of ``flat`` (run ``i`` has ``n[i]`` values) in a row, and where each ends."""
+    runs = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(flat, pa.uint32()))
+    return runs.take(pa.array(pick)).flatten().to_numpy(), np.cumsum(n[pick])
+
+
+def encoded(texts: pa.Array, encoder: Encoder, end: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts' ids, each text's ended by ``end``, and where each text's start."""
-    lists = pc.ascii_split_whitespace(texts)
+    if not encoder.by_word or pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens count case
+        own = encoder.each(texts.to_pylist())
+        n = np.array([len(x) + 1 for x in own], np.int64)
+        return np.array([i for x in own for i in (*x, end)], np.int64), np.concatenate(([0], np.cumsum(n)))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     coded = lists.flatten().dictionary_encode()
-    own = [e.ids for e in tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
-    n = np.array([len(x) for x in own] + [1], np.int64)  # the last piece is the end id
-    flat = np.array([i for x in own for i in x] + [end], np.int64)
-    at = np.cumsum(n) - n
-    pieces = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)))
-    codes = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), pieces[1:], len(own))
-    pieces = pieces + np.arange(len(pieces))
-    size = n[codes]
-    ends = np.cumsum(size)
-    ids = flat[np.repeat(at[codes] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-    return ids, np.concatenate(([0], ends))[pieces]
+    flat, n = encoder.pieces(coded.dictionary)
+    at = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)))
+    codes = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), at[1:], len(n))  # after each text, the end id
+    ids, ends = gathered(np.append(flat, end), np.append(n, 1), codes)
+    return ids, np.concatenate(([0], ends))[at + np.arange(len(at))]
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, end: int = END) -> DataFrame:
-    """doc_id, salt (orders equal doc_ids), and the ids of every whole text (4 bytes each, 2 where
+    """doc_id, salt (tells rows of equal doc_id apart), and the ids of every whole text (4 bytes each, 2 where
     the vocabulary allows)."""
     from tokenizers import Tokenizer
     kind = np.uint16 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end + 1) <= 1 << 16 else np.uint32
@@ -78,15 +165,14 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end: int = END) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer as Loaded
-        tokenizer = Loaded.from_str(definition)
+        encoder = Encoder(definition)
         for t in text_chunks(batches, size=ENCODE_BYTES):
-            ids, at = encoded(t.column("text").combine_chunks(), tokenizer, end)
+            ids, at = encoded(t.column("text").combine_chunks(), encoder, end)
             ids = ids.astype(kind)
             yield pa.RecordBatch.from_arrays([t.column("doc_id").combine_chunks(), t.column("salt").combine_chunks(),
                                               pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])])], ["doc_id", "salt", "ids"])
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("salt"), "text").mapInArrow(run, "doc_id long, salt long, ids binary")
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("salt"), "text").mapInArrow(run, "doc_id long, salt long, ids binary")
     return written(rows.withMetadata("ids", {"bytes": kind().itemsize}), "token-ids")
 
 
@@ -214,8 +300,16 @@ def write_files(rows: DataFrame, path: str, longest: int = LONGEST, block_tokens
     code_of, length_of = np.zeros(int(ids.max(initial=0)) + 1, np.uint64), np.zeros(int(ids.max(initial=0)) + 1, np.int64)
     code_of[ids], length_of[ids] = canonical(lengths), lengths
 
+    # parts of about equal numbers of documents, in doc_id order; an id that fills several shares them
+    parts = int(counts.sum()) // part_tokens + 1
+    bounds = np.array(rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id")).approxQuantile(
+        "id", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else [], np.float64).astype(np.int64)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            doc = pc.fill_null(b.column("doc_id"), NO_ID).to_numpy()
+            below = np.searchsorted(bounds, doc, "left")
+            part = below + b.column("salt").to_numpy() % (np.searchsorted(bounds, doc, "right") - below + 1)
             own = [np.frombuffer(x.as_buffer(), kind) for x in b.column("ids")]
             if not own:
                 continue
@@ -229,12 +323,11 @@ def write_files(rows: DataFrame, path: str, longest: int = LONGEST, block_tokens
             data = packed(code_of[token], size, at).tobytes()
             marks = [(at[f:f + k:CHECK] - at[f]).astype(np.uint64) for f, k in zip(first, n)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("salt"), pa.array(n, pa.int64()), pa.array([data[a:a + -(-k // 8)] for a, k in zip(byte, bits)]),
-                 pa.array([(m.astype(np.uint32) if m[-1] < 1 << 32 else m).tobytes() for m in marks])], ["doc_id", "salt", "n", "bits", "marks"])
+                [pa.array(part, pa.int32()), b.column("doc_id"), b.column("salt"), pa.array(n, pa.int64()), pa.array([data[a:a + -(-k // 8)] for a, k in zip(byte, bits)]),
+                 pa.array([(m.astype(np.uint32) if m[-1] < 1 << 32 else m).tobytes() for m in marks])], ["part", "doc_id", "salt", "n", "bits", "marks"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        part, block, held, have = TaskContext.get().partitionId(), 0, [], 0
+        part, block, held, have = None, 0, [], 0
 
         def flush() -> pa.RecordBatch:
             doc, n, bits, marks = zip(*held)
@@ -245,7 +338,12 @@ def write_files(rows: DataFrame, path: str, longest: int = LONGEST, block_tokens
                                               ["part", "block", "doc_ids", "n_tokens", "bits", "checkpoints"])
 
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "bits", "marks"))):
+            for own, *row in zip(*(b.column(c).to_pylist() for c in ("part", "doc_id", "n", "bits", "marks"))):
+                if own != part and held:
+                    yield flush()
+                    held.clear()
+                if own != part:
+                    part, block, have = own, 0, 0
                 held.append(row)
                 have += row[1]
                 if have >= block_tokens:
@@ -255,9 +353,8 @@ def write_files(rows: DataFrame, path: str, longest: int = LONGEST, block_tokens
         if held:
             yield flush()
 
-    parts = int(counts.sum()) // part_tokens + 1
-    (rows.mapInArrow(encode, "doc_id long, salt long, n long, bits binary, marks binary")
-     .repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "salt").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "salt", "n")
+    (rows.mapInArrow(encode, "part int, doc_id long, salt long, n long, bits binary, marks binary")
+     .repartition(parts, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "salt")
      .mapInArrow(assemble, "part int, " + BLOCK_FIELDS).write.partitionBy("part").option("compression", "zstd").parquet(f"{path}/blocks"))
 
 
