@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ambry.llm.common import mixed, per_text, pieces, text_bytes, word_codes, written
+from ambry.llm.common import hash_share, mixed, per_text, pieces, text_bytes, word_codes, written
 
 #: Labelled rows to learn from.
 TRAINING = 10_000
@@ -184,7 +184,7 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fit on a bounded sample; None without rows of both classes."""
-    own = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    own = (hash_share(labels.where("doc_id IS NOT NULL AND quality IS NOT NULL"), 4 * TRAINING, "doc_id").groupBy("doc_id").agg(F.min("quality").alias("quality"))
            .orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(TRAINING))
     texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(own, "doc_id").dropDuplicates(["doc_id"])
     texts = texts.withColumn("x", features_udf()(F.col("text"))).drop("text")

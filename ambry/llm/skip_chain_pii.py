@@ -32,9 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ambry.llm.common import hash_share
+
 KINDS = ("email", "ip", "card", "phone")
-#: Texts to learn from, and their size.
-TRAINING, TRAINING_BYTES = 1500, 1 << 16
+#: Texts to learn from, and their size; they are chosen among so many times as many rows.
+TRAINING, TRAINING_BYTES, TRAINING_SHARE = 1500, 1 << 16, 50
 #: Rounds of message passing and their damping; least marginal of a span's tokens.
 ROUNDS, DAMPING, SURE = 15, 0.3, 0.9
 #: Steps and size of a step of training, and its ridge.
@@ -283,7 +285,7 @@ def label_tokens(graph: Graph, spans: list[list[Span]]) -> np.ndarray:
 
 def train(docs: DataFrame) -> Field | None:
     """Fit on a bounded sample; None where it has no base match."""
-    sample = (docs.select("doc_id", "text").where((F.octet_length("text") <= TRAINING_BYTES) & F.col("text").rlike(CANDIDATE))
+    sample = (hash_share(docs.select("doc_id", "text"), TRAINING_SHARE * TRAINING, "doc_id").where((F.octet_length("text") <= TRAINING_BYTES) & F.col("text").rlike(CANDIDATE))
               .orderBy(F.xxhash64(F.lit("pii"), "doc_id"), "doc_id", F.xxhash64("text")).limit(TRAINING))
     texts = sample.toArrow().column("text").to_pylist()
     spans = [base_spans(t) for t in texts]
