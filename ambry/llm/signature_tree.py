@@ -41,7 +41,7 @@ WORDS, PERCENT = 5, 80
 #: Ratio of the sizes of a band's largest and smallest set; sets below ``SMALL`` use single shingles as parts.
 BAND, SMALL = 1.3, 16
 #: Entries of a bucket of parts, and entries that a task deals at once.
-BUCKET_ENTRIES, DEAL_ENTRIES = 500_000, 1_000_000
+BUCKET_ENTRIES, DEAL_ENTRIES = 500_000, 500_000
 #: Documents and shingles of a block.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 2_000_000
 #: Most ids of group members (8 bytes each) that are broadcast to keep other texts from being shuffled.

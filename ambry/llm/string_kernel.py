@@ -29,10 +29,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ambry.llm.common import pieces, text_bytes, written
+from ambry.llm.common import give_back, pieces, text_bytes, written
 
 #: Landmarks and training texts for each language; landmarks are no longer than this.
 LANDMARKS, TRAINING, LANDMARK_BYTES = 48, 400, 1 << 16
+#: Most ids of training texts (8 bytes each) that are broadcast.
+BROADCAST_IDS = 1_000_000
+#: Slices in which a language's training texts are chosen first.
+SLICES = 64
 #: Longest n-gram, in bytes.
 LONGEST = 3
 #: Texts scored in one matrix product.
@@ -75,7 +79,7 @@ def lookups(vocabulary: list[np.ndarray]) -> list[np.ndarray]:
     size = sum(map(len, vocabulary))
     out, at = [], 0
     for n, v in enumerate(vocabulary, 1):
-        table = np.full(1 << (8 * n), size, np.int32)
+        table = np.full(1 << (8 * n), size, np.uint16 if size < 1 << 16 else np.int32)
         table[v] = at + np.arange(len(v))
         out.append(table)
         at += len(v)
@@ -127,9 +131,13 @@ def train(docs: DataFrame) -> Model | None:
     """Fit on a bounded sample of the labelled rows; None where there is none."""
     order = F.xxhash64(F.lit("language"), F.col("doc_id"))
     own = docs.where(may_learn(docs)).select("doc_id", "lang", F.octet_length("text").alias("size")).where("size > 0")
-    ranked = lambda d, n: (d.withColumn("rank", F.row_number().over(  # noqa: E731  (its filter limits every map task)
-        Window.partitionBy("lang").orderBy(order, "doc_id", "size"))).where(F.col("rank") <= n).drop("rank"))
-    sample = ranked(own, TRAINING).select("doc_id").distinct()
+    lowest = lambda d, n, *by: d.withColumn("rank", F.row_number().over(  # noqa: E731  (its filter limits every map task)
+        Window.partitionBy(*by).orderBy(order, "doc_id", "size"))).where(F.col("rank") <= n).drop("rank")
+    # first in slices of a language, so that what all tasks bring of a large one meets in several
+    ranked = lambda d, n: lowest(lowest(d.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))), n, "lang", "slice"), n, "lang").drop("slice")
+    sample = written(ranked(own, TRAINING).select("doc_id").distinct(), "language-ids")
+    if sample.count() <= BROADCAST_IDS:  # then no other text is shuffled
+        sample = F.broadcast(sample)
     texts = written(docs.where(may_learn(docs)).select("doc_id", "lang", "text").where(F.octet_length("text") > 0)
                     .join(sample, "doc_id").dropDuplicates(["doc_id", "lang"]), "language-sample")
     few = ranked(texts.withColumn("size", F.octet_length("text")).where(F.col("size") <= LANDMARK_BYTES), LANDMARKS)
@@ -180,6 +188,7 @@ def predictor(model: Model | None):
             parts = [scored(p, tables) for p in pieces(texts)]
             names = np.concatenate([np.zeros(0, object), *[p[0] for p in parts]])
             scores = np.concatenate([np.zeros(0), *[p[1] for p in parts]])
+            give_back()
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
     return F.arrow_udf(run, "lang_pred string, score double")
