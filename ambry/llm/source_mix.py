@@ -83,6 +83,10 @@ def cuts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_EPO
     along = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     goal = (goal.withColumn("_epochs", F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))))
             .withColumn("_budget", F.round(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long")))
+    # a rest that rounds up to the whole source is one more epoch
+    full = F.col("_budget") >= F.greatest(F.col("source_size"), F.lit(1))
+    goal = goal.withColumns({"_epochs": F.when(full, F.col("_epochs") + 1).otherwise(F.col("_epochs")),
+                             "_budget": F.when(full, 0).otherwise(F.col("_budget"))})
     # the one range of each source that holds the end of its budget
     hit = (sums.withColumn("_start", F.coalesce(F.sum("_sum").over(along), F.lit(0)))
            .join(goal.select(F.col("source").alias("_s2"), "_budget"), F.col("source").eqNullSafe(F.col("_s2")))

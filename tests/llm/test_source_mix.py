@@ -2,7 +2,10 @@ import hashlib
 import random
 import re
 
-from ambry.llm.source_mix import mix, mixed_documents
+import duckdb
+import pytest
+
+from ambry.llm.source_mix import SQL, mix, mix_digest, mixed_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -80,3 +83,15 @@ def test_edges(frame, tmp_path):
     for s in ("hot", "cold"):
         own = [r for r in got if r.source == s]
         assert abs(sum(r.taken for r in own) - own[0].target) <= 60 and all(r.taken <= 3 * r.size for r in own)
+
+
+@pytest.mark.parametrize("sizes", [{"a": [3, 4], "b": [6, 7]}, {"a": [5], "b": [2, 7]}, {"a": [1, 1], "b": [3]}, {"a": [9, 0], "b": [4], "c": [5, 1]}])
+def test_rest_that_rounds_up_to_the_source(frame, tmp_path, sizes):
+    rows = [(i, s, "w " * n) for i, (s, n) in enumerate((s, n) for s, own in sizes.items() for n in own)]
+    df = frame(rows, "doc_id long, source string, text string", tmp_path)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS FROM '{tmp_path}/rows/*.parquet'")
+        want = sorted((i, size, n, round(t, 6), taken) for i, size, n, t, taken in db.execute(SQL).fetchall())
+    assert sorted((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in mix_digest(df).collect()) == want
+    words = sum(len(WORD.findall(r.text)) for r in mixed_documents(df).collect())
+    assert words == sum(x[4] for x in want) and abs(words - sum(map(sum, sizes.values()))) <= len(sizes)
