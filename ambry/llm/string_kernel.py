@@ -11,8 +11,16 @@ Bounds of what is fitted: at most ``LANDMARKS`` landmarks of at most
 ids hash lowest, among the rows that may be learned from.  n-grams that occur in
 no landmark are outside the feature space.
 
+A text resembles a language when the share of its n-grams (of ``LONGEST`` bytes, or of
+all its bytes if it has fewer) that occur in the language's landmarks is above the
+language's cut: the lowest that parts, with the fewest errors, the language's training texts
+from the same texts with their characters shuffled.  A landmark's own share counts what other
+landmarks have.  Neither share nor cut depends on the number of languages.  ``resembles`` asks
+this of the predicted language and, as single words may be common to several, then of the others.
+
 Defined cases: text that is null or has no letter is ``und`` with score 0, as is
-every text when there is nothing to learn from; rows without lang are predicted
+every text when there is nothing to learn from, and resembles nothing; where nothing
+parts the two (as with a single landmark) any known n-gram will do; rows without lang are predicted
 but not learned from; repeated rows are predicted alike; an empty table gives an
 empty result; other columns pass through, and those that the operator adds
 replace any of the same name.
@@ -54,6 +62,8 @@ class Model:
     vocabulary: list[np.ndarray]   # for each n, the n-grams in ascending order
     landmarks: np.ndarray          # landmarks x features, 0 or 1
     weights: np.ndarray            # landmarks x languages; holds the Nyström map
+    known: np.ndarray              # languages x features and one more: n-grams of the language's landmarks
+    cuts: np.ndarray               # for each language, the share of known n-grams that a text must exceed
 
 
 def prepared(texts: pa.Array) -> pa.Array:
@@ -105,6 +115,36 @@ def kernel(texts: pa.Array, tables: list[np.ndarray], landmarks: np.ndarray) ->
     return shared / norm
 
 
+def known_share(raw: np.ndarray, tables: list[np.ndarray], known: np.ndarray) -> float:
+    """Share of the text's longest n-grams whose feature is known; 0 for an empty text."""
+    n = min(len(raw), LONGEST)
+    return float(known[tables[n - 1][grams(raw, n)]].mean()) if n else 0.0
+
+
+def shuffled(texts: pa.Array) -> pa.Array:
+    """The texts with their characters in a random order that depends on the text's length only."""
+    out = []
+    for t in texts.to_pylist():
+        chars = np.frombuffer(t.encode("utf-32-le"), "<u4")
+        out.append(np.random.default_rng(len(chars)).permutation(chars).tobytes().decode("utf-32-le"))
+    return pa.array(out, pa.string())
+
+
+def holders(landmarks: np.ndarray, labels: np.ndarray, n_labels: int) -> np.ndarray:
+    """Languages x features and one more (of unknown n-grams): how many landmarks of the language have it."""
+    out = np.zeros((n_labels, landmarks.shape[1] + 1), np.int32)
+    for i in range(n_labels):
+        out[i, :-1] = landmarks[labels == i].sum(0, dtype=np.int32)
+    return out
+
+
+def cut_of(own: np.ndarray, mixed: np.ndarray) -> float:
+    """The lowest cut with the fewest texts at or below it and shuffled ones above it."""
+    at = np.unique(np.append(mixed, 0.0))
+    wrong = np.searchsorted(np.sort(own), at, "right") + len(mixed) - np.searchsorted(np.sort(mixed), at, "right")
+    return float(at[wrong.argmin()])
+
+
 def fit_ridge(k_mm: np.ndarray, k_nm: np.ndarray, labels: np.ndarray, n_labels: int) -> np.ndarray:
     """One-versus-rest ridge regression on the Nyström map of the landmarks' kernel matrix."""
     values, vectors = np.linalg.eigh(k_mm + JITTER * np.eye(len(k_mm)))
@@ -151,54 +191,77 @@ def train(docs: DataFrame) -> Model | None:
     m = presence(prepared(marks), tables, size)
     counts = m.astype(np.float32) @ m.T.astype(np.float32)
     norm = np.sqrt(np.maximum(m.sum(1, dtype=np.float64), 1))
+    of = np.array([languages.index(x) for x in chosen.column("lang").to_pylist()])
+    held = holders(m, of, len(languages))
+    marked = set(zip(chosen.column("doc_id").to_pylist(), chosen.column("lang").to_pylist()))
     rows = texts.where(F.col("lang").isin(languages)).select("doc_id", "lang", "text").mapInArrow(
-        _kernel_rows(vocabulary, m), "doc_id long, lang string, k array<double>").orderBy("doc_id", "lang").toArrow()
+        _kernel_rows(vocabulary, m, languages, held, marked),
+        "doc_id long, lang string, k array<double>, own double, mixed double").orderBy("doc_id", "lang").toArrow()
     k = np.stack(rows.column("k").to_numpy())
     labels = np.array([languages.index(x) for x in rows.column("lang").to_pylist()])
-    return Model(languages, vocabulary, m, fit_ridge(counts / (norm[:, None] * norm[None]), k, labels, len(languages)))
+    own, mixed = (rows.column(c).to_numpy() for c in ("own", "mixed"))
+    cuts = np.array([cut_of(own[labels == i], mixed[labels == i]) for i in range(len(languages))])
+    return Model(languages, vocabulary, m, fit_ridge(counts / (norm[:, None] * norm[None]), k, labels, len(languages)), held > 0, cuts)
 
 
-def _kernel_rows(vocabulary: list[np.ndarray], landmarks: np.ndarray):
+def _kernel_rows(vocabulary: list[np.ndarray], landmarks: np.ndarray, languages: list[str], held: np.ndarray, marked: set):
+    """Each training text's kernel with the landmarks, and its known share as it is and shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = lookups(vocabulary)
         for b in batches:
             for at in range(0, b.num_rows, ROWS):
                 part = b.slice(at, ROWS)
-                k = kernel(prepared(part.column("text")), tables, landmarks)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(list(k))], ["doc_id", "lang", "k"])
+                clean = prepared(part.column("text"))
+                k = kernel(clean, tables, landmarks)
+                shares = [[], []]
+                langs = part.column("lang").to_pylist()
+                least = [1 + (row in marked) for row in zip(part.column("doc_id").to_pylist(), langs)]  # but its own
+                for out, texts in zip(shares, (clean, prepared(shuffled(clean)))):
+                    raw, starts = text_bytes(texts)
+                    for lang, n, s, e in zip(langs, least, starts[:-1], starts[1:]):
+                        out.append(known_share(raw[s:e], tables, held[languages.index(lang)] >= n))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("lang"), pa.array(list(k)), *[pa.array(x, pa.float64()) for x in shares]],
+                    ["doc_id", "lang", "k", "own", "mixed"])
     return run
 
 
 def predictor(model: Model | None):
-    """A column function from text to a struct of lang_pred and score."""
-    def scored(texts: pa.Array, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A column function from text to a struct of lang_pred, score and resembles."""
+    def scored(texts: pa.Array, tables: list[np.ndarray]) -> tuple[np.ndarray, ...]:
         if model is None:
-            return np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            return np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.zeros(len(texts), bool)
         clean = prepared(texts)
         f = np.concatenate([kernel(clean.slice(at, ROWS), tables, model.landmarks) @ model.weights
                             for at in range(0, len(texts), ROWS)])
         e = np.exp(SHARPNESS * (f - f.max(1, keepdims=True)))
         lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
         names = np.array(model.languages, object)[f.argmax(1)]
-        return np.where(lettered, names, UNKNOWN), np.where(lettered, np.round((e / e.sum(1, keepdims=True)).max(1), 6), 0.0)
+        raw, starts = text_bytes(clean)
+        alike = [any(known_share(raw[start:end], tables, model.known[i]) > model.cuts[i] for i in order)
+                 for order, start, end in zip(np.argsort(-f, 1), starts[:-1], starts[1:])]
+        return (np.where(lettered, names, UNKNOWN), np.where(lettered, np.round((e / e.sum(1, keepdims=True)).max(1), 6), 0.0),
+                lettered & np.array(alike, bool))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = lookups(model.vocabulary) if model else []
         for texts in batches:
             parts = [scored(p, tables) for p in pieces(texts)]
-            names = np.concatenate([np.zeros(0, object), *[p[0] for p in parts]])
-            scores = np.concatenate([np.zeros(0), *[p[1] for p in parts]])
+            names, scores, alike = (np.concatenate([np.zeros(0, kind), *[p[i] for p in parts]])
+                                    for i, kind in enumerate((object, float, bool)))
             give_back()
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores), pa.array(alike)],
+                                             ["lang_pred", "score", "resembles"])
 
-    return F.arrow_udf(run, "lang_pred string, score double")
+    return F.arrow_udf(run, "lang_pred string, score double, resembles boolean")
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """``docs`` with lang_pred and score; without a model one is trained on ``docs``."""
+    """``docs`` with lang_pred, score and resembles; without a model one is trained on ``docs``."""
     model = model or train(docs)
-    return (docs.drop("lang_pred", "score", "_p").withColumn("_p", predictor(model)(F.col("text")))
-            .withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p"))
+    names = ["lang_pred", "score", "resembles"]
+    return (docs.drop(*names, "_p").withColumn("_p", predictor(model)(F.col("text")))
+            .withColumns({n: F.col(f"_p.{n}") for n in names}).drop("_p"))
 
 
 def language_digest(docs: DataFrame) -> DataFrame:

@@ -16,15 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ambry.llm import decontaminate, hash_tree, signature_tree, source_mix, string_kernel
 from ambry.llm.common import brought_back, set_aside, table, written
 
-#: Least score of a predicted language; with four languages chance has 0.25.
-MIN_LANGUAGE_SCORE = 0.3
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; unknown ones and those that resemble none go."""
     own = ["doc_id", "text", "lang"]
     found = string_kernel.identify(set_aside(docs, own))
-    kept = found.where(f"lang_pred <> '{string_kernel.UNKNOWN}' AND score >= {MIN_LANGUAGE_SCORE}")
+    kept = found.where(f"lang_pred <> '{string_kernel.UNKNOWN}' AND resembles")
     return brought_back(kept, docs.columns, own)
 
 

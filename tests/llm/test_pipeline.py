@@ -57,3 +57,18 @@ def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", SCHEMA), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_language_stage_rejects_what_resembles_none(spark, tmp_path):
+    for langs in (["aa"], ["aa", "bb"], list(SYLLABLES)):
+        rng = random.Random(4)
+        rows = [(i, text(langs[i % len(langs)], rng, rng.randrange(8, 80)), langs[i % len(langs)]) for i in range(240)]
+        clean = {1000 + i: text(lang, rng, n) for i, (lang, n) in enumerate((lang, n) for lang in langs for n in [1] * 10 + [3, 200])}
+        bad = ["Привет, как дела сегодня", "語言識別很難", "я", "語", "xkcd qzjv wvbq pjxk zqvw bvxz", "Zxqvkj", "asdfjkl qwerzuiop yxcvm " * 20]
+        strange = {2000 + i: t for i, t in enumerate(bad)}
+        rows += [(i, t, None) for i, t in (clean | strange).items()]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        path = str(tmp_path / "".join(langs))
+        docs.write.parquet(path)
+        kept = {r.doc_id for r in corpus_pipeline.language(spark, spark.read.parquet(path), "").collect()}
+        assert kept == {r[0] for r in rows} - set(strange)
