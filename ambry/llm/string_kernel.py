@@ -6,10 +6,11 @@ with every run of other ASCII than letters as one space.  Landmarks give a
 Nyström map, on which one-versus-rest kernel ridge regression is solved; texts
 are scored by batched matrix products of their presence rows with the landmarks'.
 
-Bounds of what is fitted: at most ``LANDMARKS`` landmarks of at most
-``LANDMARK_BYTES`` bytes and ``TRAINING`` training texts a language, those whose
-ids hash lowest, among the rows that may be learned from.  n-grams that occur in
-no landmark are outside the feature space.
+Bounds of what is fitted: at most ``TRAINING`` training texts a language, those whose
+ids hash lowest among the rows that may be learned from, and of these at most
+``LANDMARKS`` landmarks, those of at most ``LANDMARK_BYTES`` bytes first.  A longer
+landmark has, of each length, at most as many n-grams, those that hash lowest.  n-grams
+that occur in no landmark are outside the feature space.
 
 A text resembles a language when the share of its n-grams (of ``LONGEST`` bytes, or of
 all its bytes if it has fewer) that occur in the language's landmarks is above the
@@ -37,9 +38,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ambry.llm.common import give_back, pieces, text_bytes, written
+from ambry.llm.common import give_back, mixed, pieces, text_bytes, written
 
-#: Landmarks and training texts for each language; landmarks are no longer than this.
+#: Landmarks and training texts for each language; landmarks have at most so many n-grams of a length.
 LANDMARKS, TRAINING, LANDMARK_BYTES = 48, 400, 1 << 16
 #: Most ids of training texts (8 bytes each) that are broadcast.
 BROADCAST_IDS = 1_000_000
@@ -84,6 +85,18 @@ def vocabulary_of(texts: pa.Array) -> list[np.ndarray]:
             for n in range(1, LONGEST + 1)]
 
 
+def landmark_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each n, every text's n-grams, or those that hash lowest."""
+    for b in batches:
+        for i in range(b.num_rows):
+            row = b.slice(i, 1)
+            sets = vocabulary_of(row.column("text"))
+            few = [v if len(v) <= LANDMARK_BYTES else np.sort(v[np.argsort(mixed(v))[:LANDMARK_BYTES]]) for v in sets]
+            yield pa.RecordBatch.from_arrays([row.column("doc_id"), row.column("lang"), *[pa.array([v], pa.list_(pa.int32())) for v in few]],
+                                             ["doc_id", "lang", *[f"g{n}" for n in range(1, LONGEST + 1)]])
+            give_back()
+
+
 def lookups(vocabulary: list[np.ndarray]) -> list[np.ndarray]:
     """For each n, the feature of every possible n-gram; the last feature stands for unknown ones."""
     size = sum(map(len, vocabulary))
@@ -138,10 +151,10 @@ def holders(landmarks: np.ndarray, labels: np.ndarray, n_labels: int) -> np.ndar
     return out
 
 
-def cut_of(own: np.ndarray, mixed: np.ndarray) -> float:
+def cut_of(own: np.ndarray, other: np.ndarray) -> float:
     """The lowest cut with the fewest texts at or below it and shuffled ones above it."""
-    at = np.unique(np.append(mixed, 0.0))
-    wrong = np.searchsorted(np.sort(own), at, "right") + len(mixed) - np.searchsorted(np.sort(mixed), at, "right")
+    at = np.unique(np.append(other, 0.0))
+    wrong = np.searchsorted(np.sort(own), at, "right") + len(other) - np.searchsorted(np.sort(other), at, "right")
     return float(at[wrong.argmin()])
 
 
@@ -170,25 +183,30 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame) -> Model | None:
     """Fit on a bounded sample of the labelled rows; None where there is none."""
     order = F.xxhash64(F.lit("language"), F.col("doc_id"))
+    long = F.col("size") > LANDMARK_BYTES
     own = docs.where(may_learn(docs)).select("doc_id", "lang", F.octet_length("text").alias("size")).where("size > 0")
-    lowest = lambda d, n, *by: d.withColumn("rank", F.row_number().over(  # noqa: E731  (its filter limits every map task)
-        Window.partitionBy(*by).orderBy(order, "doc_id", "size"))).where(F.col("rank") <= n).drop("rank")
+    lowest = lambda d, n, *by, first=(): d.withColumn("rank", F.row_number().over(  # noqa: E731  (its filter limits every map task)
+        Window.partitionBy(*by).orderBy(*first, order, "doc_id", "size"))).where(F.col("rank") <= n).drop("rank")
     # first in slices of a language, so that what all tasks bring of a large one meets in several
-    ranked = lambda d, n: lowest(lowest(d.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))), n, "lang", "slice"), n, "lang").drop("slice")
+    ranked = lambda d, n, **how: lowest(lowest(d.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))), n, "lang", "slice", **how), n, "lang", **how).drop("slice")
     sample = written(ranked(own, TRAINING).select("doc_id").distinct(), "language-ids")
     if sample.count() <= BROADCAST_IDS:  # then no other text is shuffled
         sample = F.broadcast(sample)
     texts = written(docs.where(may_learn(docs)).select("doc_id", "lang", "text").where(F.octet_length("text") > 0)
                     .join(sample, "doc_id").dropDuplicates(["doc_id", "lang"]), "language-sample")
-    few = ranked(texts.withColumn("size", F.octet_length("text")).where(F.col("size") <= LANDMARK_BYTES), LANDMARKS)
-    chosen = few.select("doc_id", "lang", "text").orderBy("lang", "doc_id").toArrow()
+    few = ranked(texts.withColumn("size", F.octet_length("text")), LANDMARKS, first=[long])
+    chosen = few.select("doc_id", "lang", "text").mapInArrow(landmark_grams, "doc_id long, lang string, " + ", ".join(
+        f"g{n} array<int>" for n in range(1, LONGEST + 1))).orderBy("lang", "doc_id").toArrow()
     if not chosen.num_rows:
         return None
     languages = sorted(set(chosen.column("lang").to_pylist()), key=lambda x: x.encode())
-    marks = chosen.column("text").combine_chunks()
-    vocabulary = vocabulary_of(marks)
-    tables, size = lookups(vocabulary), sum(map(len, vocabulary))
-    m = presence(prepared(marks), tables, size)
+    sets = [chosen.column(f"g{n}").combine_chunks() for n in range(1, LONGEST + 1)]
+    vocabulary = [np.unique(x.flatten().to_numpy()) for x in sets]
+    size, at = sum(map(len, vocabulary)), 0
+    m = np.zeros((chosen.num_rows, size), np.uint8)
+    for x, v in zip(sets, vocabulary):
+        m[np.repeat(np.arange(len(x)), pc.list_value_length(x).to_numpy()), at + np.searchsorted(v, x.flatten().to_numpy())] = 1
+        at += len(v)
     counts = m.astype(np.float32) @ m.T.astype(np.float32)
     norm = np.sqrt(np.maximum(m.sum(1, dtype=np.float64), 1))
     of = np.array([languages.index(x) for x in chosen.column("lang").to_pylist()])
@@ -196,11 +214,11 @@ def train(docs: DataFrame) -> Model | None:
     marked = set(zip(chosen.column("doc_id").to_pylist(), chosen.column("lang").to_pylist()))
     rows = texts.where(F.col("lang").isin(languages)).select("doc_id", "lang", "text").mapInArrow(
         _kernel_rows(vocabulary, m, languages, held, marked),
-        "doc_id long, lang string, k array<double>, own double, mixed double").orderBy("doc_id", "lang").toArrow()
+        "doc_id long, lang string, k array<double>, own double, other double").orderBy("doc_id", "lang").toArrow()
     k = np.stack(rows.column("k").to_numpy())
     labels = np.array([languages.index(x) for x in rows.column("lang").to_pylist()])
-    own, mixed = (rows.column(c).to_numpy() for c in ("own", "mixed"))
-    cuts = np.array([cut_of(own[labels == i], mixed[labels == i]) for i in range(len(languages))])
+    own, other = (rows.column(c).to_numpy() for c in ("own", "other"))
+    cuts = np.array([cut_of(own[labels == i], other[labels == i]) for i in range(len(languages))])
     return Model(languages, vocabulary, m, fit_ridge(counts / (norm[:, None] * norm[None]), k, labels, len(languages)), held > 0, cuts)
 
 
@@ -222,7 +240,7 @@ def _kernel_rows(vocabulary: list[np.ndarray], landmarks: np.ndarray, languages:
                         out.append(known_share(raw[s:e], tables, held[languages.index(lang)] >= n))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("lang"), pa.array(list(k)), *[pa.array(x, pa.float64()) for x in shares]],
-                    ["doc_id", "lang", "k", "own", "mixed"])
+                    ["doc_id", "lang", "k", "own", "other"])
     return run
 
 

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from ambry.llm.string_kernel import fit_ridge, identify, kernel, language_digest, lookups, prepared, presence, train, vocabulary_of
+from ambry.llm.string_kernel import fit_ridge, identify, kernel, landmark_grams, language_digest, lookups, prepared, presence, train, vocabulary_of
 
 SYLLABLES = {"aa": "the tion ing er an st ou wh".split(), "bb": "sch ung der ein ü ß keit zu".split(), "cc": "ción de la os ñ que í as".split()}
 
@@ -72,3 +72,29 @@ def test_edges(frame, tmp_path):
     assert {r.lang_pred for r in got if r.doc_id == 103} <= {"aa", "bb"} and [r.lang_pred for r in got if len(r.text or "") > 1000] == ["aa"]
     none = identify(frame([(1, "some text", None, "s")], schema, tmp_path / "c")).collect()
     assert [(r.lang_pred, r.score) for r in none] == [("und", 0.0)]
+
+
+def test_languages_of_long_texts_only(frame, tmp_path):
+    rng = random.Random(6)
+    own = [(i, text("cc", rng, 16000), "cc") for i in range(12)]
+    assert all(len(t.encode()) > 1 << 16 for _, t, _ in own)
+    short = [(100 + i, text(x, rng, 40), x) for i, x in enumerate(["aa", "bb"] * 60)]
+    asked = [(1000 + i, text(x, rng, 30), None) for i, x in enumerate(list(SYLLABLES) * 10)]
+    schema = "doc_id long, text string, lang string"
+    got = {r.doc_id: r for r in identify(frame(own + short + asked, schema, tmp_path / "a")).collect()}
+    assert all(got[i].lang_pred == x and got[i].resembles for i, _, x in own + short)
+    assert all(got[1000 + i].lang_pred == x and got[1000 + i].resembles for i, x in enumerate(list(SYLLABLES) * 10))
+    alone = identify(frame(own, schema, tmp_path / "b")).collect()
+    assert {(r.lang_pred, r.resembles) for r in alone} == {("cc", True)}
+
+
+def test_landmarks_have_a_bounded_set_of_grams():
+    rng = np.random.default_rng(5)
+    big, small = "".join(map(chr, rng.integers(0x800, 0xD7FF, 120_000))), "der ein"
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "lang": ["x", "y"], "text": [big, small]})
+    out = pa.Table.from_batches(landmark_grams([batch])).to_pydict()
+    for n in (1, 2, 3):
+        want = [v.tolist() for v in (vocabulary_of(pa.array([t]))[n - 1] for t in (big, small))]
+        assert out[f"g{n}"][1] == want[1] and set(out[f"g{n}"][0]) <= set(want[0])
+        assert len(out[f"g{n}"][0]) == min(len(want[0]), 1 << 16) and out[f"g{n}"][0] == sorted(out[f"g{n}"][0])
+    assert len(vocabulary_of(pa.array([big]))[2]) > 1 << 16
