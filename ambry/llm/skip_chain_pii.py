@@ -8,11 +8,12 @@ however far away, by skip edges with potentials of their own.  Loopy sum-product
 message passing over all edges makes labels agree across the document.  Tokens
 that are labelled with confidence where no base match lies become further spans.
 
-The field is trained on the base matches of a bounded sample of texts (at most
-``TRAINING`` texts of at most ``TRAINING_BYTES`` bytes, those whose ids hash
-lowest), in which matches are also rewritten into forms that the patterns miss
-(no "+", other separators, "(at)", "[.]") and numbers of other kinds are mixed
-in; weights maximise the pseudo-likelihood.
+The field is trained on the base matches of a bounded sample of texts: at most
+``TRAINING`` candidate texts of at most ``TRAINING_BYTES`` bytes, of the whole
+table.  Half of them are for texts with a base match, in equal parts for each
+kind, the others for candidates of any sort; each part takes the texts whose ids
+hash lowest.  In them matches are also rewritten into forms that the patterns miss (no "+", other
+separators, "(at)", "[.]") and numbers of other kinds are mixed in; weights maximise the pseudo-likelihood.
 
 Offsets are code points, ends exclusive.  Defined cases: null or empty text has
 no spans; without base matches to learn from only base spans are given; repeated
@@ -32,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ambry.llm.common import hash_share
+from ambry.llm.common import hash_share, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Texts to learn from, and their size; they are chosen among so many times as many rows.
@@ -283,11 +284,34 @@ def label_tokens(graph: Graph, spans: list[list[Span]]) -> np.ndarray:
     return labels
 
 
+def _kinds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """For each text, bits of the kinds that it has a base match of."""
+    for texts in batches:
+        yield pa.array([sum({1 << KINDS.index(kind) for kind, _, _ in base_spans(t)}) for t in texts.to_pylist()], pa.int32())
+
+
+def training_texts(docs: DataFrame) -> list[str]:
+    """The bounded sample, drawn for each kind from all texts with a match."""
+    short = docs.select("doc_id", "text").where((F.octet_length("text") <= TRAINING_BYTES) & F.col("text").rlike(CANDIDATE))
+    own = short.withColumn("tie", F.xxhash64("text"))
+    found = written(own.select("doc_id", "tie", F.arrow_udf(_kinds, "int")(F.col("text")).alias("kinds")), "pii-kinds").distinct()
+    order = [F.xxhash64(F.lit("pii"), "doc_id"), "doc_id", "tie"]
+    each = TRAINING // (2 * len(KINDS))
+    parts = [(found.where(F.col("kinds").bitwiseAND(1 << i) != 0), each) for i in range(len(KINDS))]
+    parts.append((found, TRAINING - each * len(KINDS)))
+    chosen = None
+    for rows, n in parts:
+        part = hash_share(rows, TRAINING_SHARE * n, "doc_id", "tie").orderBy(*order).limit(n).select("doc_id", "tie")
+        chosen = part if chosen is None else chosen.union(part)
+    chosen = F.broadcast(written(chosen.distinct(), "pii-chosen").select(F.col("doc_id").alias("_d"), F.col("tie").alias("_t")))
+    sample = (own.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t")), "left_semi")
+              .dropDuplicates(["doc_id", "tie"]).orderBy(*order))
+    return sample.toArrow().column("text").to_pylist()
+
+
 def train(docs: DataFrame) -> Field | None:
-    """Fit on a bounded sample; None where it has no base match."""
-    sample = (hash_share(docs.select("doc_id", "text"), TRAINING_SHARE * TRAINING, "doc_id").where((F.octet_length("text") <= TRAINING_BYTES) & F.col("text").rlike(CANDIDATE))
-              .orderBy(F.xxhash64(F.lit("pii"), "doc_id"), "doc_id", F.xxhash64("text")).limit(TRAINING))
-    texts = sample.toArrow().column("text").to_pylist()
+    """Fit on a bounded sample; None where the table's short texts have no base match."""
+    texts = training_texts(docs)
     spans = [base_spans(t) for t in texts]
     if not any(spans):
         return None

@@ -4,7 +4,8 @@ import re
 import numpy as np
 import pytest
 
-from ambry.llm.skip_chain_pii import KINDS, Field, N_FEATURES, EDGES, base_spans, find_personal_data, graph_of, luhn, marginals, personal_data_digest, train
+from ambry.llm import skip_chain_pii
+from ambry.llm.skip_chain_pii import KINDS, Field, N_FEATURES, EDGES, base_spans, find_personal_data, graph_of, luhn, marginals, personal_data_digest, train, training_texts
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -105,3 +106,17 @@ def test_edges(docs, frame, tmp_path):
     rows = frame([(1, "x@y.org", "k", 5)] * 3 + [(2, "w " * 100_000 + "1.2.3.4", "k", 5)], "doc_id long, text string, spans string, n_ip int", tmp_path)
     got = find_personal_data(rows).collect()
     assert sorted((x.doc_id, x.n_email, x.n_ip) for x in got) == [(1, 1, 0)] * 3 + [(2, 0, 1)]
+
+
+def test_rare_matches_are_learned_from(docs, monkeypatch):
+    monkeypatch.setattr(skip_chain_pii, "TRAINING", 160)
+    rare = [t for t in corpus(600) if by_hand(t)]
+    texts = [f"in {1000 + i} we had {i % 7} of version {i % 9}.{i % 5}" for i in range(40_000)] + rare
+    df = docs(texts)
+    chosen = training_texts(df)
+    assert len(chosen) <= 160 and all(sum(any(k == kind for k, _, _ in by_hand(t)) for t in chosen) >= 20 for kind in KINDS)
+    assert sum(not by_hand(t) for t in chosen) >= 60
+    learned = train(df)
+    asked = {0: "mail joe.77(at)mail7.example.com please", 1: "host 81[.]117[.]189[.]12 is down", 2: "paid 4335.2524.6048.2461 today", 3: "in 1999 we had 3 of version 2.1"}
+    got = {r.doc_id: r.spans for r in find_personal_data(docs(asked), learned).collect()}
+    assert got[0].startswith("email") and got[1].startswith("ip") and got[2].startswith("card") and got[3] == ""
