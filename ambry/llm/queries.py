@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ambry.llm import boosted_quality, decontaminate, hash_tree, huffman_ids, line_index, signature_tree, skip_chain_pii, source_mix, string_kernel, warc_revisit
+from ambry.llm import (boosted_quality, decontaminate, hash_tree, huffman_ids, line_index, merkle, signature_tree, skip_chain_pii,
+                       small_world, source_mix, string_kernel, threshold_join, warc_revisit)
 from ambry.llm.common import table
 
 
@@ -47,5 +48,21 @@ def op8_boosted_quality(spark, sf_dir):
     return boosted_quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_simhash_decontamination, op3_hash_tree_shards, op4_huffman_token_ids, op5_skip_chain_pii, op6_line_index_dedup, op7_signature_tree_join, op8_boosted_quality, op9_source_mix, op10_string_kernel_language)}
-ORACLE = {"op1_warc_revisits": warc_revisit.SQL, "op6_line_index_dedup": line_index.SQL, "op9_source_mix": source_mix.SQL}
+def op11_small_world_neighbours(spark, sf_dir):
+    return small_world.neighbour_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_threshold_hard_negatives(spark, sf_dir):
+    return threshold_join.hard_negative_report(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_warc_revisits, op2_simhash_decontamination, op3_hash_tree_shards, op4_huffman_token_ids, op5_skip_chain_pii,
+    op6_line_index_dedup, op7_signature_tree_join, op8_boosted_quality, op9_source_mix, op10_string_kernel_language,
+    op11_small_world_neighbours, op12_merkle_manifest, op13_threshold_hard_negatives)}
+ORACLE = {"op1_warc_revisits": warc_revisit.SQL, "op6_line_index_dedup": line_index.SQL, "op9_source_mix": source_mix.SQL,
+          "op12_merkle_manifest": merkle.SQL, "op13_threshold_hard_negatives": threshold_join.SQL}
