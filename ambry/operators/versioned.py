@@ -36,8 +36,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def last_version(spark: SparkSession, root: str, before: int) -> int | None:
-    """The newest version below ``before`` that was written whole."""
-    return next((v for v in range(before - 1, -1, -1) if exists(spark, f"{version_path(root, v)}/_SUCCESS")), None)
+    """The newest version below ``before`` that was written whole.  The folder is listed once."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    found = sorted((int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()), reverse=True)
+    return next((v for v in found if v < before and exists(spark, f"{version_path(root, v)}/_SUCCESS")), None)
 
 
 def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:

@@ -167,21 +167,12 @@ def a3_totals(spark, sf_dir):
                             StructType.fromDDL(RETURN_TOTALS), "stg.return_totals")
 
 
-PRODUCT_INFO_SQL = """
-SELECT id, seller_id, category_id, total_stock_quantity,
-       coalesce(created_at + INTERVAL 7 DAYS >= run_at, false), run_at
-FROM (SELECT *, TIMESTAMP_NTZ '{as_of}' AS run_at FROM src_product) WHERE approval_status_id IN (1)
-"""
-
-
 @query("a3_extract_product_info")
 def a3(spark, sf_dir):
+    """A stage table loaded by position from a query over another frame."""
     from ambry.plans.scoring import PRODUCT_INFO
     from ambry.sources.extract import extract_and_load
-    t = Tables(spark, sf_dir)
-    sql = PRODUCT_INFO_SQL.format(as_of=params.AS_OF.strftime("%Y-%m-%d %H:%M:%S"))
-    return extract_and_load(spark, sql, {"src_product": proxies.src_product(t)},
-                            PRODUCT_INFO, "stg.product_info")
+    return extract_and_load(spark, "SELECT * FROM listed", {"listed": ScoringRun(spark, sf_dir).product_info}, PRODUCT_INFO, "stg.product_info")
 
 
 def view_count_csv(spark, sf_dir) -> str:
@@ -233,14 +224,20 @@ def p14(spark, sf_dir):
 
 @query("p14_second_run")
 def p14_again(spark, sf_dir):
-    """Nothing changed since the first publish: no message."""
+    """After the first publish every eighth score falls by one: only these are sent."""
     import datetime as dt
 
+    from pyspark.sql import functions as F
+
     from ambry.operators.state import empty_publish_state
     from ambry.plans.publish import publish_scores
-    scores, at = _score_table(spark, sf_dir), params.AS_OF + dt.timedelta(seconds=1)
+    at = params.AS_OF + dt.timedelta(seconds=1)
+    later = at + dt.timedelta(hours=1)
+    scores = _score_table(spark, sf_dir)
     _, state = publish_scores(spark, scores, empty_publish_state(spark), at)
-    return publish_scores(spark, scores, state, at + dt.timedelta(hours=1), params.PUBLISH_BATCH_SIZE)[0]
+    offered = scores.withColumn("score", F.when(F.col("product_id") % 8 == 0, F.col("score") - 1).otherwise(F.col("score")).cast("decimal(10,2)"))
+    changed = materialize(conditional_upsert(scores, offered, "product_id", ["score"], "updated_at", later), "scores-later")
+    return publish_scores(spark, changed, state, later + params.PUBLISH_DELAY, params.PUBLISH_BATCH_SIZE)[0]
 
 
 @query("j5_publish_state")

@@ -185,3 +185,20 @@ def test_cli_warehouse(spark):
     out = main(["warehouse", "--sf-dir", SF, "--store", store, "--run-id", "0", "--as-of", "2001-08-02T00:00:00"])
     assert spark.read.parquet(out["order_global_report"]).count() == Tables(spark, SF).orders.count()
     assert spark.read.parquet(out["_silver_state"]).count() == 8
+
+
+def test_last_version_with_a_date_as_run_id(spark, tmp_path):
+    import time
+
+    from ambry.operators.versioned import last_version, write_version
+    root = str(tmp_path / "t")
+    assert last_version(spark, root, 20261202) is None
+    df = spark.range(1)
+    for v in (3, 20261130, 20261203):
+        write_version(df, root, v)
+    (tmp_path / "t" / "v20261201").mkdir()  # a run that failed before its write was whole
+    (tmp_path / "t" / "notes").mkdir()
+    start = time.time()
+    assert last_version(spark, root, 20261202) == 20261130
+    assert last_version(spark, root, 20261130) == 3 and last_version(spark, root, 3) is None
+    assert time.time() - start < 5

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ambry.oracle import all_sql
+from ambry.registry import QUERIES
 from ambry.sources.tables import TABLES
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -32,7 +34,8 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(all_sql())
+    assert set(QUERIES) <= set(E.queries()) and set(all_sql()) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -44,14 +47,14 @@ SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boo
                  "timestamp_ntz": "TIMESTAMP", "date": "DATE", "double": "DOUBLE", "smallint": "SMALLINT"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    rel = con.sql(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    rel = con.sql(all_sql()[name])
     duck_types = {c: str(t).replace(" ", "") for c, t in zip(rel.columns, rel.types)}
     spark_types = {c: SPARK_TO_DUCK.get(t, t.upper().replace(" ", "")) for c, t in df.dtypes}
     assert spark_types == duck_types
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(all_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     si = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
@@ -81,7 +84,7 @@ def _plan(df):
 
 
 def test_plans_semi_join_pushdown_no_python(spark):
-    q = E.queries()
+    q = QUERIES
     p6 = _plan(q["p6_order_items"](spark, SF_SMALL))
     assert "LeftSemi" in p6
     assert "GreaterThanOrEqual(l_shipdate" in p6
@@ -92,7 +95,7 @@ def test_plans_semi_join_pushdown_no_python(spark):
 
 
 def test_category_states_single_aggregate(spark):
-    p = E.queries()["p10_category_states"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    p = QUERIES["p10_category_states"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     # the four averages come from one Aggregate over product_stats, not four
     assert p.count("Aggregate [category_id") == 1
 
@@ -110,8 +113,8 @@ def test_fallback_paths_match_oracle(spark, con, monkeypatch, name):
     monkeypatch.setattr(params, "BROADCAST_MAX_ROWS", 0)
     monkeypatch.setattr(params, "DIM_BROADCAST_MAX_ROWS", 0)
     monkeypatch.setattr(params, "HOT_KEY_ROWS", 5)
-    df = E.queries()[name](spark, SF_SMALL)
-    cur = con.execute(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    cur = con.execute(all_sql()[name])
     ocols = [d[0] for d in cur.description]
     si = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
     oi = sorted(range(len(ocols)), key=lambda i: ocols[i])
