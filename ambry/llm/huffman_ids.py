@@ -28,6 +28,7 @@ columns are left out.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -112,7 +113,10 @@ class Encoder:
     def pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces (texts without white space) in a row, and the number of each one's."""
         stems = pc.ascii_rtrim(pieces, characters=self.MARKS)
-        plain = pc.match_substring_regex(stems, r"^\p{L}+$").to_numpy(zero_copy_only=False)
+        plain = pc.match_substring_regex(stems, r"^\p{L}+$").to_numpy(zero_copy_only=False).copy()
+        # letters that lose a mark when normalised ("İ" becomes an i and a dot above): the mark would join those behind the word
+        foreign = np.flatnonzero(plain & pc.match_substring_regex(stems, r"[^\x00-\x7F]").to_numpy(zero_copy_only=False))
+        plain[foreign] = [unicodedata.normalize("NFC", w).lower().isalpha() for w in stems.take(pa.array(foreign)).to_pylist()]
         some = pa.array(np.flatnonzero(plain))
         stem = stems.take(some).dictionary_encode()
         tail = pc.replace_substring_regex(pieces.take(some), r"^\p{L}+", "").dictionary_encode()

@@ -98,3 +98,21 @@ def test_edges(docs):
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.start, r.n_tokens) for r in round_trip(docs([(None, "")] + [(4, "same here")] * 3), PATH).collect())
     n = got[1][2]
     assert got == [(-1, 0, 1), (4, 1, n), (4, 1 + n, n), (4, 1 + 2 * n, n)]
+
+
+def test_words_that_change_when_normalised():
+    """Letters whose lower case or composed form has a mark, before every mark; random strings of such."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from ambry.llm.huffman_ids import END, Encoder, encoded
+    with open(PATH) as f:
+        encoder = Encoder(f.read())
+    whole = Tokenizer.from_file(PATH)
+    rng = random.Random(11)
+    letters = "aIiİıßŞÇΣσςÅéẞǅﬁ\u0958\u09dc\ufb1dЙ中あ한\u0130\u0307"
+    texts = [f"{stem}{mark}{mark}" for stem in ("TARİHİ", "DERGİSİ", "İ", "aİb", "\u0958\u0959", "x\u09dc") for mark in ".,;:!?"] + ["TARİHİ.", "DERGİSİ, 5", "İ'S don't"]
+    texts += ["".join(rng.choice(letters + ".,;:!?'’-0 \n") for _ in range(rng.randrange(1, 40))) for _ in range(6000)]
+    ids, at = encoded(pa.array(texts), encoder, END)
+    for t, a, b in zip(texts, at[:-1], at[1:]):
+        assert ids[a:b].tolist() == [*whole.encode(t, add_special_tokens=False).ids, END], repr(t)
