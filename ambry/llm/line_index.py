@@ -8,8 +8,8 @@ shards that their lines fall into: no line is joined or shuffled with its text.
 
 A line's identity is its 96-bit hash: 64 bits place it, 32 are its fingerprint.
 
-Defined cases: null or empty text is one empty line; every row counts as one
-document, and rows that share the largest doc_id of a line all keep it; a null
+Defined cases: null or empty text is one empty line; rows that share a doc_id are
+one document (those without one, too), and if it is the largest of a line they all keep it; a null
 doc_id is below every other; a document that loses all lines keeps an empty
 text; an empty table gives an empty result; columns that the operator adds
 replace any of the same name.
@@ -113,8 +113,9 @@ def placed_by(hashes: np.ndarray, prints: np.ndarray) -> np.ndarray:
 # ---- index -----------------------------------------------------------------------------------
 
 def frequent_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Hash, fingerprint, number of documents and largest doc_id of the lines in ``min_docs``
-    documents or more; counts are combined in the map tasks, so a common line is no hot key."""
+    """Hash, fingerprint, number of documents (distinct doc_ids) and largest doc_id of the lines in
+    ``min_docs`` documents or more; equal ids are dropped where (line, id) meet and the rest is combined
+    in the map tasks, so a common line is no hot key."""
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in text_chunks(batches):
             lines, starts = split_lines(t.column("text").combine_chunks())
@@ -129,7 +130,7 @@ def frequent_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
                                               pa.array(ids[row[new]])], ["h", "f", "doc_id"])
 
     found = docs.select("doc_id", "text").mapInArrow(keys, "h long, f long, doc_id long")
-    return found.groupBy("h", "f").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
+    return found.groupBy("h", "f").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
 
 
 def write_index(lines: DataFrame, shard_lines: int = SHARD_LINES) -> tuple[str, int]:

@@ -17,7 +17,7 @@ def by_hand(rows):
     for i, t in rows:
         for k in {key_of(x) for x in (t or "").split("\n")}:
             if len(k) >= 40:
-                held.setdefault(k, []).append(i)
+                held.setdefault(k, set()).add(i)
     out = {}
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -58,3 +58,13 @@ def test_edges(docs, frame, tmp_path):
     got = dedup_lines(rows).collect()
     assert {(r.doc_id, r.n_dropped) for r in got} == {(i, 1) for i in range(6)} | {(9, 0), (None, 1), (20, 0)}
     assert [r.kept_text for r in got if r.doc_id == 0] == [""]
+
+
+def test_rows_of_one_document_count_once(docs):
+    line = "a line of more than forty characters, held by few documents"
+    few = [(1, line), (1, line), (1, line + "\n" + line), (1, line), (2, line)]
+    out = line_digest(docs(few)).collect()
+    assert all(r.n_dropped == 0 for r in out)
+    more = few + [(i, line) for i in (3, 4, 5)]
+    out = line_digest(docs(more)).collect()
+    assert {(r.doc_id, r.n_lines - r.n_dropped) for r in out} == {(1, 0), (2, 0), (3, 0), (4, 0), (5, 1)}
