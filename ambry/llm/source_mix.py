@@ -146,15 +146,17 @@ WITH RECURSIVE d AS (
 s AS (SELECT source, sum(size)::DOUBLE AS n,
              [1, 2, 3][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
       FROM d GROUP BY source),
-r AS (  -- each round: the sources above their cap stop there, the others share the rest
-  SELECT 0 AS i, source, n, w, false AS full_, w * sum(n) OVER () / sum(w) OVER () AS t FROM s
+r AS (  -- each round: the sources above their cap stop there, the others share the rest, until none is above
+  SELECT *, bool_or(t > 3 * n) OVER () AS more FROM (
+    SELECT 0 AS i, source, n, w, false AS full_, w * sum(n) OVER () / sum(w) OVER () AS t FROM s)
   UNION ALL
-  SELECT i + 1, source, n, w, full_ OR t > 3 * n,
-         CASE WHEN full_ OR t > 3 * n THEN 3 * n
-              ELSE w * (sum(n) OVER () - sum(CASE WHEN full_ OR t > 3 * n THEN 3 * n ELSE 0 END) OVER ())
-                   / sum(CASE WHEN full_ OR t > 3 * n THEN 0 ELSE w END) OVER () END
-  FROM r WHERE i < 64),
-g AS (SELECT source, n, t FROM r WHERE i = 64),
+  SELECT *, bool_or(NOT full_ AND t > 3 * n) OVER () AS more FROM (
+    SELECT i + 1 AS i, source, n, w, full_ OR t > 3 * n AS full_,
+           CASE WHEN full_ OR t > 3 * n THEN 3 * n
+                ELSE w * (sum(n) OVER () - sum(CASE WHEN full_ OR t > 3 * n THEN 3 * n ELSE 0 END) OVER ())
+                     / sum(CASE WHEN full_ OR t > 3 * n THEN 0 ELSE w END) OVER () END AS t
+    FROM r WHERE more)),
+g AS (SELECT source, n, t FROM r WHERE NOT more),
 p AS (SELECT d.*, g.n, g.t, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_
       FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)

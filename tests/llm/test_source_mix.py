@@ -95,3 +95,13 @@ def test_rest_that_rounds_up_to_the_source(frame, tmp_path, sizes):
     assert sorted((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in mix_digest(df).collect()) == want
     words = sum(len(WORD.findall(r.text)) for r in mixed_documents(df).collect())
     assert words == sum(x[4] for x in want) and abs(words - sum(map(sum, sizes.values()))) <= len(sizes)
+
+
+def test_sql_with_many_capped_sources(frame, tmp_path):
+    rng = random.Random(6)
+    rows = [(i, f"s{i % 150:03}", "w " * (1 + (i % 150) ** 2 // 40 * rng.randrange(2))) for i in range(300)] + [(1000, "t", "w " * 60_000)]
+    frame(rows, "doc_id long, source string, text string", tmp_path)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS FROM '{tmp_path}/rows/*.parquet'")
+        got = sorted((i, size, n, round(t, 6), taken) for i, size, n, t, taken in db.execute(SQL).fetchall())
+    assert [r[:4] for r in got] == [r[:4] for r in by_hand(rows)]
