@@ -7,8 +7,9 @@ score.  The ensemble is flattened into numpy node arrays, which score a batch
 level by level.
 
 Bound of what is fitted: at most ``TRAINING`` labelled rows, those whose ids
-hash lowest.  The verdict's threshold keeps ``KEEP_GOOD`` of the good rows of
-every training fold's held-out part.
+hash lowest.  The verdict's threshold is the cut through all rows' held-out scores of
+the least weighted error: the share of good rows below it, ``GOOD_WEIGHT`` times
+over, and the share of bad rows above it; so a few wrong labels don't move it.
 
 Defined cases: null text has no words, lines or symbols and fails the base rule;
 without labels of both classes every text that passes the base rule is kept;
@@ -34,8 +35,8 @@ from ambry.llm.common import hash_share, mixed, per_text, pieces, text_bytes, wo
 TRAINING = 10_000
 #: Trees, their depth, step, bins of a feature and rows of a leaf.
 TREES, DEPTH, STEP, BINS, LEAF = 60, 3, 0.2, 32, 20
-#: Share of good rows that the threshold keeps on held-out folds, and the highest threshold.
-KEEP_GOOD, HIGHEST, FOLDS = 0.999, 0.5, 4
+#: What a lost share of good rows weighs against a kept share of bad ones, the highest threshold, and the folds.
+GOOD_WEIGHT, HIGHEST, FOLDS = 20, 0.5, 4
 #: Base rule.
 MIN_WORDS = 50
 
@@ -194,12 +195,28 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     x = np.stack(rows.column("x").to_numpy())
     signs = list(FEATURES.values())
-    fold, kept = np.arange(len(y)) % FOLDS, []
+    fold, held_out = np.arange(len(y)) % FOLDS, np.full(len(y), np.nan)
     for k in range(FOLDS):
-        train_on, test = fold != k, (fold == k) & (y == 1)
+        train_on, test = fold != k, fold == k
         if test.any() and 0 < y[train_on].sum() < train_on.sum():
-            kept.append(np.quantile(grow(x[train_on], y[train_on], signs).score(x[test]), 1 - KEEP_GOOD))
-    return Model(grow(x, y, signs), float(min([HIGHEST, *kept])))
+            held_out[test] = grow(x[train_on], y[train_on], signs).score(x[test])
+    scored = ~np.isnan(held_out)
+    return Model(grow(x, y, signs), min(HIGHEST, best_cut(held_out[scored], y[scored])))
+
+
+def best_cut(score: np.ndarray, y: np.ndarray) -> float:
+    """The cut of least weighted error; in the middle of its gap."""
+    if not 0 < y.sum() < len(y):
+        return HIGHEST
+    order = np.argsort(score, kind="stable")
+    s, good = score[order], y[order] == 1
+    # the error of a cut below the i-th lowest score
+    lost = np.concatenate(([0], np.cumsum(good))) / good.sum()
+    kept = 1 - np.concatenate(([0], np.cumsum(~good))) / (~good).sum()
+    error = GOOD_WEIGHT * lost + kept
+    between = np.concatenate(([True], s[1:] > s[:-1], [True]))  # equal scores can't be parted
+    i = int(np.where(between, error, np.inf).argmin())
+    return float(s[0] / 2 if i == 0 else (s[-1] + 1) / 2 if i == len(s) else (s[i - 1] + s[i]) / 2)
 
 
 def matrix(s: dict[str, np.ndarray]) -> np.ndarray:

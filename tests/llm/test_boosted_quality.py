@@ -87,3 +87,27 @@ def test_edges(docs, frame, tmp_path):
     assert quality_digest(docs([]), labels).collect() == []
     rows = frame([(1, "x", "k", 3)] * 3, "doc_id long, text string, kept string, n_words int", tmp_path / "r")
     assert [(r.n_words, r.kept) for r in judge(rows, labels).collect()] == [(1, False)] * 3
+
+
+def test_wrong_labels_do_not_move_the_cut(docs, frame, tmp_path):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8)))
+    good = [" ".join(word() for _ in range(rng.randrange(60, 120))) + "." for _ in range(1500)]
+    bad = [" ".join(word() + rng.choice(["###", "$$$", "%%%"]) for _ in range(rng.randrange(60, 120))) for _ in range(150)]
+    df = docs([*good, *bad])
+    right = {i: int(i < 1500) for i in range(1650)}
+    flipped = set(rng.sample(sorted(right), 16)) | {1501, 1577}  # 1 %, bad ones named good among them
+    labels = frame([(i, 1 - y if i in flipped else y) for i, y in right.items()], "doc_id long, quality int", tmp_path / "l")
+    got = {r.doc_id: r.kept for r in judge(df, labels).select("doc_id", "kept").collect()}
+    assert sum(got[i] for i in range(1500, 1650)) == 0
+    assert sum(got[i] for i in range(1500)) >= 1495
+
+
+def test_best_cut_by_trying_all():
+    from ambry.llm.boosted_quality import GOOD_WEIGHT, best_cut
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        s, y = rng.integers(0, 12, 40) / 12, rng.integers(0, 2, 40)
+        if 0 < y.sum() < 40:
+            error = lambda t: GOOD_WEIGHT * (s[y == 1] < t).mean() + (s[y == 0] >= t).mean()
+            assert error(best_cut(s, y)) <= min(error(t) for t in np.linspace(-0.1, 1.1, 400)) + 1e-12
