@@ -15,15 +15,16 @@ deviation of 3: the radius of 19 covers that by three of these.
 Items are taken in blocks of bounded size, all documents against each block.
 
 Defined cases: a document shorter than an item is one window; an item of fewer
-than 5 words has its whole sequence as its one shingle and is found in documents
-of just these words; items or documents without words match nothing; equal items
-all match, the smallest item_id is named; rows of equal doc_id give one result;
+than 5 words has its whole sequence as its one shingle, and so has each of the
+windows of its size, which match where they are the same words (fingerprints of
+equal shingles are equal); items or documents without words match nothing; equal
+items all match, the smallest item_id is named; items without an item_id count as one and are named last; rows of equal doc_id give one result;
 a null doc_id gives a result of its own; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,11 +43,22 @@ ITEM_BYTES, INDEX_ITEMS = 16 << 20, 1000
 FILTER_BITS = 22
 
 
-def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shingle hashes of all texts, where each text's start, and the number of its words."""
+def shingles(texts: pa.Array, short: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """Shingle hashes of all texts, where each text's start, and the number of its words; for each size in
+    ``short`` (below ``WORDS``) the hashes of all windows of so many words, each the same as a text of these
+    words would have, and where each text's start."""
     words, codes, starts = word_codes(texts, lower=True)
-    h, at = shingle_hashes(string_hashes(words)[codes] if len(codes) else np.zeros(0, np.uint64), starts, WORDS)
-    return h, at, np.diff(starts)
+    own = string_hashes(words)[codes] if len(codes) else np.zeros(0, np.uint64)
+    h, at = shingle_hashes(own, starts, WORDS)
+    return h, at, np.diff(starts), {w: _short_windows(own, starts, w) for w in short}
+
+
+def _short_windows(word_hash: np.ndarray, starts: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    n = np.maximum(np.diff(starts) - w + 1, 0)
+    out = np.concatenate(([0], np.cumsum(n)))
+    first = np.repeat(starts[:-1] - out[:-1], n) + np.arange(out[-1])
+    # each window as a text of its own
+    return shingle_hashes(word_hash[(first[:, None] + np.arange(w)).ravel()], np.arange(len(first) + 1) * w, WORDS)[0], out
 
 
 def signs(h: np.ndarray) -> np.ndarray:
@@ -60,7 +72,7 @@ def fingerprints(sums: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Items:
-    ids: list[int]
+    ids: list[int | None]
     words: np.ndarray            # words of each item
     hashes: list[np.ndarray]     # its distinct shingles in ascending order
     counts: list[np.ndarray]     # and how often each occurs
@@ -70,9 +82,9 @@ class Items:
 
 
 def items_of(rows: list) -> Items:
-    """Items (item_id, text) with words, those of smaller ids first."""
-    rows = sorted((r for r in rows if r["text"] and r["item_id"] is not None), key=lambda r: r["item_id"])
-    h, at, n = shingles(pa.array([r["text"] for r in rows], pa.string()))
+    """Items (item_id, text) with words, those of smaller ids first and those without one last."""
+    rows = sorted((r for r in rows if r["text"]), key=lambda r: (r["item_id"] is None, r["item_id"] or 0))
+    h, at, n, _ = shingles(pa.array([r["text"] for r in rows], pa.string()))
     keep = [i for i in range(len(rows)) if n[i]]
     pairs = [np.unique(h[at[i]:at[i + 1]], return_counts=True) for i in keep]
     return Items([rows[i]["item_id"] for i in keep], n[keep], [p[0] for p in pairs], [p[1] for p in pairs])
@@ -135,18 +147,24 @@ class Finder:
     def __init__(self, items: Items):
         self.items = items
         prints = np.array([fingerprints((signs(h) * c[:, None]).sum(0, keepdims=True))[0] for h, c in zip(items.hashes, items.counts)], np.uint64)
-        self.sizes = np.unique(items.words)
+        self.short: dict[int, dict[int, list[int]]] = {}  # items below ``WORDS`` words by their one shingle
+        for i in np.flatnonzero(items.words < WORDS):
+            self.short.setdefault(int(items.words[i]), {}).setdefault(int(items.hashes[i][0]), []).append(int(i))
         self.indexes = {}
-        for w in self.sizes:
+        for w in np.unique(items.words[items.words >= WORDS]):
             own = np.flatnonzero(items.words == w)
             self.indexes[w] = (own, MultiIndex(prints[own]), np.unique(np.concatenate([items.hashes[i] for i in own])))
 
-    def matches(self, h: np.ndarray, n_words: int) -> Iterator[tuple[int, int, int, int, int]]:
+    def matches(self, h: np.ndarray, n_words: int, short: dict[int, np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(item, overlap, union, first word, distance) of the best window for each matching item."""
+        for w, known in self.short.items():
+            for one, first in zip(*np.unique(short[w][np.isin(short[w], np.array(list(known), np.uint64))], return_index=True)):
+                for i in known[int(one)]:
+                    yield i, 1, 1, int(np.flatnonzero(short[w] == one)[0]), 0
         sums = None
         for w, (own, index, known) in self.indexes.items():
-            if (w < WORDS or n_words < WORDS) and w != n_words:
-                continue
+            if n_words < WORDS:
+                break
             at = np.searchsorted(known, h)
             hits = np.flatnonzero((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == h))
             if not len(hits):
@@ -175,41 +193,54 @@ def matches(docs: DataFrame, benchmark: DataFrame, item_bytes: int = ITEM_BYTES,
     for b in range(blocks):  # each block of the stated items against all documents
         items = items_of(named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect())
         if items.ids:
-            found = written(docs.select("doc_id", "text").mapInArrow(_with_a_shingle(items), "doc_id long, text string"), "decontaminate-some")
-            part = found.mapInArrow(_matches_in(items, index_items), kind)
+            found = written(docs.select("doc_id", "text").mapInArrow(_with_a_shingle(items, index_items), "doc_id long, text string, part int"), "decontaminate-some")
+            part = found.sortWithinPartitions("part").mapInArrow(_matches_in(items, index_items), kind)
             out = part if out is None else out.union(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], kind)
 
 
-def _with_a_shingle(items: Items):
-    """Keeps the documents with any shingle of any item."""
-    known = np.unique(np.concatenate(items.hashes))
+def _with_a_shingle(items: Items, index_items: int):
+    """Gives the documents with any shingle of any item, once for each part of ``index_items`` items that has one."""
+    sizes = sorted({int(w) for w in items.words if w < WORDS})
+    pairs = [np.unique(np.concatenate(items.hashes[a:a + index_items])) for a in range(0, len(items.ids), index_items)]
+    known, part = np.concatenate(pairs), np.repeat(np.arange(len(pairs)), [len(x) for x in pairs])
+    order = np.argsort(known, kind="stable")
+    known, part = known[order], part[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64((1 << FILTER_BITS) - 1)
         filtered = np.zeros(1 << FILTER_BITS, bool)
         filtered[(known & mask).astype(np.int64)] = True
         for t in text_chunks(batches):
-            h, at, _ = shingles(t.column("text").combine_chunks())
-            maybe = np.flatnonzero(filtered[(h & mask).astype(np.int64)])
-            place = np.searchsorted(known, h[maybe])
-            hits = maybe[(place < len(known)) & (known[np.minimum(place, len(known) - 1)] == h[maybe])]
-            some = np.unique(np.searchsorted(at, hits, "right") - 1)
-            yield from t.select(["doc_id", "text"]).take(pa.array(some)).combine_chunks().to_batches()
+            h, at, _, short = shingles(t.column("text").combine_chunks(), sizes)
+            found = [np.zeros(0, np.int64)]
+            for values, starts in [(h, at), *short.values()]:
+                maybe = np.flatnonzero(filtered[(values & mask).astype(np.int64)])
+                left, right = (np.searchsorted(known, values[maybe], side) for side in ("left", "right"))
+                n = right - left
+                row = np.repeat(np.searchsorted(starts, maybe, "right") - 1, n)
+                place = np.repeat(left - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                found.append(row * len(pairs) + part[place])
+            some = np.unique(np.concatenate(found))
+            out = t.select(["doc_id", "text"]).take(pa.array(some // len(pairs)))
+            yield from out.append_column("part", pa.array(some % len(pairs), pa.int32())).combine_chunks().to_batches()
     return run
 
 
 def _matches_in(items: Items, index_items: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finders = []
-        for a in range(0, len(items.ids), index_items):
-            b = a + index_items
-            finders.append((a, Finder(Items(items.ids[a:b], items.words[a:b], items.hashes[a:b], items.counts[a:b]))))
-        for t in text_chunks(batches):
-            h, at, n = shingles(t.column("text").combine_chunks())
-            rows = [(doc, items.ids[a + i], both / union, s, distance)
-                    for d, doc in enumerate(t.column("doc_id").to_pylist()) for a, finder in finders
-                    for i, both, union, s, distance in finder.matches(h[at[d]:at[d + 1]], int(n[d]))]
+        sizes = sorted({int(w) for w in items.words if w < WORDS})
+        held, finder = -1, None
+        for t in text_chunks(batches):  # rows ascend by part, so that one part's index is held, and built once
+            parts = t.column("part").to_numpy()
+            h, at, n, short = shingles(t.column("text").combine_chunks(), sizes)
+            rows = []
+            for d, doc in enumerate(t.column("doc_id").to_pylist()):
+                a, b = int(parts[d]) * index_items, (int(parts[d]) + 1) * index_items
+                if parts[d] != held:
+                    held, finder = parts[d], Finder(Items(items.ids[a:b], items.words[a:b], items.hashes[a:b], items.counts[a:b]))
+                few = {w: own[ends[d]:ends[d + 1]] for w, (own, ends) in short.items()}
+                rows += [(doc, items.ids[a + i], both / union, s, distance) for i, both, union, s, distance in finder.matches(h[at[d]:at[d + 1]], int(n[d]), few)]
             cols = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int32()))],
                                              ["doc_id", "item_id", "similarity", "word_start", "distance"])
@@ -220,7 +251,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """One row per contaminated document: the number of items it holds and the best match."""
     best = F.struct(F.col("similarity"), (-F.col("item_id")).alias("i"), (-F.col("word_start")).alias("w"), (-F.col("distance")).alias("d"))
     return (matches(docs, benchmark, **how).groupBy("doc_id")
-            .agg(F.count_distinct("item_id").alias("n_items"), F.max(best).alias("b"))
+            .agg((F.count_distinct("item_id") + F.max(F.col("item_id").isNull().cast("long"))).alias("n_items"), F.max(best).alias("b"))
             .select("doc_id", "n_items", (-F.col("b.i")).alias("item_id"), F.col("b.similarity").alias("similarity"),
                     (-F.col("b.w")).alias("word_start"), (-F.col("b.d")).alias("distance")))
 

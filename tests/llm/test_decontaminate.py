@@ -17,10 +17,12 @@ def shingles(text):
 def by_hand(docs, items):
     out = {}
     for d, t in docs:
-        s = shingles(t)
         for i, x in items:
-            own = shingles(x)
-            if not s or not own or (len(WORD.findall(x)) < 5) != (len(WORD.findall(t)) < 5):
+            own, s = shingles(x), shingles(t)
+            words = WORD.findall((t or "").lower())
+            if own and len(own[0]) < 5:  # short items: windows of their size
+                s = [tuple(words[a:a + len(own[0])]) for a in range(len(words) - len(own[0]) + 1)]
+            if not s or not own or len(s[0]) != len(own[0]):
                 continue
             size, c = min(len(own), len(s)), Counter(own)
             for a in range(len(s) - size + 1):
@@ -82,6 +84,36 @@ def test_edges(docs, frame, tmp_path):
     assert contaminated(rows, none).collect() == [] and contaminated(docs([]), bench).collect() == []
     rows = docs([(1, item), (1, item), (2, None), (3, ""), (None, "x " + item), (7, "q " * 60_000 + item)])
     got = {r.doc_id: (r.n_items, r.item_id, r.similarity, r.word_start) for r in contaminated(rows, bench).collect()}
-    assert got == {1: (2, 2, 1.0, 0), None: (2, 2, 1.0, 1), 7: (2, 2, 1.0, 60_000)}
+    assert got == {1: (2, 2, 1.0, 0), None: (2, 2, 1.0, 1), 7: (3, 2, 1.0, 60_000)}  # 7 holds the item without an id, too
     extra = frame([(1, item, "b"), (4, "clean", "c")], "doc_id long, text string, _bad string", tmp_path / "d")
     assert [tuple(r) for r in decontaminate(extra, bench).collect()] == [(4, "clean", "c")]
+
+
+def test_short_items_and_items_without_id(docs, frame, tmp_path):
+    bench = frame([(4, "one two three"), (None, "the hidden passage has no id of its own but many words"), (8, "Zwei"), (9, "one two three")],
+                  "item_id int, text string", tmp_path / "b")
+    rows = [(1, "we count ONE two\nthree here"), (2, "one two four three"), (3, "x the hidden passage has no id of its own but many words y"),
+            (4, "zwei"), (5, "eins zwei"), (6, "one two"), (7, None)]
+    got = {r.doc_id: (r.n_items, r.item_id, r.similarity, r.word_start) for r in contaminated(docs(rows), bench).collect()}
+    assert got == {1: (2, 4, 1.0, 2), 3: (1, None, 1.0, 1), 4: (1, 8, 1.0, 0), 5: (1, 8, 1.0, 1)}
+    assert {r.doc_id for r in decontaminate(docs(rows), bench).collect()} == {2, 6, 7}
+
+
+def test_recall_of_the_radius():
+    """Windows of 80 to 85 % similarity whose fingerprints the radius holds: the share is in the README."""
+    from ambry.llm.decontaminate import fingerprints, signs
+    from ambry.llm.common import mixed
+    rng = np.random.default_rng(3)
+    near = total = 0
+    for _ in range(4000):
+        n = int(rng.integers(16, 120))
+        item = mixed(rng.integers(0, 2**63, n).astype(np.uint64))
+        changed = int(rng.integers(np.ceil(n * 0.081), np.floor(n * 0.111) + 1)) if np.floor(n * 0.111) >= np.ceil(n * 0.081) else 0
+        window = item.copy()
+        window[:changed] = mixed(rng.integers(0, 2**63, changed).astype(np.uint64))
+        if not 0.8 <= (n - changed) / (n + changed) <= 0.85:
+            continue
+        a, b = (fingerprints(signs(x).sum(0, keepdims=True))[0] for x in (item, window))
+        total += 1
+        near += int(np.bitwise_count(a ^ b)) <= RADIUS
+    assert total > 1000 and near / total > 0.99, near / total
