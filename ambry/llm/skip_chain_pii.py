@@ -9,9 +9,10 @@ message passing over all edges makes labels agree across the document.  Tokens
 that are labelled with confidence where no base match lies become further spans.
 
 The field is trained on the base matches of a bounded sample of texts: at most
-``TRAINING`` candidate texts of at most ``TRAINING_BYTES`` bytes, of the whole
-table.  Half of them are for texts with a base match, in equal parts for each
-kind, the others for candidates of any sort; each part takes the texts whose ids
+``TRAINING`` passages of the whole table: texts of up to ``TRAINING_CHARS`` code
+points, and from each longer one a window of that size around its first match of each kind, or around its
+first candidate token.  Half of them are for passages with a base match, in equal parts for each
+kind, the others for candidates of any sort; each part takes the passages whose ids
 hash lowest.  In them matches are also rewritten into forms that the patterns miss (no "+", other
 separators, "(at)", "[.]") and numbers of other kinds are mixed in; weights maximise the pseudo-likelihood.
 
@@ -33,11 +34,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ambry.llm.common import hash_share, written
+from ambry.llm.common import hash_share, pieces, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Texts to learn from, and their size; they are chosen among so many times as many rows.
-TRAINING, TRAINING_BYTES, TRAINING_SHARE = 1500, 1 << 16, 50
+#: Passages to learn from, and their size; they are chosen among so many times as many rows.
+TRAINING, TRAINING_CHARS, TRAINING_SHARE = 1500, 1 << 14, 50
 #: Rounds of message passing and their damping; least marginal of a span's tokens.
 ROUNDS, DAMPING, SURE = 15, 0.3, 0.9
 #: Steps and size of a step of training, and its ridge.
@@ -284,33 +285,50 @@ def label_tokens(graph: Graph, spans: list[list[Span]]) -> np.ndarray:
     return labels
 
 
-def _kinds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """For each text, bits of the kinds that it has a base match of."""
+def _bits(spans: list[Span]) -> int:
+    return sum({1 << KINDS.index(kind) for kind, _, _ in spans})
+
+
+def passages(text: str, size: int = TRAINING_CHARS) -> list[tuple[int, int]]:
+    """Where the passages of a text to learn from start, and bits of the kinds that they have a base match of."""
+    spans = base_spans(text)
+    if len(text) <= size:
+        return [(0, _bits(spans))]
+    first = {kind: start for kind, start, _ in reversed(spans)}
+    hint = _HINT.search(text)
+    starts = sorted({max(0, at - size // 2) for at in first.values()} or {max(0, hint.start() - size // 2) if hint else 0})
+    return [(s, _bits([x for x in spans if s <= x[1] and x[2] <= s + size])) for s in starts]
+
+
+def _passages(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("kinds", pa.int32())]))
     for texts in batches:
-        yield pa.array([sum({1 << KINDS.index(kind) for kind, _, _ in base_spans(t)}) for t in texts.to_pylist()], pa.int32())
+        yield pa.array([[{"start": s, "kinds": k} for s, k in passages(t)] for t in texts.to_pylist()], kind)
 
 
 def training_texts(docs: DataFrame) -> list[str]:
-    """The bounded sample, drawn for each kind from all texts with a match."""
-    short = docs.select("doc_id", "text").where((F.octet_length("text") <= TRAINING_BYTES) & F.col("text").rlike(CANDIDATE))
-    own = short.withColumn("tie", F.xxhash64("text"))
-    found = written(own.select("doc_id", "tie", F.arrow_udf(_kinds, "int")(F.col("text")).alias("kinds")), "pii-kinds").distinct()
-    order = [F.xxhash64(F.lit("pii"), "doc_id"), "doc_id", "tie"]
+    """The bounded sample, drawn for each kind from all passages with a match."""
+    own = docs.select("doc_id", "text").where(F.col("text").rlike(CANDIDATE)).withColumn("tie", F.xxhash64("text"))
+    some = F.explode(F.arrow_udf(_passages, "array<struct<start: long, kinds: int>>")(F.col("text")))
+    found = written(own.select("doc_id", "tie", some.alias("p")).select("doc_id", "tie", "p.*"), "pii-kinds").distinct()
+    key = ["doc_id", "tie", "start"]
+    order = [F.xxhash64(F.lit("pii"), "doc_id"), *key]
     each = TRAINING // (2 * len(KINDS))
     parts = [(found.where(F.col("kinds").bitwiseAND(1 << i) != 0), each) for i in range(len(KINDS))]
     parts.append((found, TRAINING - each * len(KINDS)))
     chosen = None
     for rows, n in parts:
-        part = hash_share(rows, TRAINING_SHARE * n, "doc_id", "tie").orderBy(*order).limit(n).select("doc_id", "tie")
+        part = hash_share(rows, TRAINING_SHARE * n, *key).orderBy(*order).limit(n).select(*key)
         chosen = part if chosen is None else chosen.union(part)
-    chosen = F.broadcast(written(chosen.distinct(), "pii-chosen").select(F.col("doc_id").alias("_d"), F.col("tie").alias("_t")))
-    sample = (own.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t")), "left_semi")
-              .dropDuplicates(["doc_id", "tie"]).orderBy(*order))
+    chosen = F.broadcast(written(chosen.distinct(), "pii-chosen").select(F.col("doc_id").alias("_d"), F.col("tie").alias("_t"), "start"))
+    sample = (own.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t")))
+              .select(*key, F.substring("text", (F.col("start") + 1).cast("int"), F.lit(TRAINING_CHARS)).alias("text"))
+              .dropDuplicates(key).orderBy(*order))
     return sample.toArrow().column("text").to_pylist()
 
 
 def train(docs: DataFrame) -> Field | None:
-    """Fit on a bounded sample; None where the table's short texts have no base match."""
+    """Fit on a bounded sample; None where the table has no base match."""
     texts = training_texts(docs)
     spans = [base_spans(t) for t in texts]
     if not any(spans):
@@ -367,18 +385,23 @@ def find_personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame
     field = field or train(docs)
     names = [f"n_{k}" for k in KINDS] + ["base_spans", "spans"]
 
+    def one(texts: pa.Array) -> list[np.ndarray]:
+        some = np.flatnonzero(pc.match_substring_regex(texts, CANDIDATE).to_numpy(zero_copy_only=False))
+        out = [np.zeros(len(texts), np.int64) for _ in KINDS] + [np.full(len(texts), "", object) for _ in range(2)]
+        own = texts.take(pa.array(some)).to_pylist()
+        base = [base_spans(t) for t in own]
+        more = further_spans(field, own, base) if field else [[] for _ in own]
+        for i, b, m in zip(some, base, more):
+            for k, _, _ in b:
+                out[KINDS.index(k)][i] += 1
+            out[-2][i], out[-1][i] = written_out(b), written_out(b + m)
+        return out
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            some = np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, CANDIDATE), False).to_numpy(zero_copy_only=False))
-            counts, lines = np.zeros((len(KINDS), len(texts)), np.int64), [np.full(len(texts), "", object) for _ in range(2)]
-            own = texts.take(pa.array(some)).to_pylist()
-            base = [base_spans(t) for t in own]
-            more = further_spans(field, own, base) if field else [[] for _ in own]
-            for i, b, m in zip(some, base, more):
-                for k, _, _ in b:
-                    counts[KINDS.index(k), i] += 1
-                lines[0][i], lines[1][i] = written_out(b), written_out(b + m)
-            yield pa.StructArray.from_arrays([*map(pa.array, counts), *[pa.array(x, pa.string()) for x in lines]], names)
+            parts = [one(p) for p in pieces(texts)] or [one(texts)]
+            cols = [np.concatenate(c) for c in zip(*parts)]
+            yield pa.StructArray.from_arrays([*map(pa.array, cols[:-2]), *[pa.array(x, pa.string()) for x in cols[-2:]]], names)
 
     kind = ", ".join(f"{n} long" for n in names[:-2]) + ", base_spans string, spans string"
     return (docs.drop(*names, "_p").withColumn("_p", F.arrow_udf(run, kind)(F.col("text"))).select("*", "_p.*").drop("_p"))

@@ -120,3 +120,61 @@ def test_rare_matches_are_learned_from(docs, monkeypatch):
     asked = {0: "mail joe.77(at)mail7.example.com please", 1: "host 81[.]117[.]189[.]12 is down", 2: "paid 4335.2524.6048.2461 today", 3: "in 1999 we had 3 of version 2.1"}
     got = {r.doc_id: r.spans for r in find_personal_data(docs(asked), learned).collect()}
     assert got[0].startswith("email") and got[1].startswith("ip") and got[2].startswith("card") and got[3] == ""
+
+
+def test_long_texts_are_learned_from(docs):
+    rng = random.Random(4)
+    filler = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(12_500))
+    mails = [f"{rng.choice(['ann', 'bob', 'eve'])}.{i}@mail{i % 5}.example.com" for i in range(20)]
+    texts = [filler[:40_000 + 50 * i] + f" write to {m} or 10.0.{i}.7 " + filler[:30_000] for i, m in enumerate(mails)] + ["short one"]
+    df = docs(texts)
+    chosen = training_texts(df)
+    assert all(any(m in c for c in chosen) for m in mails) and max(map(len, chosen)) <= skip_chain_pii.TRAINING_CHARS
+    learned = train(df)
+    assert learned is not None
+    got = find_personal_data(docs(["mail joe.77(at)mail7.example.com please"]), learned).first()
+    assert got.spans.startswith("email:5:")
+
+
+def test_passages():
+    size = skip_chain_pii.TRAINING_CHARS
+    text = "w " * size + "a@b.org " + "w " * size + "+1 555 123 4567 " + "w " * size + "c@d.org"
+    found = skip_chain_pii.passages(text)
+    assert len(found) == 2 and all(0 <= s <= len(text) for s, _ in found)
+    assert [k for _, k in found] == [1 << KINDS.index("email"), 1 << KINDS.index("phone")]
+    assert skip_chain_pii.passages("a@b.org") == [(0, 1)] and skip_chain_pii.passages("") == [(0, 0)]
+
+
+def test_recall_on_held_out_rewritten_spans(docs, field):
+    """Share of rewritten personal data (forms that the patterns miss) that the field finds; the figure is in the README."""
+    rng = np.random.default_rng(21)
+    texts, want = [], []
+    for t in corpus(1500)[300:]:
+        new, moved = skip_chain_pii.rewritten(t, skip_chain_pii.base_spans(t), rng)
+        base = skip_chain_pii.base_spans(new)
+        missed = [s for s in moved if not any(a < s[2] and s[1] < b for _, a, b in base)]
+        texts.append(new)
+        want.append(missed)
+    got = {r.doc_id: [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in r.spans.split(",") if s)] for r in find_personal_data(docs(texts), field).collect()}
+    hit = sum(any(k == s[0] and a < s[2] and s[1] < b for k, a, b in got[i]) for i, m in enumerate(want) for s in m)
+    total = sum(map(len, want))
+    false = sum(not any(a < s[2] and s[1] < b for _, a, b in [*w, *skip_chain_pii.base_spans(texts[i])]) for i, w in enumerate(want) for s in got[i])
+    assert total >= 150 and hit / total >= 0.9, (hit, total)
+    assert false <= 0.02 * len(texts), false
+
+
+def test_loopy_marginals_come_near_the_exact_ones():
+    import itertools
+    rng = np.random.default_rng(8)
+    n = len(KINDS) + 1
+    graph = skip_chain_pii.graph_of(["5551234567 x 5551234567 y 5551234567 5551234567"])
+    assert len(graph.edges) > len(graph.tokens)  # cycles
+    model = skip_chain_pii.Field(rng.normal(size=(skip_chain_pii.N_FEATURES, n)), 0.3 * rng.normal(size=(skip_chain_pii.EDGES, n, n)))
+    u = graph.features @ model.unary
+    exact = np.zeros_like(u)
+    for labels in itertools.product(range(n), repeat=len(graph.tokens)):
+        p = np.exp(sum(u[i, x] for i, x in enumerate(labels)) + sum(model.pair[k, labels[a], labels[b]] for a, b, k in graph.edges))
+        for i, x in enumerate(labels):
+            exact[i, x] += p
+    exact /= exact.sum(1, keepdims=True)
+    assert np.abs(skip_chain_pii.marginals(model, graph) - exact).max() < 0.05
