@@ -10,7 +10,7 @@ replacing those keys in the previous result:
     result    = previous minus touched keys  ∪  refreshed       (anti join)
 
 Both joins have the touched-key set on one side.  It is written once and
-counted; up to ``BROADCAST_MAX_ROWS`` keys it is broadcast, so neither the
+measured; up to ``BROADCAST_MAX_BYTES`` it is broadcast, so neither the
 full source nor the previous result is shuffled.  Beyond that the semi join
 is shuffled and salted for hot keys (``skew.skew_safe_join``); the aggregate
 keeps partial aggregation, so a key with a third of all rows never lands in
@@ -25,7 +25,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ambry import params
 from ambry.functions import ts_lit
 from ambry.operators.materialize import broadcast_if_small
 from ambry.operators.skew import skew_safe_join
@@ -59,8 +58,7 @@ def refresh_touched(previous: DataFrame, keyed: DataFrame, keys: list[str], ts_c
     the previous version of the source, and the row ids, so that the keys that
     lost a row are refreshed, too.  An insert-only source needs neither.
     """
-    touched, small = broadcast_if_small(touched_keys(keyed, keys, ts_col, wm, old, ids),
-                                        params.BROADCAST_MAX_ROWS, "touched-keys")
+    touched, small = broadcast_if_small(touched_keys(keyed, keys, ts_col, wm, old, ids), "touched-keys")
     marked = keyed.withColumn(_KEY, _key(keys))
     if small:
         # the source streams past the broadcast key set: no shuffle, no skew

@@ -7,40 +7,42 @@ the same points (it stores stage tables).  ``localCheckpoint`` is never used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ambry import params
 from ambry.session import scratch_path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: reading the files' footers would cost a job
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    return _written(df, name)[0]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, name: str) -> tuple[DataFrame, bool]:
-    """Write ``df`` once and broadcast it when its row count is at most ``max_rows``.
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below ``path``, from the file system's own summary (no job)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def broadcast_if_small(df: DataFrame, name: str, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Write ``df`` once and broadcast it when its files have at most ``max_bytes``
+    (``params.BROADCAST_MAX_BYTES``).
 
     For the small side of a join against a huge table (batch keys against a
-    bronze target, touched keys against a source).  Left to AQE, both shuffle
+    bronze target, touched keys against a source, dimensions of a star).  Left to AQE, both shuffle
     map stages would start together and the huge side would be shuffled
     before the join turns into a broadcast; deciding up front from the
-    counted rows of the written copy (a proven bound; the count reads only
-    file metadata-sized data) avoids that.  Beyond the bound the caller keeps
-    a shuffled join.  Returns ``(side, broadcast)``.
+    written copy's size (a proven bound that grows with the rows' width, and costs no job) avoids that.
+    Beyond the bound the caller keeps a shuffled join.  Returns ``(side, broadcast)``.
     """
-    m = materialize(df, name)
-    if m.count() <= max_rows:
+    m, path = _written(df, name)
+    if stored_bytes(df.sparkSession, path) <= (params.BROADCAST_MAX_BYTES if max_bytes is None else max_bytes):
         return F.broadcast(m), True
     return m, False
-
-
-def count_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
-    """Row counts of several frames in ONE job (a union of one-row aggregates)."""
-    from functools import reduce
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
-             for name, df in frames.items()]
-    if not parts:
-        return {}
-    return {r["name"]: r["rows"] for r in reduce(lambda a, b: a.unionByName(b), parts).collect()}

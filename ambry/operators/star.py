@@ -7,7 +7,7 @@ the fact's key column) and the attributes asked for, renamed with the role
 prefix.  Nullable links are LEFT joins; the others are INNER.
 
 Each dimension, projected to the key and the attributes the roles need, is
-counted (all dimensions in one job); within ``DIM_BROADCAST_MAX_ROWS`` it is broadcast
+written once and measured; within ``BROADCAST_MAX_BYTES`` it is broadcast
 and the fact streams through the role join unshuffled.  Left to AQE the
 fact would be shuffle-written for every role before the join turned into a
 broadcast.  Larger dimensions take a shuffled join that is salted for hot
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ambry import params
-from ambry.operators.materialize import count_rows
+from ambry.operators.materialize import broadcast_if_small
 from ambry.operators.skew import BUCKETS, fetch_hot, hot_role_keys, skew_safe_join
 
 
@@ -42,7 +42,7 @@ class Role:
 def star_join(fact: DataFrame, dims: dict[str, DataFrame], roles: list[Role],
               bounded: frozenset[str] = frozenset(), min_rows: int | None = None) -> DataFrame:
     # Each dimension, projected to its key and every attribute any role
-    # needs, is counted (one job for all): within DIM_BROADCAST_MAX_ROWS it is
+    # needs, is written once and measured: within BROADCAST_MAX_BYTES it is
     # broadcast, so the fact streams through that role join unshuffled (and
     # no skew can arise).  Larger dimensions take a salted shuffled join.
     needed: dict[str, set[str]] = {}
@@ -50,8 +50,10 @@ def star_join(fact: DataFrame, dims: dict[str, DataFrame], roles: list[Role],
         needed.setdefault(r.dim, set()).update(r.attrs)
     proj = {name: dims[name].select(next(r.dim_key for r in roles if r.dim == name), *sorted(attrs))
             for name, attrs in needed.items()}
-    rows = count_rows({n: d for n, d in proj.items() if n not in bounded})   # one job
-    small = {n: n in bounded or rows[n] <= params.DIM_BROADCAST_MAX_ROWS for n in proj}
+    small = {n: True for n in bounded}
+    for n in proj:
+        if n not in bounded:
+            proj[n], small[n] = broadcast_if_small(proj[n], f"dim-{n}")
 
     shuffled = [r.fact_key for r in roles if not small[r.dim]]
     hot = None

@@ -64,13 +64,20 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
 
     The deduplicated batch is written once; the count, the anti join and the
     result all read that copy, so a live source is read a single time.  When
-    it has at most ``BROADCAST_MAX_ROWS`` rows its keys are broadcast, so the
+    its keys have at most ``BROADCAST_MAX_BYTES`` they are broadcast, so the
     target is streamed through the anti join and never shuffled.  A larger
     batch takes a shuffled anti join (keys unique on both sides, so no skew).
     """
+    batch, small = prepared_batch(batch.select(*target.columns), keys, ts_col)
+    return applied(target, batch, keys, small)
+
+
+def prepared_batch(batch: DataFrame, keys: list[str], ts_col: str | None) -> tuple[DataFrame, bool]:
+    """The batch with one row per key, none of them NULL, written once; and whether its keys are small enough to broadcast."""
     from ambry import params
     from ambry.operators.contracts import not_null_guard
-    from ambry.operators.materialize import materialize
+    from ambry.operators.materialize import stored_bytes
+    from ambry.session import scratch_path
 
     if ts_col is not None:
         batch = latest_per_key(batch, keys, ts_col)
@@ -78,11 +85,37 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str],
         batch = batch.dropDuplicates(keys)
     for k in keys:
         batch = batch.where(not_null_guard(F.col(k), "upsert", k))
-    batch = materialize(batch.select(*target.columns), "upsert-batch")
-    batch_keys = batch.select(*keys)
-    small = batch_keys.count() <= params.BROADCAST_MAX_ROWS       # one job: a proven bound
-    kept = target.join(F.broadcast(batch_keys) if small else batch_keys, keys, "left_anti")
-    return kept.unionByName(batch)
+    path = scratch_path(batch.sparkSession, "upsert-batch")
+    batch.write.parquet(path)
+    written = batch.sparkSession.read.schema(batch.schema).parquet(path)
+    # the keys are a part of the batch, whose size bounds theirs
+    return written, stored_bytes(batch.sparkSession, path) <= params.BROADCAST_MAX_BYTES
+
+
+def applied(target: DataFrame, batch: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """``target`` with a prepared batch's rows in place of those of their keys."""
+    some = batch.select(*keys)
+    return target.join(F.broadcast(some) if small else some, keys, "left_anti").unionByName(batch)
+
+
+def _comparable(c: Column, t) -> Column:
+    """A column as something that can be compared: maps and variants as their JSON text."""
+    return F.to_json(F.struct(c.alias("v"))) if isinstance(t, (MapType, VariantType)) or "map<" in t.simpleString() or "variant" in t.simpleString() else c
+
+
+def changed_pairs(target: DataFrame, batch: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """``before`` and ``after`` (structs of all columns) of the batch's rows that differ from the
+    target's; ``before`` is NULL where a key is new.  Rows read again unchanged are no change."""
+    from ambry.operators.materialize import materialize
+
+    some = batch.select(*keys)
+    old = materialize(target.join(F.broadcast(some) if small else some, keys, "left_semi"), "upsert-before")
+    b = batch.select(F.struct(*batch.columns).alias("after"), *[F.col(k).alias(f"__{k}") for k in keys])
+    o = old.select(F.struct(*batch.columns).alias("before"), *[F.col(k).alias(f"__{k}") for k in keys])
+    same = F.col("before").isNotNull()
+    for f in batch.schema:
+        same = same & _comparable(F.col(f"before.`{f.name}`"), f.dataType).eqNullSafe(_comparable(F.col(f"after.`{f.name}`"), f.dataType))
+    return materialize(b.join(o, [f"__{k}" for k in keys], "left").where(~same).select("before", "after"), "upsert-changes")
 
 
 def conditional_upsert(target: DataFrame, offered: DataFrame, key: str, value_cols: list[str],
@@ -116,7 +149,6 @@ def update_from(target: DataFrame, source: DataFrame, key: str, assignments: dic
     Every matched row is rewritten (even when unchanged); others untouched.
     ``source`` is unique on ``key`` (it is a primary-keyed table).
     """
-    from ambry import params
     from ambry.operators.materialize import broadcast_if_small
 
     src_cols = sorted(set(assignments.values()))
@@ -126,8 +158,7 @@ def update_from(target: DataFrame, source: DataFrame, key: str, assignments: dic
     # first reduced to the target's keys (counted, broadcast within the
     # bound) and the reduced source — no larger than the key set — is then
     # broadcast into the LEFT join.  Nothing big is shuffled.
-    tkeys, small = broadcast_if_small(target.select(F.col(key).alias("__k")).distinct(),
-                                      params.BROADCAST_MAX_ROWS, "update-keys")
+    tkeys, small = broadcast_if_small(target.select(F.col(key).alias("__k")).distinct(), "update-keys")
     s = s.join(tkeys, "__k", "left_semi")
     j = target.join(F.broadcast(s) if small else s, F.col(key) == F.col("__k"), "left")
     hit = F.col("__k").isNotNull()

@@ -41,12 +41,10 @@ ERROR_TEXT_LIMIT = 1000              # audit row error text is cut here
 # its rows are joined against a broadcast of its (unique) partner rows
 # instead of being shuffled into one task (ambry.operators.skew).
 HOT_KEY_ROWS = 1_000_000
-# Largest key set (rows of one to a few narrow key columns) broadcast against
-# a huge table after an explicit count (ambry.operators.materialize).
-BROADCAST_MAX_ROWS = 5_000_000
-# Largest dimension (projected to its key and the attributes a star join
-# needs) broadcast into a star join after an explicit count.
-DIM_BROADCAST_MAX_ROWS = 1_000_000
+# Largest written table (key sets, small aggregates, dimensions projected to
+# what a join needs) that is broadcast, in bytes of its files; a few times
+# that in an executor's memory (ambry.operators.materialize).
+BROADCAST_MAX_BYTES = 32 << 20
 # Buckets over which rows with a NULL join key are spread (they never match).
 NULL_KEY_BUCKETS = 64
 

@@ -16,19 +16,24 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ambry import params
 from ambry.operators.batching import write_messages
+from ambry.operators.deltas import Fact, maintain, signed
 from ambry.operators.state import (audit_row, empty_audit, empty_publish_state, mark_status,
                                    read_source_max, upsert_state)
 from ambry.operators.upsert import conditional_upsert, update_from
-from ambry.operators.versioned import exists, last_version, read_version, version_path, write_version
+from ambry.operators.versioned import exists, last_version, read_version, version_path, versions, write_version
 from ambry.plans import scoring
+from ambry.plans.maintained import facts, keyed, refresh_keyed, statuses
 from ambry.plans.scoring_run import ScoringRun
 from ambry.plans.publish import publish_scores
 from ambry.plans.sync import TableMapping, sync_table
+from ambry.sources import proxies
+from ambry.sources.tables import Frames, Tables
 
 
 def _previous(spark: SparkSession, store: str, table: str, run_id: int,
@@ -104,16 +109,24 @@ def run_scoring(spark: SparkSession, sf_dir: str, store: str, run_id: int,
 def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, store: str,
              run_id: int, as_of: _dt.datetime, initial_target: DataFrame | None = None,
              initial_state: DataFrame | None = None) -> tuple[str, str]:
-    """P1 as one scheduled run: writes ``<target>/v<run_id>`` and ``_audit/v<run_id>``."""
+    """P1 as one scheduled run: writes ``<target>/v<run_id>``, what changed since the version before
+    (signed images, ``<target>._changes/v<run_id>``) and ``_audit/v<run_id>``.  Without any change only the audit row is new."""
     tname = f"{mapping.target_schema}.{mapping.target_table}"
-    target = _previous(spark, store, tname, run_id, initial_target)
+    last = last_version(spark, f"{store}/{tname}", run_id)
+    target = initial_target if last is None else read_version(spark, f"{store}/{tname}", last)
     state = _previous(spark, store, "_audit", run_id, initial_state) or empty_audit(spark)
     try:
-        res = sync_table(spark, source, target, mapping, state, as_of)
-        tpath = write_version(res.target, f"{store}/{tname}", run_id, sort_by=[mapping.ts_column])
-        # the audit counts the written version (a column-pruned scan), not
-        # the upsert plan again
-        written = read_version(spark, f"{store}/{tname}", run_id)
+        res = sync_table(spark, source, target, mapping, state, as_of, feed=True)
+        if last is not None and res.target.schema == target.schema and res.changes.isEmpty():
+            tpath = version_path(f"{store}/{tname}", last)   # nothing changed: nothing is written
+            written = target
+        else:
+            if res.changes is not None:   # before the target: a version's changes are there when it is
+                write_version(res.changes, f"{store}/{tname}{CHANGES}", run_id)
+            tpath = write_version(res.target, f"{store}/{tname}", run_id, sort_by=[mapping.ts_column])
+            # the audit counts the written version (a column-pruned scan), not
+            # the upsert plan again
+            written = read_version(spark, f"{store}/{tname}", run_id)
         audit = audit_row(spark, mapping.state_keys(), source, written, mapping.ts_column,
                           res.since, as_of, previous_max=read_source_max(state, mapping.state_keys()))
         new_state = upsert_state(state, audit, list(audit.columns[:3]))
@@ -197,37 +210,87 @@ def run_sync_all(spark: SparkSession, sources: dict[str, tuple[DataFrame, TableM
 SILVER_STATE_SCHEMA = "target_schema STRING, target_table STRING, last_synced_at TIMESTAMP_NTZ"
 
 
+#: Bronze tables that the warehouse reads, and what follows a table's name where its changes are.
+WAREHOUSE_TABLES = ("orders", "lineitem", "customer", "supplier", "nation")
+CHANGES = "._changes"
+
+
+def _bronze(store: str, name: str) -> str:
+    return f"{store}/{name}/bronze.{name}"
+
+
+def _changes_since(spark: SparkSession, root: str, stored: int | None, run_id: int) -> tuple[bool, DataFrame | None]:
+    """Whether a table that was last brought up to date by run ``stored`` must be built anew, and the
+    bronze changes since (None: none).  Without a stored version, or with a bronze version whose
+    changes aren't there (a first load), all rows of bronze are the changes."""
+    new = versions(spark, root, -1 if stored is None else stored, run_id)
+    if stored is not None and not new:
+        return False, None
+    whole = {v for v in new if exists(spark, f"{version_path(root + CHANGES, v)}/_SUCCESS")}
+    if stored is None or whole != set(new):
+        return True, signed(read_version(spark, root, last_version(spark, root, run_id + 1)), 1)
+    feeds = [read_version(spark, root + CHANGES, v) for v in new]
+    return False, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
+
+
+def run_silver(spark: SparkSession, bronze: Frames, store: str, run_id: int) -> dict[str, str]:
+    """S1–S9 from the changes of bronze since each table's last version; a table whose source didn't
+    change keeps that version.  Returns each table's path."""
+    out: dict[str, str] = {}
+
+    def one(name: str, source: str, parts: list[str], make) -> None:
+        root = f"{store}/silver.{name}"
+        last = last_version(spark, root, run_id)
+        anew, changes = _changes_since(spark, _bronze(store, source), last, run_id)
+        if changes is None:
+            out[name] = version_path(root, last)
+            return
+        stored = {} if anew else {p: read_version(spark, f"{store}/silver.{p}", last) for p in [name, *parts]}
+        tables = make(stored, changes)
+        for p in [*parts, name]:   # the table itself last: where it is whole, its parts are
+            out[p] = write_version(tables[p], f"{store}/silver.{p}", run_id)
+
+    for name, how in keyed(bronze).items():
+        one(name, how[0], [], lambda stored, changes, n=name, h=how: {n: refresh_keyed(n, h, stored.get(n), changes)})
+    for name, fact in {**facts(bronze), "delivery_statuses": statuses(bronze)}.items():
+        def made(stored: dict[str, DataFrame], changes: DataFrame, n: str = name, f: Fact = fact) -> dict[str, DataFrame]:
+            tables = maintain(f, n, stored, changes)
+            return {**tables, n: f.whole(tables[n])}
+        one(name, fact.source, [f"{name}.{m}" for m in fact.distinct], made)
+    return out
+
+
 def run_warehouse(spark: SparkSession, sf_dir: str, store: str, run_id: int,
-                  as_of: _dt.datetime,
-                  overlap_hours: int = params.SYNC_OVERLAP_HOURS, old_sf_dir: str | None = None) -> dict[str, str]:
-    """Silver facts (incremental from the previous run) and gold snapshots.
-
-    ``old_sf_dir`` holds the tables as the previous run saw them, where rows
-    may have moved between keys since (insert-only tables don't need it).
-
-    Each fact reads its watermark from the silver state (J2, key
-    ``silver.<fact>``, default 1900), refreshes only touched keys of its
-    previous version, and the state advances to ``as_of - overlap`` after all
-    writes (I7) — the same overlap the bronze sync uses, so rows synced late
-    into bronze are still picked up.
+                  as_of: _dt.datetime, overlap_hours: int = params.SYNC_OVERLAP_HOURS) -> dict[str, str]:
+    """Bronze, silver and gold of one scheduled run, in this order.
+
+    The tables that the warehouse needs are synced into bronze unless the sync job already did so under
+    this run id.  Silver takes up what changed in bronze since its last run (``run_silver``), so that rows
+    that moved between keys or lost theirs are right without a look at the unchanged ones; gold
+    snapshots read the stored silver.  The silver state (J2, key ``silver.<fact>``) advances to
+    ``as_of - overlap`` after all writes (I7).
     """
     from ambry.functions import ts_lit
-    from ambry.operators.state import read_watermark, upsert_state
+    from ambry.operators.state import upsert_state
+    from ambry.plans.sync import mapping_source, standard_mappings
     from ambry.plans.warehouse import GOLD_SNAPSHOTS, SILVER_FACTS, Warehouse
 
-    state = _previous(spark, store, "_silver_state", run_id,
-                      spark.createDataFrame([], SILVER_STATE_SCHEMA))
-    wm = {f: read_watermark(state, {"target_schema": "silver", "target_table": f}) for f in SILVER_FACTS}
-    previous = {f: df for f in SILVER_FACTS if (df := _previous(spark, store, f"silver.{f}", run_id, None)) is not None}
-    wh = Warehouse(spark, sf_dir, wm, as_of, previous, old_sf_dir)
-    out = {}
-    for f in SILVER_FACTS:
-        out[f] = write_version(getattr(wh, f), f"{store}/silver.{f}", run_id)
-    # gold snapshots read the silver versions just written
-    wh_written = Warehouse(spark, sf_dir, wm, as_of).use_silver(
-        {f: read_version(spark, f"{store}/silver.{f}", run_id) for f in SILVER_FACTS})
+    mappings, given = dict(standard_mappings()), Tables(spark, sf_dir)
+    todo = [n for n in WAREHOUSE_TABLES if not exists(spark, f"{version_path(f'{store}/{n}/_audit', run_id)}/_SUCCESS")]
+    run_sync_all(spark, {n: (mapping_source(given, n, mappings[n]), mappings[n]) for n in todo}, store, run_id, as_of)
+    bronze = Frames(spark, {n: read_version(spark, _bronze(store, n), last_version(spark, _bronze(store, n), run_id + 1))
+                            for n in WAREHOUSE_TABLES})
+
+    state = _previous(spark, store, "_silver_state", run_id, spark.createDataFrame([], SILVER_STATE_SCHEMA))
+    out = run_silver(spark, bronze, store, run_id)
+    stored = {n: spark.read.parquet(p) for n, p in out.items()}
+    known = facts(bronze)
+    silver = {n: known[n].public(stored[n]) if n in known else stored[n] for n in SILVER_FACTS}
+    dims = {n.removeprefix("dim_"): df for n, df in stored.items() if n.startswith("dim_")}
+    dims["delivery_status"] = proxies.named_statuses(stored["delivery_statuses"].select("delivery_status_id"))
+    wh = Warehouse(spark, sf_dir, as_of=as_of, tables=bronze).use_silver(silver).use_dims(dims)
     for g in GOLD_SNAPSHOTS:
-        out[g] = write_version(getattr(wh_written, g), f"{store}/gold.{g}", run_id)
+        out[g] = write_version(getattr(wh, g), f"{store}/gold.{g}", run_id)
     synced = as_of - _dt.timedelta(hours=overlap_hours)
     rows = spark.createDataFrame([("silver", f, None) for f in SILVER_FACTS], SILVER_STATE_SCHEMA) \
         .withColumn("last_synced_at", ts_lit(synced))

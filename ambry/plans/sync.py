@@ -27,7 +27,8 @@ from ambry.operators.schema_evolution import (align_to_target, create_target_sch
                                               evolve_schema, evolve_table)
 from ambry.operators.state import audit_row, empty_audit, read_source_max, read_watermark, upsert_state
 from ambry.operators.contracts import require_keys
-from ambry.operators.upsert import upsert
+from ambry.operators.deltas import signed
+from ambry.operators.upsert import applied, changed_pairs, prepared_batch, upsert
 from ambry.sources.incremental import changed_rows
 
 
@@ -55,12 +56,18 @@ class SyncResult:
     audit: DataFrame         # this run's audit row (lazy)
     changed: DataFrame       # rows captured by this run (lazy)
     since: _dt.datetime      # watermark the run started from
+    changes: DataFrame | None = None   # before- and after-images of what changed, signed (written)
 
 
 def sync_table(spark: SparkSession, source: DataFrame, target: DataFrame | None,
                mapping: TableMapping, state: DataFrame | None, as_of: _dt.datetime,
-               overlap_hours: int = params.SYNC_OVERLAP_HOURS) -> SyncResult:
-    """One incremental sync of ``source`` into ``target``."""
+               overlap_hours: int = params.SYNC_OVERLAP_HOURS, feed: bool = False) -> SyncResult:
+    """One incremental sync of ``source`` into ``target``.
+
+    With ``feed`` the rows that the overlap reads again unchanged are left out of the upsert, and
+    the others' images before and after are given as ``changes`` (``operators/deltas``); a first load has none.
+    """
+    changes = None
     since = read_watermark(state, mapping.state_keys())
     state = state if state is not None else empty_audit(spark)
     first_load = target is None
@@ -74,13 +81,18 @@ def sync_table(spark: SparkSession, source: DataFrame, target: DataFrame | None,
     batch = align_to_target(changed, tschema)
     if first_load:   # nothing to merge into; a repeated or NULL key fails instead of losing rows
         new_target = require_keys(batch, mapping.pk, mapping.target_table)
+    elif feed:
+        batch, small = prepared_batch(batch, mapping.pk, mapping.ts_column)
+        pairs = changed_pairs(target, batch, mapping.pk, small)
+        new_target = applied(target, pairs.select("after.*"), mapping.pk, small)
+        changes = signed(pairs.select("after.*"), 1).unionByName(signed(pairs.where("before IS NOT NULL").select("before.*"), -1))
     else:
         new_target = upsert(target, batch, mapping.pk, mapping.ts_column)
     audit = audit_row(spark, mapping.state_keys(), source, new_target, mapping.ts_column,
                       since, as_of, overlap_hours,
                       previous_max=read_source_max(state, mapping.state_keys()))
     new_state = upsert_state(state, audit, list(audit.columns[:3]))
-    return SyncResult(new_target, new_state, audit, changed, since)
+    return SyncResult(new_target, new_state, audit, changed, since, changes)
 
 
 def with_ts(df: DataFrame, key: str, epoch: _dt.datetime = params.DIM_EPOCH,

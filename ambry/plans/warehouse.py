@@ -21,7 +21,7 @@ from ambry.operators.incremental import as_of_watermark, refresh_touched
 from ambry.operators.star import Role, star_join
 from ambry.operators.upsert import upsert
 from ambry.sources import proxies
-from ambry.sources.tables import Tables
+from ambry.sources.tables import Frames, Tables
 
 AMOUNT = "decimal(18,2)"
 
@@ -35,12 +35,12 @@ def order_lines_agg(rows: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("line_count")))
 
 
-def payment_rows(orders: DataFrame) -> DataFrame:
+def payment_rows(orders: DataFrame, *more: str) -> DataFrame:
     """S3 (ours): one payment transaction per order."""
     return orders.select("o_orderkey", F.to_date("o_orderdate").alias("order_day"),
                          F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
                          (F.col("o_orderstatus") == "F").alias("is_paid"),
-                         F.col("o_orderdate").alias("updated_at"))
+                         F.col("o_orderdate").alias("updated_at"), *more)
 
 
 def business_stats_agg(rows: DataFrame) -> DataFrame:
@@ -109,9 +109,9 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str,
                  wm: _dt.datetime | dict = params.SILVER_WATERMARK,
                  as_of: _dt.datetime = params.ORDERS_AS_OF,
-                 previous: dict[str, DataFrame] | None = None, old_sf_dir: str | None = None):
-        self.t = Tables(spark, sf_dir)
-        self.old = Tables(spark, old_sf_dir) if old_sf_dir else None
+                 previous: dict[str, DataFrame] | None = None, tables: Frames | None = None):
+        self.t = tables or Tables(spark, sf_dir)
+        self._dims: dict[str, DataFrame] = {}
         self._wm = wm
         self.as_of = as_of
         self.previous = previous or {}
@@ -128,8 +128,15 @@ class Warehouse:
             self.__dict__[name] = df      # fills the cached_property
         return self
 
+    def use_dims(self, dims: dict[str, DataFrame]) -> "Warehouse":
+        """Serve stored dimensions as they are."""
+        self._dims.update(dims)
+        return self
+
     # S1 (ours): dims upserted from bronze into targets holding even keys ----
     def dim(self, name: str) -> DataFrame:
+        if name in self._dims:
+            return self._dims[name]
         src, key, label = {
             "business": (proxies.dim_business, "business_id", "business_name"),
             "store": (proxies.dim_store, "store_id", "store_name"),
@@ -148,13 +155,13 @@ class Warehouse:
         return proxies.star_fact(self.t)
 
     # silver facts -------------------------------------------------------------
-    def _refresh(self, name: str, rows, keys: list[str], ts: str, agg, ids: list[str]) -> DataFrame:
+    def _refresh(self, name: str, rows, keys: list[str], ts: str, agg) -> DataFrame:
         """``rows`` gives the keyed source from a set of tables."""
         wm, keyed = self.wm(name), rows(self.t)
         previous = self.previous.get(name)
         if previous is None:
             previous = as_of_watermark(keyed, ts, wm, agg)
-        return refresh_touched(previous, keyed, keys, ts, wm, agg, rows(self.old) if self.old else None, ids)
+        return refresh_touched(previous, keyed, keys, ts, wm, agg)
 
     def _upsert_newer(self, name: str, rows: DataFrame, key: str, ts: str) -> DataFrame:
         wm = ts_lit(self.wm(name))
@@ -166,7 +173,7 @@ class Warehouse:
     @cached_property
     def order_invoice_transaction(self) -> DataFrame:          # S2
         ids = ["l_orderkey", "l_linenumber"]
-        return self._refresh("order_invoice_transaction", lambda t: t.lineitem, ids, "l_shipdate", order_lines_agg, ids)
+        return self._refresh("order_invoice_transaction", lambda t: t.lineitem, ids, "l_shipdate", order_lines_agg)
 
     @cached_property
     def payment_invoice_transaction(self) -> DataFrame:        # S3
@@ -179,25 +186,24 @@ class Warehouse:
 
     @cached_property
     def business_stats(self) -> DataFrame:                     # S5
-        return self._refresh("business_stats", star_days, ["from_business_id", "day"], "updated_at", business_stats_agg, ["id"])
+        return self._refresh("business_stats", star_days, ["from_business_id", "day"], "updated_at", business_stats_agg)
 
     @cached_property
     def daily_orders_summary(self) -> DataFrame:               # S6
         return self._refresh("daily_orders_summary", lambda t: t.orders.withColumn("day", F.to_date("o_orderdate")), ["day"],
-                             "o_orderdate", daily_orders_agg, ["o_orderkey"])
+                             "o_orderdate", daily_orders_agg)
 
     @cached_property
     def order_invoice(self) -> DataFrame:                      # S7
-        return self._refresh("order_invoice", lambda t: t.lineitem, ["l_orderkey"], "l_shipdate", order_invoice_agg,
-                             ["l_orderkey", "l_linenumber"])
+        return self._refresh("order_invoice", lambda t: t.lineitem, ["l_orderkey"], "l_shipdate", order_invoice_agg)
 
     @cached_property
     def payment_invoice(self) -> DataFrame:                    # S8
-        return self._refresh("payment_invoice", lambda t: t.orders, ["o_custkey"], "o_orderdate", payment_invoice_agg, ["o_orderkey"])
+        return self._refresh("payment_invoice", lambda t: t.orders, ["o_custkey"], "o_orderdate", payment_invoice_agg)
 
     @cached_property
     def hub_performance(self) -> DataFrame:                    # S9
-        return self._refresh("hub_performance", star_days, ["delivery_hub_id", "day"], "updated_at", hub_performance_agg, ["id"])
+        return self._refresh("hub_performance", star_days, ["delivery_hub_id", "day"], "updated_at", hub_performance_agg)
 
     # gold snapshots -----------------------------------------------------------
     @cached_property

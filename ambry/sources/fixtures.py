@@ -27,6 +27,29 @@ def bronze_orders(orders: DataFrame, until: _dt.datetime = params.BRONZE_TARGET_
     return df.drop(*(drop or []))
 
 
+def order_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders as two runs saw them: since the first, rows newer than the watermark came, half of them
+    from another business, day and price; some rows vanished, and some businesses are NULL in either."""
+    k, late = F.col("o_orderkey"), F.col("o_orderdate") > ts_lit(params.SILVER_WATERMARK)
+    new = orders.where(k % 19 != 3).withColumn("o_custkey", F.when(k % 17 != 0, F.col("o_custkey")))
+    old = orders.where(~late | (k % 2 == 0)).withColumns({
+        "o_custkey": F.when(k % 34 != 0, F.when(late, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))),
+        "o_orderdate": F.when(late, F.col("o_orderdate") - F.expr("INTERVAL 100 DAYS")).otherwise(F.col("o_orderdate")),
+        "o_orderstatus": F.when(late & (k % 4 == 0), "P").otherwise(F.col("o_orderstatus")),
+        "o_totalprice": F.when(late & (k % 6 == 0), F.lit(1.25)).otherwise(F.col("o_totalprice"))})
+    return old, new
+
+
+def line_versions(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Order lines as two runs saw them: some moved to another order, changed or vanished, and NULL orders."""
+    k, late = F.col("l_orderkey"), F.col("l_shipdate") > ts_lit(params.SILVER_WATERMARK)
+    new = lineitem.where(k % 23 != 5).withColumn("l_orderkey", F.when(k % 13 != 0, k))
+    old = lineitem.where(~late | (k % 2 == 0)).withColumns({
+        "l_orderkey": F.when(k % 26 != 0, F.when(late, k + 1).otherwise(k)),
+        "l_extendedprice": F.when(late & (k % 4 == 0), F.lit(2.5)).otherwise(F.col("l_extendedprice"))})
+    return old, new
+
+
 def audit_state(spark: SparkSession, last_synced_at: _dt.datetime = params.BRONZE_WATERMARK) -> DataFrame:
     """Audit table with the orders watermark (keys in other case) and one
     unrelated row that must survive the upsert."""

@@ -116,11 +116,16 @@ def algorithm_parameters(t: Tables, weights: dict | None = None) -> DataFrame:
 # ------------------------------------------------------------ warehouse star
 def star_fact(t: Tables) -> DataFrame:
     """Order-status fact rows on the star layout (FIXTURES.md §3 star_fact)."""
+    return star_rows(t, t.orders)
+
+
+def star_rows(t: Tables, orders: DataFrame, *more: str) -> DataFrame:
+    """The star rows of some orders, with ``more`` of their columns; ``t`` gives the dimensions."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     n_cust = _count(t.customer.select("c_custkey"))
     n_supp = _count(t.supplier.select("s_suppkey"))
     s = F.col("o_orderstatus")
-    return t.orders.select(
+    return orders.select(
         k.alias("id"),
         F.col("o_orderdate").alias("timestamp_at"),
         k.alias("order_id"),
@@ -135,6 +140,7 @@ def star_fact(t: Tables) -> DataFrame:
         F.when(k % 9 == 0, F.lit(None)).otherwise((k + 5) % n_supp).alias("delivery_agent_id"),
         F.when(s == "F", 1).when(s == "O", 2).otherwise(3).alias("delivery_status_id"),
         F.col("o_orderdate").alias("updated_at"),
+        *more,
     )
 
 
@@ -142,39 +148,39 @@ def _dim_ts(key: str) -> F.Column:
     return ts_lit(params.DIM_EPOCH) + F.make_dt_interval((F.col(key) % params.DIM_DAYS).cast("int"))
 
 
-def dim_business(t: Tables) -> DataFrame:
+def dim_business(t: Tables, *more: str) -> DataFrame:
     return t.customer.select(F.col("c_custkey").alias("business_id"),
                              F.col("c_name").alias("business_name"),
-                             _dim_ts("c_custkey").alias("updated_at"))
+                             _dim_ts("c_custkey").alias("updated_at"), *more)
 
 
-def dim_store(t: Tables) -> DataFrame:
+def dim_store(t: Tables, *more: str) -> DataFrame:
     return t.supplier.select(F.col("s_suppkey").alias("store_id"),
                              F.col("s_name").alias("store_name"),
                              F.col("s_nationkey").alias("hub_id"),
-                             _dim_ts("s_suppkey").alias("updated_at"))
+                             _dim_ts("s_suppkey").alias("updated_at"), *more)
 
 
-def dim_agent(t: Tables) -> DataFrame:
+def dim_agent(t: Tables, *more: str) -> DataFrame:
     return t.supplier.select(F.col("s_suppkey").alias("agent_id"),
                              F.col("s_name").alias("agent_name"),
                              F.col("s_nationkey").alias("hub_id"),
-                             _dim_ts("s_suppkey").alias("updated_at"))
+                             _dim_ts("s_suppkey").alias("updated_at"), *more)
 
 
-def dim_hub(t: Tables) -> DataFrame:
+def dim_hub(t: Tables, *more: str) -> DataFrame:
     return t.nation.select(F.col("n_nationkey").alias("hub_id"),
                            F.col("n_name").alias("hub_name"),
                            F.col("n_regionkey").alias("region_id"),
-                           _dim_ts("n_nationkey").alias("updated_at"))
+                           _dim_ts("n_nationkey").alias("updated_at"), *more)
 
 
-def dim_order(t: Tables) -> DataFrame:
+def dim_order(t: Tables, *more: str) -> DataFrame:
     return t.orders.select(F.col("o_orderkey").alias("order_id"),
                            F.col("o_orderdate").alias("created_at"),
                            F.col("o_custkey").alias("customer_id"),
                            F.col("o_orderpriority").alias("priority"),
-                           F.col("o_orderdate").alias("updated_at"))
+                           F.col("o_orderdate").alias("updated_at"), *more)
 
 
 # Names of the delivery statuses (ours).
@@ -183,7 +189,11 @@ DELIVERY_STATUSES = [(1, "Delivered"), (2, "In transit"), (3, "Pending")]
 
 def delivery_status(t: Tables) -> DataFrame:
     """The statuses that occur in the order facts, named."""
+    return named_statuses(star_fact(t).select("delivery_status_id").distinct())
+
+
+def named_statuses(ids: DataFrame) -> DataFrame:
     name = F.create_map(*[F.lit(x) for s in DELIVERY_STATUSES for x in s])
-    return (star_fact(t).select("delivery_status_id").distinct()
+    return (ids
             .select("delivery_status_id", name[F.col("delivery_status_id")].alias("delivery_status_name"),
                     ts_lit(params.DIM_EPOCH).alias("updated_at")))

@@ -19,6 +19,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+class Frames:
+    """Attribute access to given frames, by table name, in place of ``Tables``."""
+
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame]):
+        self.spark = spark
+        self.frames = frames
+
+    def __getattr__(self, name: str) -> DataFrame:
+        try:
+            return self.__dict__["frames"][name]
+        except KeyError:
+            raise AttributeError(name) from None
+
+
 class Tables:
     """Attribute access to the tables of one scale-factor folder.
 

@@ -145,28 +145,26 @@ def test_update_from_touches_every_match(spark):
     assert out == [(1, Decimal("5.00"), AS_OF), (2, Decimal("0.00"), T0)]
 
 
-@pytest.mark.parametrize("bound", [0, 5_000_000])
+@pytest.mark.parametrize("bound", [0, 32 << 20])
 def test_upsert_streams_target_past_broadcast_keys(spark, monkeypatch, bound):
     from ambry import params
-    monkeypatch.setattr(params, "BROADCAST_MAX_ROWS", bound)
+    monkeypatch.setattr(params, "BROADCAST_MAX_BYTES", bound)
     target = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
     batch = target.where(F.col("o_orderkey") < 50).withColumn("o_orderpriority", F.lit("x"))
     out = upsert(target, batch, ["o_orderkey"], "o_orderdate")
     assert out.count() == target.count()
     assert out.where(F.col("o_orderpriority") == "x").count() == 50
     plan = out._jdf.queryExecution().executedPlan().toString()
-    if bound:   # counted within the bound: the target is streamed past broadcast keys
+    if bound:   # measured within the bound: the target is streamed past broadcast keys
         assert any("BroadcastHashJoin" in line and "LeftAnti" in line for line in plan.splitlines())
     # beyond the bound the join is left to the planner; the written copy gives
     # it exact sizes, so a tiny batch may still be broadcast
 
 
 def test_size_check_helpers(spark):
-    from ambry.operators.materialize import broadcast_if_small, count_rows
-    a, b = spark.range(10), spark.range(1000)
-    assert count_rows({"a": a, "b": b}) == {"a": 10, "b": 1000}
-    assert count_rows({}) == {}
-    side, small = broadcast_if_small(b, 999, "t-big")
-    assert not small and side.count() == 1000
-    side, small = broadcast_if_small(a, 10, "t-small")
+    from ambry.operators.materialize import broadcast_if_small
+    a, b = spark.range(10), spark.range(100_000)
+    side, small = broadcast_if_small(b, "t-big", 100_000)   # 8 bytes a row, little of it compressed away
+    assert not small and side.count() == 100_000
+    side, small = broadcast_if_small(a, "t-small")
     assert small and sorted(r[0] for r in side.collect()) == list(range(10))

@@ -76,7 +76,7 @@ def test_sync_goes_on_after_a_failed_run(spark):
 
 
 def test_warehouse_refreshes_keys_that_lost_rows(spark):
-    from ambry.plans.jobs import run_warehouse
+    from ambry.cli import main
     from ambry.plans.warehouse import Warehouse
     import os
     new, store = tempfile.mkdtemp(prefix="ambry-moved-"), tempfile.mkdtemp(prefix="ambry-wh-")
@@ -87,10 +87,12 @@ def test_warehouse_refreshes_keys_that_lost_rows(spark):
     moved, at = F.col("o_orderkey") % 7 == 0, F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
     (Tables(spark, SF).orders.withColumn("o_custkey", F.when(moved, (F.col("o_custkey") + 1) % 150).otherwise(F.col("o_custkey")))
      .withColumn("o_orderdate", F.when(moved, at).otherwise(F.col("o_orderdate"))).write.parquet(f"{new}/orders.parquet"))
-    run_warehouse(spark, SF, store, 0, dt.datetime(2001, 12, 1))
-    out = run_warehouse(spark, new, store, 1, dt.datetime(2002, 2, 1), old_sf_dir=SF)
+    run = lambda folder, n, at: main(["warehouse", "--sf-dir", folder, "--store", store, "--run-id", n, "--as-of", at])
+    run(SF, "0", "2001-12-01T00:00:00")
+    out = run(new, "1", "2002-02-01T00:00:00")
     full = Warehouse(spark, new, wm=dt.datetime(1900, 1, 1))
-    for name in ("business_stats", "daily_orders_summary", "payment_invoice", "hub_performance"):
+    for name in ("business_stats", "daily_orders_summary", "payment_invoice", "payment_invoice_transaction", "fact_order_status",
+                 "order_global_report", "daily_orders_snapshot", "business_totals", "hub_performance"):
         exp = getattr(full, name)
         got = spark.read.parquet(out[name]).select(*exp.columns)
         assert sorted(map(str, got.collect())) == sorted(map(str, exp.collect())), name

@@ -110,8 +110,7 @@ def test_fallback_paths_match_oracle(spark, con, monkeypatch, name):
     """Size-checked broadcasts disabled and hot keys forced: the shuffled,
     salted paths give the same results."""
     from ambry import params
-    monkeypatch.setattr(params, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(params, "DIM_BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(params, "BROADCAST_MAX_BYTES", 0)
     monkeypatch.setattr(params, "HOT_KEY_ROWS", 5)
     df = QUERIES[name](spark, SF_SMALL)
     cur = con.execute(all_sql()[name])

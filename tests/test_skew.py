@@ -42,10 +42,10 @@ def conf(spark, values):
                 spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, params.BROADCAST_MAX_ROWS])
-def test_hot_order_in_order_items(spark, monkeypatch, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [0, params.BROADCAST_MAX_BYTES])
+def test_hot_order_in_order_items(spark, monkeypatch, broadcast_bytes):
     monkeypatch.setattr(params, "HOT_KEY_ROWS", 100)
-    monkeypatch.setattr(params, "BROADCAST_MAX_ROWS", broadcast_rows)
+    monkeypatch.setattr(params, "BROADCAST_MAX_BYTES", broadcast_bytes)
     t = Tables(spark, SF)
     items = proxies.src_order_items(t)
     # every third item belongs to order 1 (an 'O' order, so it counts)
@@ -65,7 +65,7 @@ def test_hot_order_in_order_items(spark, monkeypatch, broadcast_rows):
       FROM i WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = i.order_id AND o.o_orderstatus = 'O')
       GROUP BY product_id""").fetchall()
     assert got == sorted((a, str(b), c) for a, b, c in exp)
-    if broadcast_rows:   # small id set: orders and items are only streamed
+    if broadcast_bytes:   # small id set: orders and items are only streamed
         assert "__salt" not in plan and "BroadcastHashJoin" in plan
     else:                # shuffled fallback: the hot order goes through the salted join
         assert "__salt" in plan
