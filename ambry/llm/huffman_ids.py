@@ -116,7 +116,10 @@ class Encoder:
         plain = pc.match_substring_regex(stems, r"^\p{L}+$").to_numpy(zero_copy_only=False).copy()
         # letters that lose a mark when normalised ("İ" becomes an i and a dot above): the mark would join those behind the word
         foreign = np.flatnonzero(plain & pc.match_substring_regex(stems, r"[^\x00-\x7F]").to_numpy(zero_copy_only=False))
-        plain[foreign] = [unicodedata.normalize("NFC", w).lower().isalpha() for w in stems.take(pa.array(foreign)).to_pylist()]
+        own = stems.take(pa.array(foreign)).to_pylist()
+        marked = [c for c in set("".join(own)) if not unicodedata.normalize("NFC", c).lower().isalpha()]
+        if marked:
+            plain[foreign] = [not any(c in w for c in marked) for w in own]
         some = pa.array(np.flatnonzero(plain))
         stem = stems.take(some).dictionary_encode()
         tail = pc.replace_substring_regex(pieces.take(some), r"^\p{L}+", "").dictionary_encode()
