@@ -15,10 +15,16 @@ from pyspark.sql import functions as F
 from ambry import params
 from ambry.functions import ts_lit
 
-AUDIT_SCHEMA = ("target_db_name STRING, target_schema STRING, target_table STRING, "
-                "last_synced_at TIMESTAMP_NTZ, last_source_max_updated TIMESTAMP_NTZ, "
-                "last_source_row_count BIGINT, last_target_row_count BIGINT, "
-                "status STRING, last_error STRING, updated_at TIMESTAMP_NTZ")
+# ---------------------------------------------------------------- fixed values
+# Columns of a target's state row: what describes the sync, what a run measures.
+DESCRIBED = ("table_name", "table_no", "source_conn_id", "source_db_name", "source_schema", "source_table",
+             "target_conn_id", "target_db_name", "target_schema", "target_table", "pk_column", "ts_column")
+MEASURED = ("last_synced_at", "last_source_max_updated", "last_source_row_count", "last_target_row_count")
+# ------------------------------------------------------------ end fixed values
+AUDIT_SCHEMA = ", ".join([f"{c} {'INT' if c == 'table_no' else 'STRING'}" for c in DESCRIBED]
+                         + ["last_synced_at TIMESTAMP_NTZ", "last_source_max_updated TIMESTAMP_NTZ",
+                            "last_source_row_count BIGINT", "last_target_row_count BIGINT",
+                            "status STRING", "last_error STRING", "updated_at TIMESTAMP_NTZ"])
 AUDIT_KEYS = ["target_db_name", "target_schema", "target_table"]
 PUBLISH_SCHEMA = "table_name STRING, last_sync_at TIMESTAMP_NTZ"
 
@@ -38,13 +44,6 @@ def _key_match(keys: dict[str, str]) -> Column:
     return cond
 
 
-def watermark_frame(state: DataFrame, keys: dict[str, str], col: str,
-                    default: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
-    """J1/J2/J3 as a one-row frame: the stored value, or the default."""
-    return state.where(_key_match(keys)).agg(
-        F.coalesce(F.max(col), ts_lit(default)).alias(col))
-
-
 def read_watermark(state: DataFrame | None, keys: dict[str, str], col: str = "last_synced_at",
                    default: _dt.datetime | None = params.DEFAULT_WATERMARK) -> _dt.datetime | None:
     """The watermark as a driver value, to become a scan literal.
@@ -74,11 +73,11 @@ def source_metrics(source: DataFrame, ts_col: str, since: _dt.datetime) -> DataF
                       F.count_if(newer).alias("row_count_since"))
 
 
-def audit_row(spark: SparkSession, keys: dict[str, str], source: DataFrame, target: DataFrame,
+def audit_row(spark: SparkSession, described: dict, source: DataFrame, target: DataFrame,
               ts_col: str, since: _dt.datetime, as_of: _dt.datetime,
               overlap_hours: int = params.SYNC_OVERLAP_HOURS, status: str = "SUCCESS",
               error: str | None = None, previous_max: _dt.datetime | None = None) -> DataFrame:
-    """J4/J6 with D8, D11, D12: the audit row of one sync run.
+    """J4/J6 with D8, D11, D12: the audit row of one sync run, all of its columns.
 
     One aggregate pass over the source gives both its max ts and its count
     since the watermark; the target count since the watermark is a scalar
@@ -99,9 +98,7 @@ def audit_row(spark: SparkSession, keys: dict[str, str], source: DataFrame, targ
     synced = as_of - _dt.timedelta(hours=overlap_hours) if status == "SUCCESS" else since
     err = None if error is None else error[: params.ERROR_TEXT_LIMIT]
     return src.select(
-        F.lit(keys["target_db_name"]).alias("target_db_name"),
-        F.lit(keys["target_schema"]).alias("target_schema"),
-        F.lit(keys["target_table"]).alias("target_table"),
+        *[F.lit(described.get(c)).cast("int" if c == "table_no" else "string").alias(c) for c in DESCRIBED],
         ts_lit(synced).alias("last_synced_at"),
         "last_source_max_updated",
         "last_source_row_count",
@@ -111,23 +108,6 @@ def audit_row(spark: SparkSession, keys: dict[str, str], source: DataFrame, targ
         ts_lit(as_of).alias("updated_at"))
 
 
-def mark_status(spark: SparkSession, state: DataFrame, keys: dict[str, str], status: str,
-                as_of: _dt.datetime, error: str | None = None) -> DataFrame:
-    """I6 for RUNNING / FAILED: only ``status``, ``last_error`` and
-    ``updated_at`` change; the watermark and counts of the row are kept (a
-    missing row is created with the default watermark)."""
-    err = F.lit(None if error is None else error[: params.ERROR_TEXT_LIMIT]).cast("string")
-    hit = _key_match(keys)
-    existing = state.where(hit)
-    new_vals = {"status": F.lit(status), "last_error": err, "updated_at": ts_lit(as_of)}
-    changed = existing.withColumns(new_vals)
-    fresh = spark.createDataFrame(
-        [(keys["target_db_name"], keys["target_schema"], keys["target_table"],
-          params.DEFAULT_WATERMARK, None, 0, 0, None, None, None)], AUDIT_SCHEMA).withColumns(new_vals)
-    missing = existing.select(F.count(F.lit(1))).scalar() == 0
-    return state.where(~hit).unionByName(changed).unionByName(fresh.where(missing))
-
-
 def upsert_state(state: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Key-value upsert of state rows, keys case-insensitive.
 

@@ -46,15 +46,5 @@ def last_version(spark: SparkSession, root: str, before: int) -> int | None:
     return next((v for v in found if v < before and exists(spark, f"{version_path(root, v)}/_SUCCESS")), None)
 
 
-def versions(spark: SparkSession, root: str, after: int, upto: int) -> list[int]:
-    """The versions above ``after`` and up to ``upto`` that were written whole, ascending."""
-    out: list[int] = []
-    v = last_version(spark, root, upto + 1)
-    while v is not None and v > after:
-        out.append(v)
-        v = last_version(spark, root, v)
-    return out[::-1]
-
-
 def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(version_path(root, version))

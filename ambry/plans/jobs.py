@@ -3,8 +3,8 @@ writes its own (SURVEY §3 entries 1 and 3).
 
 Layout under ``store``: ``<table>/v<run_id>`` Parquet folders.  A run is
 identified by an increasing ``run_id`` chosen by the scheduler; run ``n``
-reads the newest whole version below ``n`` of its targets and state and
-writes version ``n``.  A version is only ever read by later runs, so a failed
+reads the newest whole version below ``n`` of its targets and state (a sync:
+the one that its log names as the last success) and writes version ``n``.  A version is only ever read by later runs, so a failed
 run is either retried with the same ``run_id`` (its partial output is
 overwritten) or passed over by the next one.
 
@@ -15,6 +15,7 @@ publish watermark last (at-least-once delivery).
 from __future__ import annotations
 
 import datetime as _dt
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ambry import params
 from ambry.operators.batching import write_messages
 from ambry.operators.deltas import Fact, maintain, signed
-from ambry.operators.state import (audit_row, empty_audit, empty_publish_state, mark_status,
-                                   read_source_max, upsert_state)
+from ambry.operators.runlog import FAILED, RUNNING, RunLog
+from ambry.operators.state import AUDIT_SCHEMA, audit_row, empty_audit, empty_publish_state, read_source_max
 from ambry.operators.upsert import conditional_upsert, update_from
-from ambry.operators.versioned import exists, last_version, read_version, version_path, versions, write_version
+from ambry.operators.versioned import exists, last_version, read_version, version_path, write_version
 from ambry.plans import scoring
 from ambry.plans.maintained import facts, keyed, refresh_keyed, statuses
 from ambry.plans.scoring_run import ScoringRun
@@ -106,37 +107,52 @@ def run_scoring(spark: SparkSession, sf_dir: str, store: str, run_id: int,
     return ScoringOutputs(**p)
 
 
+@contextmanager
+def _logged(spark: SparkSession, mapping: TableMapping, store: str, run_id: int, as_of: _dt.datetime,
+            initial_state: DataFrame | None):
+    """One sync run in the log: RUNNING before, FAILED if it raises; gives the log, the state that earlier
+    runs left (a frame of at most one row, in the driver) and what the body calls on success."""
+    log = RunLog(spark, f"{store}/_log")
+    row, n = log.before(run_id)
+    state = initial_state if row is None else spark.createDataFrame([tuple(row)[:-2]], AUDIT_SCHEMA)
+    log.append(run_id, n, log.status_row(mapping.described(), RUNNING, as_of))
+    try:
+        yield log, state if state is not None else empty_audit(spark), None if row is None else row.version, \
+            lambda audit, version: log.append(run_id, n + 1, audit, version)
+    except Exception as e:
+        # FAILED keeps the previous watermark, so the next run re-reads the rows
+        log.append(run_id, n + 1, log.status_row(mapping.described(), FAILED, as_of, _cause(e)))
+        raise
+
+
+def sync_state(spark: SparkSession, log_path: str) -> DataFrame:
+    """The state rows that a log's events fold to."""
+    return RunLog(spark, log_path).state()
+
+
 def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, store: str,
              run_id: int, as_of: _dt.datetime, initial_target: DataFrame | None = None,
              initial_state: DataFrame | None = None) -> tuple[str, str]:
     """P1 as one scheduled run: writes ``<target>/v<run_id>``, what changed since the version before
-    (signed images, ``<target>._changes/v<run_id>``) and ``_audit/v<run_id>``.  Without any change only the audit row is new."""
+    (signed images, ``<target>._changes/v<run_id>``) and the run's events into ``_log``.  Without any change
+    only the log grows.  It starts from the newest version that a successful run left.  Returns the
+    target's and the log's path."""
     tname = f"{mapping.target_schema}.{mapping.target_table}"
-    last = last_version(spark, f"{store}/{tname}", run_id)
-    target = initial_target if last is None else read_version(spark, f"{store}/{tname}", last)
-    state = _previous(spark, store, "_audit", run_id, initial_state) or empty_audit(spark)
-    try:
+    with _logged(spark, mapping, store, run_id, as_of, initial_state) as (log, state, last, succeed):
+        target = initial_target if last is None else read_version(spark, f"{store}/{tname}", last)
         res = sync_table(spark, source, target, mapping, state, as_of, feed=True)
         if last is not None and res.target.schema == target.schema and res.changes.isEmpty():
-            tpath = version_path(f"{store}/{tname}", last)   # nothing changed: nothing is written
-            written = target
+            written, version = target, last   # nothing changed: nothing is written
         else:
-            if res.changes is not None:   # before the target: a version's changes are there when it is
+            if res.changes is not None:
                 write_version(res.changes, f"{store}/{tname}{CHANGES}", run_id)
-            tpath = write_version(res.target, f"{store}/{tname}", run_id, sort_by=[mapping.ts_column])
+            write_version(res.target, f"{store}/{tname}", run_id, sort_by=[mapping.ts_column])
             # the audit counts the written version (a column-pruned scan), not
             # the upsert plan again
-            written = read_version(spark, f"{store}/{tname}", run_id)
-        audit = audit_row(spark, mapping.state_keys(), source, written, mapping.ts_column,
-                          res.since, as_of, previous_max=read_source_max(state, mapping.state_keys()))
-        new_state = upsert_state(state, audit, list(audit.columns[:3]))
-        spath = write_version(new_state, f"{store}/_audit", run_id)
-    except Exception as e:
-        # FAILED keeps the previous watermark, so the next run re-reads the rows
-        failed = mark_status(spark, state, mapping.state_keys(), "FAILED", as_of, _cause(e))
-        write_version(failed, f"{store}/_audit", run_id)
-        raise
-    return tpath, spath
+            written, version = read_version(spark, f"{store}/{tname}", run_id), run_id
+        succeed(audit_row(spark, mapping.described(), source, written, mapping.ts_column, res.since, as_of,
+                          previous_max=read_source_max(state, mapping.state_keys())), version)
+    return version_path(f"{store}/{tname}", version), log.root
 
 
 def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMapping, store: str,
@@ -146,7 +162,7 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
 
     The target ``<store>/<table>`` is written once (first load) and from then
     on only the key ranges touched by each run's changed rows are rewritten
-    (``operators/ranges``); audit/watermark state is versioned per run as in
+    (``operators/ranges``); its events go to ``_log`` as in
     ``run_sync``.  Suited to serial keys, where changes cluster in recent
     ranges.
     """
@@ -155,9 +171,8 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
     from ambry.sources.incremental import changed_rows
 
     tpath = f"{store}/{mapping.target_schema}.{mapping.target_table}"
-    state = _previous(spark, store, "_audit", run_id, initial_state) or empty_audit(spark)
     keys = mapping.state_keys()
-    try:
+    with _logged(spark, mapping, store, run_id, as_of, initial_state) as (log, state, _, succeed):
         since = read_watermark(state, keys)
         # an empty first load leaves its marker but no data file
         if _has_data(spark, tpath):
@@ -170,15 +185,9 @@ def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMappin
             write_ranged(sync_table(spark, source, None, mapping, None, as_of).target, tpath,
                          mapping.pk[0], key_range)
             target = read_ranged(spark, tpath) if _has_data(spark, tpath) else source.limit(0)
-        audit = audit_row(spark, keys, source, target, mapping.ts_column, since, as_of,
-                          previous_max=read_source_max(state, keys))
-        spath = write_version(upsert_state(state, audit, list(audit.columns[:3])),
-                              f"{store}/_audit", run_id)
-    except Exception as e:
-        failed = mark_status(spark, state, keys, "FAILED", as_of, _cause(e))
-        write_version(failed, f"{store}/_audit", run_id)
-        raise
-    return tpath, spath
+        succeed(audit_row(spark, mapping.described(), source, target, mapping.ts_column, since, as_of,
+                          previous_max=read_source_max(state, keys)), run_id)
+    return tpath, log.root
 
 
 def run_sync_all(spark: SparkSession, sources: dict[str, tuple[DataFrame, TableMapping]], store: str,
@@ -223,12 +232,13 @@ def _changes_since(spark: SparkSession, root: str, stored: int | None, run_id: i
     """Whether a table that was last brought up to date by run ``stored`` must be built anew, and the
     bronze changes since (None: none).  Without a stored version, or with a bronze version whose
     changes aren't there (a first load), all rows of bronze are the changes."""
-    new = versions(spark, root, -1 if stored is None else stored, run_id)
+    log = RunLog(spark, f"{root.rpartition('/')[0]}/_log")
+    new = log.versions(-1 if stored is None else stored, run_id)
     if stored is not None and not new:
         return False, None
     whole = {v for v in new if exists(spark, f"{version_path(root + CHANGES, v)}/_SUCCESS")}
     if stored is None or whole != set(new):
-        return True, signed(read_version(spark, root, last_version(spark, root, run_id + 1)), 1)
+        return True, signed(read_version(spark, root, log.last_version(run_id)), 1)
     feeds = [read_version(spark, root + CHANGES, v) for v in new]
     return False, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
@@ -276,10 +286,10 @@ def run_warehouse(spark: SparkSession, sf_dir: str, store: str, run_id: int,
     from ambry.plans.warehouse import GOLD_SNAPSHOTS, SILVER_FACTS, Warehouse
 
     mappings, given = dict(standard_mappings()), Tables(spark, sf_dir)
-    todo = [n for n in WAREHOUSE_TABLES if not exists(spark, f"{version_path(f'{store}/{n}/_audit', run_id)}/_SUCCESS")]
+    logs = {n: RunLog(spark, f"{store}/{n}/_log") for n in WAREHOUSE_TABLES}
+    todo = [n for n, log in logs.items() if not log.succeeded(run_id)]
     run_sync_all(spark, {n: (mapping_source(given, n, mappings[n]), mappings[n]) for n in todo}, store, run_id, as_of)
-    bronze = Frames(spark, {n: read_version(spark, _bronze(store, n), last_version(spark, _bronze(store, n), run_id + 1))
-                            for n in WAREHOUSE_TABLES})
+    bronze = Frames(spark, {n: read_version(spark, _bronze(store, n), log.last_version(run_id)) for n, log in logs.items()})
 
     state = _previous(spark, store, "_silver_state", run_id, spark.createDataFrame([], SILVER_STATE_SCHEMA))
     out = run_silver(spark, bronze, store, run_id)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ambry import params
 from ambry.operators.schema_evolution import (align_to_target, create_target_schema, empty_table,
                                               evolve_schema, evolve_table)
-from ambry.operators.state import audit_row, empty_audit, read_source_max, read_watermark, upsert_state
+from ambry.operators.state import AUDIT_KEYS, audit_row, empty_audit, read_source_max, read_watermark, upsert_state
 from ambry.operators.contracts import require_keys
 from ambry.operators.deltas import signed
 from ambry.operators.upsert import applied, changed_pairs, prepared_batch, upsert
@@ -48,6 +48,13 @@ class TableMapping:
         return {"target_db_name": self.target_db_name, "target_schema": self.target_schema,
                 "target_table": self.target_table}
 
+    def described(self) -> dict:
+        """What a state row says of the mapping."""
+        return {**self.state_keys(), "table_name": f"{self.target_schema}.{self.target_table}", "table_no": self.extra.get("table_no"),
+                "source_conn_id": self.extra.get("source_conn_id"), "target_conn_id": self.extra.get("target_conn_id"),
+                "source_db_name": self.source_db_name, "source_schema": self.source_schema, "source_table": self.source_table,
+                "pk_column": ",".join(self.pk), "ts_column": self.ts_column}
+
 
 @dataclass
 class SyncResult:
@@ -88,10 +95,10 @@ def sync_table(spark: SparkSession, source: DataFrame, target: DataFrame | None,
         changes = signed(pairs.select("after.*"), 1).unionByName(signed(pairs.where("before IS NOT NULL").select("before.*"), -1))
     else:
         new_target = upsert(target, batch, mapping.pk, mapping.ts_column)
-    audit = audit_row(spark, mapping.state_keys(), source, new_target, mapping.ts_column,
+    audit = audit_row(spark, mapping.described(), source, new_target, mapping.ts_column,
                       since, as_of, overlap_hours,
                       previous_max=read_source_max(state, mapping.state_keys()))
-    new_state = upsert_state(state, audit, list(audit.columns[:3]))
+    new_state = upsert_state(state, audit, AUDIT_KEYS)
     return SyncResult(new_target, new_state, audit, changed, since, changes)
 
 

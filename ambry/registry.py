@@ -196,6 +196,35 @@ def j6(spark, sf_dir):
     return _orders_sync(spark, sf_dir).state
 
 
+@query("j6_run_log")
+def j6_log(spark, sf_dir):
+    """A run, a crash and a run: the state that the log's events fold to after each."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from ambry.operators.runlog import RunLog, fold
+    from ambry.plans.jobs import run_sync
+    from ambry.plans.sync import TableMapping
+    from ambry.session import scratch_path
+    orders, store = Tables(spark, sf_dir).orders, scratch_path(spark, "run-log")
+    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
+    early = params.BRONZE_WATERMARK + dt.timedelta(hours=params.SYNC_OVERLAP_HOURS)
+    run_sync(spark, orders.where(F.col("o_orderdate") <= F.lit(str(early)).cast("timestamp_ntz")), m, store, 1, early)
+    broken = orders.withColumn("o_totalprice", F.when(F.col("o_totalprice") >= 0, F.raise_error(F.lit("source is gone"))).otherwise(0.0))
+    try:
+        run_sync(spark, broken, m, store, 2, params.ORDERS_AS_OF - dt.timedelta(days=1))
+    except Exception as e:  # noqa: BLE001 - the crash is what is tested
+        if "source is gone" not in str(e):
+            raise
+    run_sync(spark, orders, m, store, 3, params.ORDERS_AS_OF)
+    events, parts = RunLog(spark, f"{store}/_log").events(), []
+    for run in (1, 2, 3):
+        state = fold(events.where(F.col("run_id") <= run))
+        parts.append(state.withColumn("failed_with", F.substring_index(F.regexp_extract("last_error", "source is gone", 0), "\\n", 1)).drop("last_error"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("p2_sync_all")
 def p2(spark, sf_dir):
     from functools import reduce

@@ -53,8 +53,9 @@ def line_versions(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
 def audit_state(spark: SparkSession, last_synced_at: _dt.datetime = params.BRONZE_WATERMARK) -> DataFrame:
     """Audit table with the orders watermark (keys in other case) and one
     unrelated row that must survive the upsert."""
-    rows = [("DW", "Bronze", "ORDERS", last_synced_at, last_synced_at, 0, 0, "SUCCESS", None,
-             last_synced_at),
-            ("dw", "bronze", "customer", last_synced_at, last_synced_at, 0, 0, "SUCCESS", None,
-             last_synced_at)]
+    def row(db: str, schema: str, table: str, pk: str) -> tuple:
+        return (f"{schema}.{table}", 1, "ops", "source", "public", table, "wh", db, schema, table, pk, "updated_at",
+                last_synced_at, last_synced_at, 0, 0, "SUCCESS", None, last_synced_at)
+
+    rows = [row("DW", "Bronze", "ORDERS", "o_orderkey"), row("dw", "bronze", "customer", "c_custkey")]
     return spark.createDataFrame(rows, AUDIT_SCHEMA)

@@ -33,7 +33,8 @@ def load_mappings(path: str) -> list[TableMapping]:
                 ts_column=tbl.get("ts_column"),
                 source_db_name=src.get("source_db_name", ""), source_schema=tbl.get("source_schema"),
                 target_db_name=src.get("target_db_name", ""), target_schema=tbl.get("target_schema"),
-                extra={k: v for k, v in src.attrib.items() if k.endswith("conn_id")}))
+                extra={**{k: v for k, v in src.attrib.items() if k.endswith("conn_id")},
+                       **({"table_no": int(tbl.get("table_no"))} if tbl.get("table_no") else {})}))
     if problems:
         raise ValueError("; ".join(problems))
     keys = [(m.target_db_name.lower(), m.target_schema.lower(), m.target_table.lower()) for m in out]

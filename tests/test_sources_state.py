@@ -48,7 +48,7 @@ def test_watermark_default_and_case(spark):
     st = empty_audit(spark)
     keys = {"target_db_name": "dw", "target_schema": "bronze", "target_table": "orders"}
     assert read_watermark(st, keys) == params.DEFAULT_WATERMARK
-    st2 = spark.createDataFrame([("DW", "Bronze", "ORDERS", W, None, 0, 0, "SUCCESS", None, W)], st.schema)
+    st2 = spark.createDataFrame([("Bronze.ORDERS", 1, *[None] * 5, "DW", "Bronze", "ORDERS", "id", "ts", W, None, 0, 0, "SUCCESS", None, W)], st.schema)
     assert read_watermark(st2, keys) == W
 
 
@@ -125,20 +125,6 @@ def test_upsert_touched_ranges_rewrites_only_touched(spark):
     assert untouched and all(after.get(p) == before[p] for p in untouched)
 
 
-def test_mark_status_keeps_watermark(spark):
-    from ambry.operators.state import mark_status
-    keys = {"target_db_name": "dw", "target_schema": "bronze", "target_table": "orders"}
-    st = spark.createDataFrame([("DW", "bronze", "orders", W, W, 5, 6, "SUCCESS", None, W),
-                                ("dw", "bronze", "other", W, W, 1, 1, "SUCCESS", None, W)], empty_audit(spark).schema)
-    later = W + dt.timedelta(days=1)
-    out = {r["target_table"]: r for r in mark_status(spark, st, keys, "FAILED", later, "x" * 2000).collect()}
-    r = out["orders"]
-    assert (r["status"], len(r["last_error"]), r["last_synced_at"], r["last_source_row_count"]) == ("FAILED", 1000, W, 5)
-    assert out["other"]["status"] == "SUCCESS"
-    new = mark_status(spark, empty_audit(spark), keys, "RUNNING", later).collect()
-    assert len(new) == 1 and new[0]["last_synced_at"] == params.DEFAULT_WATERMARK and new[0]["status"] == "RUNNING"
-
-
 def test_failed_sync_run_writes_failed_state(spark):
     from pyspark.sql import functions as F
 
@@ -150,7 +136,8 @@ def test_failed_sync_run_writes_failed_state(spark):
         "id", F.when(F.col("id") == 1, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).cast("int"))
     with pytest.raises(Exception):
         run_sync(spark, bad, m, d, 0, W)
-    st = spark.read.parquet(f"{d}/_audit/v000000").collect()
+    from ambry.plans.jobs import sync_state
+    st = sync_state(spark, f"{d}/_log").collect()
     assert st[0]["status"] == "FAILED" and "boom" in st[0]["last_error"]
 
 
