@@ -2,7 +2,7 @@
 
     python -m ambry.cli score     --sf-dir DIR --store DIR --run-id N [--as-of TS]
     python -m ambry.cli sync      --sf-dir DIR --store DIR --run-id N --as-of TS [--tables orders,...]
-                                  [--key-range N]
+                                  [--key-range N | --reconcile N]
     python -m ambry.cli warehouse --sf-dir DIR --store DIR --run-id N --as-of TS
 
 A scheduler (cron, a DAG runner) calls one of these per run with an
@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--key-range", type=int, default=None,
                     help="sync: keep targets partitioned by key ranges of this size and rewrite "
                          "only touched ranges (default: a new full version per run)")
+    ap.add_argument("--reconcile", type=int, default=None, metavar="KEYS",
+                    help="sync: compare whole tables by digests of ranges of so many keys and repair what differs")
     ap.add_argument("--master", default=None, help="only for local use; spark-submit sets it")
     a = ap.parse_args(argv)
 
@@ -56,8 +58,12 @@ def main(argv: list[str] | None = None) -> dict:
         wanted = set(a.tables.split(",")) if a.tables else None
         sources = {name: (mapping_source(t, name, m), m) for name, m in standard_mappings()
                    if wanted is None or name in wanted}
-        out = jobs.run_sync_all(spark, sources, a.store, a.run_id, a.as_of or params.ORDERS_AS_OF,
-                                parallelism=a.parallelism, key_range=a.key_range)
+        if a.reconcile:
+            out = {n: jobs.run_reconcile(spark, df, m, f"{a.store}/{n}", a.run_id, a.as_of or params.ORDERS_AS_OF, a.reconcile)[:2]
+                   for n, (df, m) in sources.items()}
+        else:
+            out = jobs.run_sync_all(spark, sources, a.store, a.run_id, a.as_of or params.ORDERS_AS_OF,
+                                    parallelism=a.parallelism, key_range=a.key_range)
     else:
         out = jobs.run_warehouse(spark, a.sf_dir, a.store, a.run_id, a.as_of or params.ORDERS_AS_OF)
     print(json.dumps(out, default=str))

@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ambry import params
 from ambry.operators.batching import write_messages
 from ambry.operators.deltas import Fact, maintain, signed
+from ambry.operators.digests import reconcile
 from ambry.operators.runlog import FAILED, RUNNING, RunLog
 from ambry.operators.state import AUDIT_SCHEMA, audit_row, empty_audit, empty_publish_state, read_source_max
+from ambry.operators.typed_load import typed_load
 from ambry.operators.upsert import conditional_upsert, update_from
 from ambry.operators.versioned import exists, last_version, read_version, version_path, write_version
 from ambry.plans import scoring
@@ -132,13 +134,18 @@ def sync_state(spark: SparkSession, log_path: str) -> DataFrame:
 
 def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, store: str,
              run_id: int, as_of: _dt.datetime, initial_target: DataFrame | None = None,
-             initial_state: DataFrame | None = None) -> tuple[str, str]:
+             initial_state: DataFrame | None = None, catalog: list[dict] | None = None) -> tuple[str, str]:
     """P1 as one scheduled run: writes ``<target>/v<run_id>``, what changed since the version before
     (signed images, ``<target>._changes/v<run_id>``) and the run's events into ``_log``.  Without any change
-    only the log grows.  It starts from the newest version that a successful run left.  Returns the
+    only the log grows.  With a ``catalog`` (A17) the source's text values are typed by it first, and the rows
+    that don't fit go to ``<target>._rejects/v<run_id>``.  It starts from the newest version that a successful run left.  Returns the
     target's and the log's path."""
     tname = f"{mapping.target_schema}.{mapping.target_table}"
     with _logged(spark, mapping, store, run_id, as_of, initial_state) as (log, state, last, succeed):
+        if catalog is not None:
+            load = typed_load(source, catalog, mapping.pk)
+            write_version(load.rejects, f"{store}/{tname}{REJECTS}", run_id)
+            source = load.rows
         target = initial_target if last is None else read_version(spark, f"{store}/{tname}", last)
         res = sync_table(spark, source, target, mapping, state, as_of, feed=True)
         if last is not None and res.target.schema == target.schema and res.changes.isEmpty():
@@ -155,6 +162,31 @@ def run_sync(spark: SparkSession, source: DataFrame, mapping: TableMapping, stor
     return version_path(f"{store}/{tname}", version), log.root
 
 
+def run_reconcile(spark: SparkSession, source: DataFrame, mapping: TableMapping, store: str,
+                  run_id: int, as_of: _dt.datetime, range_size: int) -> tuple[str, str, DataFrame | None]:
+    """Compare a bronze table with its whole source by digests of key ranges and repair what differs,
+    rows that vanished from the source included; the changes are fed on like a sync's.  Returns the
+    target's and the log's path, and the report (None: nothing differed, nothing was written)."""
+    from ambry.operators.schema_evolution import align_to_target, evolve_schema, evolve_table
+    from ambry.operators.state import read_watermark
+
+    tname = f"{mapping.target_schema}.{mapping.target_table}"
+    with _logged(spark, mapping, store, run_id, as_of, None) as (log, state, last, succeed):
+        if last is None:
+            raise ValueError(f"{tname} was never synced")
+        target = read_version(spark, f"{store}/{tname}", last)
+        schema = evolve_schema(target.schema, source.schema)
+        fixed = reconcile(align_to_target(source, schema), evolve_table(target, schema), mapping.pk, range_size)
+        written, version = target, last
+        if fixed is not None:
+            write_version(fixed.changes, f"{store}/{tname}{CHANGES}", run_id)
+            write_version(fixed.table, f"{store}/{tname}", run_id, sort_by=[mapping.ts_column])
+            written, version = read_version(spark, f"{store}/{tname}", run_id), run_id
+        succeed(audit_row(spark, mapping.described(), source, written, mapping.ts_column,
+                          read_watermark(state, mapping.state_keys()), as_of), version)
+    return version_path(f"{store}/{tname}", version), log.root, None if fixed is None else fixed.report
+
+
 def run_sync_ranged(spark: SparkSession, source: DataFrame, mapping: TableMapping, store: str,
                     run_id: int, as_of: _dt.datetime, key_range: int,
                     initial_state: DataFrame | None = None) -> tuple[str, str]:
@@ -221,7 +253,7 @@ SILVER_STATE_SCHEMA = "target_schema STRING, target_table STRING, last_synced_at
 
 #: Bronze tables that the warehouse reads, and what follows a table's name where its changes are.
 WAREHOUSE_TABLES = ("orders", "lineitem", "customer", "supplier", "nation")
-CHANGES = "._changes"
+CHANGES, REJECTS = "._changes", "._rejects"
 
 
 def _bronze(store: str, name: str) -> str:
