@@ -181,6 +181,68 @@ def f2(spark, sf_dir):
     return page(Tables(spark, sf_dir).orders, ["o_orderkey"], 2000, 1000)
 
 
+@query("f1_deep_page")
+def f1_deep(spark, sf_dir):
+    """A page far behind the first, through a page index of small ranges."""
+    from ambry.operators.pages import PageIndex
+    from ambry.session import scratch_path
+    index = PageIndex.build(Tables(spark, sf_dir).orders, ["o_orderdate", "o_orderkey"], scratch_path(spark, "page-index"), 500)
+    return index.page(1200, 700)
+
+
+@query("a2_full_scan")
+def a2(spark, sf_dir):
+    from ambry.sources.incremental import changed_rows
+    return changed_rows(Tables(spark, sf_dir).customer, "updated_at", None)
+
+
+def _written_orders(spark, sf_dir, replace: bool):
+    """Two slices of orders written one after the other; the folder and what each write observed."""
+    from pyspark.sql import functions as F
+
+    from ambry.operators.sinks import append_rows, replace_table
+    from ambry.session import scratch_path
+    orders, path = Tables(spark, sf_dir).orders, scratch_path(spark, "orders-sink")
+    slices = [orders.where(F.col("o_orderkey") % 3 == 0), orders.where(F.col("o_orderkey") % 3 == 1)]
+    return path, [replace_table(s, path, "o_orderdate") if replace else append_rows(s, path, "o_orderdate") for s in slices]
+
+
+@query("a7_append_sink")
+def a7(spark, sf_dir):
+    return spark.read.parquet(_written_orders(spark, sf_dir, False)[0])
+
+
+@query("a8_snapshot_sink")
+def a8(spark, sf_dir):
+    return spark.read.parquet(_written_orders(spark, sf_dir, True)[0])
+
+
+@query("d13_observed_counts")
+def d13(spark, sf_dir):
+    """What the writes counted on the way, without a pass of its own."""
+    rows = [(i, m["rows"], m["max_ts"]) for i, m in enumerate(_written_orders(spark, sf_dir, False)[1])]
+    return spark.createDataFrame(rows, "write_no int, n_rows long, max_ts timestamp_ntz")
+
+
+@query("i7_silver_watermarks")
+def i7(spark, sf_dir):
+    """Silver watermarks after a step (I7) that read its own (J2, whatever its case) and advanced it to what it saw."""
+    from pyspark.sql import functions as F
+
+    from ambry.functions import ts_lit
+    from ambry.operators.state import read_watermark, upsert_state
+    from ambry.plans.jobs import SILVER_STATE_SCHEMA
+    orders = Tables(spark, sf_dir).orders
+    state = spark.createDataFrame([("Silver", "Business_Stats", params.SILVER_WATERMARK), ("silver", "order_invoice", params.DIM_EPOCH)], SILVER_STATE_SCHEMA)
+    out = state
+    for fact in ("business_stats", "hub_performance"):   # the second has no row yet
+        since = read_watermark(state, {"target_schema": "silver", "target_table": fact})
+        seen = orders.where(F.col("o_orderdate") > ts_lit(since)).agg(F.max("o_orderdate").alias("last_synced_at"))
+        out = upsert_state(out, seen.select(F.lit("silver").alias("target_schema"), F.lit(fact).alias("target_table"), "last_synced_at"),
+                           ["target_schema", "target_table"])
+    return out
+
+
 @query("p1_sync_orders")
 def p1(spark, sf_dir):
     return _orders_sync(spark, sf_dir).target
@@ -502,6 +564,32 @@ def st1(spark, sf_dir):
     return s.latest(spark)
 
 
+def _daily_counts(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ambry.session import scratch_path
+    from ambry.streaming.last_days import daily_counts, start_daily_counts
+    arrivals, root = scratch_path(spark, "status-arrivals"), scratch_path(spark, "daily-counts")
+    star = proxies.star_fact(Tables(spark, sf_dir)).select("id", "timestamp_at", "delivery_status_id")
+    star.repartition(4, F.col("id") % 4).write.parquet(arrivals)   # each file has rows of all days
+    stream = spark.readStream.schema(star.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+    start_daily_counts(spark, stream, root, scratch_path(spark, "daily-counts-ckpt")).awaitTermination()
+    return daily_counts(spark, root)
+
+
+@query("g7_stream")
+def g7_stream(spark, sf_dir):
+    """The trailing week's counts from a drained stream."""
+    from ambry.streaming.last_days import status_last_days
+    return status_last_days(_daily_counts(spark, sf_dir), params.ORDERS_AS_OF)
+
+
+@query("g8_stream")
+def g8_stream(spark, sf_dir):
+    from ambry.streaming.last_days import aging_last_days
+    return aging_last_days(_daily_counts(spark, sf_dir), params.ORDERS_AS_OF)
+
+
 @query("d8_source_metrics")
 def d8(spark, sf_dir):
     from ambry.operators.state import source_metrics
