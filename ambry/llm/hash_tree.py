@@ -28,6 +28,8 @@ SHARDS = 8
 RACKS, RACK_SHARDS = 2, 2
 #: Slots are numbered in buckets of about so many distinct rows.
 BUCKET_ROWS = 20_000
+#: Equal rows that one task gives their slots.
+RUN_ROWS = 100_000
 
 #: (region, rack, shard id, weight)
 Leaf = tuple[str, str, int, float]
@@ -95,7 +97,7 @@ def assign_shards(df: DataFrame, shards: int = SHARDS, key: str = "doc_id", text
             .withColumn("grown_shard", shard_of(k, layout(shards + 1))))
 
 
-def slots(assigned: DataFrame, key: str = "doc_id", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def slots(assigned: DataFrame, key: str = "doc_id", bucket_rows: int = BUCKET_ROWS, run_rows: int = RUN_ROWS) -> DataFrame:
     """One row per row of ``assigned`` with its slot, gapless from 0 in each shard.
 
     Equal rows are counted first, so that a hot key is one row from then on; slots are prefix
@@ -114,9 +116,14 @@ def slots(assigned: DataFrame, key: str = "doc_id", bucket_rows: int = BUCKET_RO
                   Window.partitionBy("shard").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .select("shard", "_b", "_start"))
     first = F.coalesce(F.sum("_n").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("_start")
-    return (counted.join(starts, ["shard", "_b"])
-            .withColumn("_first", first)
-            .select(*cols, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)).alias("slot")))
+    placed = counted.join(starts, ["shard", "_b"]).withColumn("_first", first).select(*cols, "_first", "_n")
+    few = placed.where(F.col("_n") <= run_rows)
+    # many equal rows are first cut into runs, which are dealt to tasks of their own
+    runs = (placed.where(F.col("_n") > run_rows)
+            .withColumn("_r", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / run_rows)))).repartition(F.col("_r"), *cols)
+            .withColumn("_end", F.col("_first") + F.col("_n")).withColumn("_first", F.col("_first") + F.col("_r") * run_rows)
+            .withColumn("_n", F.least(F.lit(run_rows).cast("long"), F.col("_end") - F.col("_first"))).select(*cols, "_first", "_n"))
+    return few.union(runs).select(*cols, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:

@@ -42,6 +42,8 @@ WORDS, PERCENT = 5, 80
 BAND, SMALL = 1.3, 16
 #: Entries of a bucket of parts, and entries that a task deals at once.
 BUCKET_ENTRIES, DEAL_ENTRIES = 500_000, 500_000
+#: Runs of buckets that entries are dealt to at once, and partitions that they are shuffled to.
+DEAL_FAN, DEAL_PARTITIONS = 256, 20_000
 #: Documents and shingles of a block.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 2_000_000
 #: Most ids of group members (8 bytes each) that are broadcast to keep other texts from being shuffled.
@@ -196,28 +198,53 @@ def _edges_batch(edges: np.ndarray) -> pa.RecordBatch:
 
 def same_parts(docs: DataFrame, entries: int, bucket_entries: int = BUCKET_ENTRIES, deal_entries: int = DEAL_ENTRIES) -> DataFrame:
     """(component, s1) of the classes, named by the hash of their set, that share a part with another;
-    one component for each set of classes.  Entries travel as arrays; a task deals each class once."""
+    one component for each set of classes.  Entries travel as arrays; a task deals each class once.
+
+    A task deals what it holds to ``DEAL_FAN`` runs of buckets at most, and runs are dealt again until they are
+    single buckets, so that the arrays' number follows the entries', not the product of tasks and buckets."""
     buckets = entries // bucket_entries + 1
+    steps = [1]  # buckets of a run at each round, the last first
+    while buckets > steps[-1] * DEAL_FAN:
+        steps.append(steps[-1] * DEAL_FAN)
+
+    def dealt(key: np.ndarray, name: np.ndarray, step: int) -> Iterator[pa.RecordBatch]:
+        run = (mixed(key) % np.uint64(buckets)).astype(np.int64) // step
+        order = np.argsort(run, kind="stable")
+        runs, first = np.unique(run[order], return_index=True)
+        for i, own in zip(runs, np.split(order, first[1:])):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([key[own].tobytes()]), pa.array([name[own].tobytes()])], ["bucket", "key", "s1"])
+
+    def again(step: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bucket, held = None, []
+
+            def flush() -> Iterator[pa.RecordBatch]:
+                if held:
+                    yield from dealt(*(np.concatenate(x) for x in zip(*held)), step)
+                held.clear()
+
+            for b in batches:  # rows of a run of buckets lie together
+                for i, key, name in zip(b.column("bucket").to_pylist(), b.column("key"), b.column("s1")):
+                    if i != bucket or sum(len(k) for k, _ in held) >= deal_entries:
+                        yield from flush()
+                        bucket = i
+                    held.append((np.frombuffer(key.as_buffer(), np.uint64), np.frombuffer(name.as_buffer(), np.int64)))
+            yield from flush()
+        return run
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held = set(), []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            key, name = (np.concatenate(x) for x in zip(*held))
-            bucket = (mixed(key) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for i in range(buckets):
-                own = order[bounds[i]:bounds[i + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([key[own].tobytes()]), pa.array([name[own].tobytes()])], ["bucket", "key", "s1"])
+            yield from dealt(*(np.concatenate(x) for x in zip(*held)), steps[-1])
             held.clear()
 
         for t in text_chunks(batches):
             tokens, at = distinct_per_text(*shingle_sets(t.column("text").combine_chunks()))
             name = _set_hashes(tokens, at)[0]
-            again = np.array([k in seen or seen.add(k) is not None for k in name.tolist()], bool)
+            copy = np.array([k in seen or seen.add(k) is not None for k in name.tolist()], bool)
             key, owner = part_keys(tokens, at)
-            new = ~again[owner]  # a copy within the task has the keys of the first
+            new = ~copy[owner]  # a copy within the task has the keys of the first
             held.append((key[new], name[owner[new]]))
             if sum(len(k) for k, _ in held) >= deal_entries:
                 yield from flush()
@@ -225,13 +252,19 @@ def same_parts(docs: DataFrame, entries: int, bucket_entries: int = BUCKET_ENTRI
             yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[str, list[np.ndarray]] = {"key": [], "s1": []}
+        bucket, held = None, []
         for b in batches:
-            for c in parts:
-                parts[c] += [np.frombuffer(x.as_buffer(), np.uint64 if c == "key" else np.int64) for x in b.column(c)]
-        if not parts["key"]:
-            return
-        key, own = (np.concatenate(parts[c]) for c in parts)
+            for i, key, name in zip(b.column("bucket").to_pylist(), b.column("key"), b.column("s1")):
+                if i != bucket and held:
+                    yield from of_bucket(held)
+                    held = []
+                bucket = i
+                held.append((np.frombuffer(key.as_buffer(), np.uint64), np.frombuffer(name.as_buffer(), np.int64)))
+        if held:
+            yield from of_bucket(held)
+
+    def of_bucket(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        key, own = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((own, key))
         key, own = key[order], own[order]
         new = np.ones(len(key), bool)  # one entry for each class, whatever the number of tasks that dealt it
@@ -251,8 +284,11 @@ def same_parts(docs: DataFrame, entries: int, bucket_entries: int = BUCKET_ENTRI
         at = np.repeat(first[once] - (np.cumsum(size[once]) - size[once]), size[once]) + np.arange(size[once].sum())
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name[once], size[once]).view(np.int64)), pa.array(own[at])], ["component", "s1"])
 
-    return (docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(deal, "bucket long, key binary, s1 binary")
-            .repartition(buckets, "bucket").mapInArrow(meet, "component long, s1 long"))
+    schema = "bucket long, key binary, s1 binary"
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(deal, schema)
+    for one, step in zip(steps[:0:-1], steps[-2::-1]):
+        rows = (rows.repartition(min(-(-buckets // one), DEAL_PARTITIONS), "bucket").sortWithinPartitions("bucket").mapInArrow(again(step), schema))
+    return rows.repartition(min(buckets, DEAL_PARTITIONS), "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "component long, s1 long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -77,3 +77,14 @@ def test_many_buckets(spark, docs):
     for s in range(8):
         own = sorted(r.slot for r in got if r.shard == s)
         assert own == list(range(len(own)))
+
+
+def test_runs_of_many_equal_rows(frame, tmp_path):
+    from ambry.llm.hash_tree import slots
+    rows = [(None, "")] * 950 + [(1, "a")] * 7 + [(i, f"t{i}") for i in range(2, 60)]
+    assigned = assign_shards(frame(rows, "doc_id long, text string", tmp_path))
+    plain, cut = (sorted(map(tuple, slots(assigned, run_rows=n).collect()), key=str) for n in (100_000, 100))
+    assert plain == cut and len(cut) == len(rows)
+    for s in {r[4] for r in cut}:
+        own = sorted(r[-1] for r in cut if r[4] == s)
+        assert own == list(range(len(own)))

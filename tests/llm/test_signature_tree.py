@@ -103,3 +103,18 @@ def test_large_block_is_pruned():
     tree = SignatureTree(n, np.stack([bitmap(x, 1024) for x in sets]))
     assert len(tree.levels) > 2 and tree.root["to"] == len(sets)
     assert needed(100, 100) == 89 and needed(4, 5) == 4
+
+
+def test_entries_dealt_in_rounds(docs, monkeypatch):
+    """The same components whether buckets are dealt at once or by several rounds of runs."""
+    import random
+
+    from ambry.llm import signature_tree as s
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") * 3 for _ in range(rng.randrange(4, 90))) for _ in range(60)]
+    texts += [t + " end" for t in texts[:40]] + texts[:20]
+    df = docs(texts)
+    plain = sorted(map(tuple, s.near_duplicates(df).collect()))
+    monkeypatch.setattr(s, "DEAL_FAN", 3)
+    assert sorted(map(tuple, s.near_duplicates(df, bucket_entries=150).collect())) == plain
+    assert len({c for _, _, c in plain}) < len(texts) - 30
