@@ -48,6 +48,8 @@ LONGEST, BLOCK_TOKENS, CHECK, PART_TOKENS = 18, 1 << 18, 128, 8_000_000
 NO_ID = -(1 << 62)
 #: The id that ends every document.
 END = 2
+#: Blocks of letters some of which get a mark when normalised (composed forms that Unicode takes apart, and the dotted capital I).
+CHANGING = r"\x{0130}\x{0900}-\x{0FFF}\x{FB00}-\x{FB4F}\x{10000}-\x{10FFFF}"
 #: Words whose ids an encoder remembers.
 KNOWN_WORDS = 300_000
 #: Bytes of text that are encoded at once: distinct pieces repeat more in larger chunks.
@@ -70,7 +72,9 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         d = json.loads(definition)
-        self.known: dict[str, np.ndarray] = {}
+        # words of earlier calls with their ids, one run of ``known_ids`` each
+        self.known = pa.array([], pa.string())
+        self.known_ids = pa.array([], pa.list_(pa.uint32()))
         suffix = d["model"].get("end_of_word_suffix")
         kinds = [x["type"] for x in (d.get("normalizer") or {}).get("normalizers", [])]
         splits = [x for x in (d.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"]
@@ -83,16 +87,22 @@ class Encoder:
     def each(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and number of ids of words of letters only; the last words of earlier calls are known."""
-        new = [w for w in words if w not in self.known]
-        flat, n = self._encoded_words(new)
-        ends = np.cumsum(n).tolist()
-        flat = flat.astype(np.uint32)
-        fresh = {w: flat[a:b] for w, a, b in zip(new, [0, *ends], ends)}
-        own = [fresh[w] if w in fresh else self.known[w] for w in words]
-        self.known = fresh if len(self.known) + len(fresh) > KNOWN_WORDS else self.known | fresh
-        return (np.concatenate(own).astype(np.int64) if own else np.zeros(0, np.int64)), np.array([len(x) for x in own], np.int64)
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and number of ids of distinct words of letters only; the last words of earlier calls are known."""
+        place = pc.index_in(words, value_set=self.known)
+        unknown = words.filter(pc.is_null(place))
+        flat, n = self._encoded_words(unknown.to_pylist())
+        fresh = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(flat, pa.uint32()))
+        at = place.to_numpy(zero_copy_only=False)
+        new = np.isnan(at) if at.dtype.kind == "f" else np.zeros(len(at), bool)
+        at = np.where(new, len(self.known) + np.cumsum(new) - 1, at).astype(np.int64)
+        ids = pa.concat_arrays([self.known_ids, fresh])
+        if len(ids) <= KNOWN_WORDS:
+            self.known, self.known_ids = pa.concat_arrays([self.known, unknown]), ids
+        else:
+            self.known, self.known_ids = unknown, fresh
+        own = ids.take(pa.array(at))
+        return own.flatten().to_numpy(zero_copy_only=False), own.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
 
     def _encoded_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words joined by spaces, and their ids parted where a token ends a word."""
@@ -115,17 +125,17 @@ class Encoder:
         stems = pc.ascii_rtrim(pieces, characters=self.MARKS)
         plain = pc.match_substring_regex(stems, r"^\p{L}+$").to_numpy(zero_copy_only=False).copy()
         # letters that lose a mark when normalised ("İ" becomes an i and a dot above): the mark would join those behind the word
-        foreign = np.flatnonzero(plain & pc.match_substring_regex(stems, r"[^\x00-\x7F]").to_numpy(zero_copy_only=False))
-        own = stems.take(pa.array(foreign)).to_pylist()
-        marked = [c for c in set("".join(own)) if not unicodedata.normalize("NFC", c).lower().isalpha()]
-        if marked:
-            plain[foreign] = [not any(c in w for c in marked) for w in own]
+        foreign = np.flatnonzero(plain & pc.match_substring_regex(stems, f"[{CHANGING}]").to_numpy(zero_copy_only=False))
+        plain[foreign] = [unicodedata.normalize("NFC", w).lower().isalpha() for w in stems.take(pa.array(foreign)).to_pylist()]
         some = pa.array(np.flatnonzero(plain))
         stem = stems.take(some).dictionary_encode()
-        tail = pc.replace_substring_regex(pieces.take(some), r"^\p{L}+", "").dictionary_encode()
+        own = pieces.take(some)
+        longer = pc.greater(pc.binary_length(own), pc.binary_length(stems.take(some)))
+        tail = pc.replace_with_mask(pa.array(np.full(len(own), ""), pa.string()), longer,
+                                    pc.replace_substring_regex(own.filter(longer), r"^\p{L}+", "")).dictionary_encode()
         rest = self.each(pieces.take(pa.array(np.flatnonzero(~plain))).to_pylist())
         tails = self.each(tail.dictionary.to_pylist())
-        flat, n = self.words(stem.dictionary.to_pylist())
+        flat, n = self.words(stem.dictionary)
         others = tails + rest
         n = np.concatenate((n, np.array([len(x) for x in others], np.int64)))
         flat = np.concatenate((flat, np.array([i for x in others for i in x], np.int64)))

@@ -116,3 +116,15 @@ def test_words_that_change_when_normalised():
     ids, at = encoded(pa.array(texts), encoder, END)
     for t, a, b in zip(texts, at[:-1], at[1:]):
         assert ids[a:b].tolist() == [*whole.encode(t, add_special_tokens=False).ids, END], repr(t)
+
+
+def test_blocks_of_changing_letters_are_complete():
+    import re
+    import sys
+    import unicodedata
+
+    from ambry.llm.huffman_ids import CHANGING
+    block = re.compile("[" + re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: re.escape(chr(int(m[1], 16))), CHANGING) + "]")
+    for c in map(chr, range(sys.maxunicode + 1)):
+        if c.isalpha() and not unicodedata.normalize("NFC", c).lower().isalpha():
+            assert block.match(c), hex(ord(c))
