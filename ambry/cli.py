@@ -31,6 +31,8 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--store", required=True, help="folder for versioned outputs and state")
     ap.add_argument("--run-id", type=int, required=True)
     ap.add_argument("--as-of", type=_ts, default=None, help="run time (ISO), default per job")
+    ap.add_argument("--mappings", default=None, metavar="FILE",
+                    help="sync: a mapping file (sources/mappings); its source tables are read from --sf-dir by name")
     ap.add_argument("--tables", default=None, help="sync: comma-separated mapping names")
     ap.add_argument("--batch-size", type=int, default=params.PUBLISH_BATCH_SIZE)
     ap.add_argument("--parallelism", type=int, default=4, help="sync: tables synced at once")
@@ -55,9 +57,13 @@ def main(argv: list[str] | None = None) -> dict:
         out = vars(res)
     elif a.job == "sync":
         t = Tables(spark, a.sf_dir)
+        if a.mappings:
+            from ambry.sources.mappings import load_mappings
+            pairs = [(m.target_table, m, spark.read.parquet(f"{a.sf_dir}/{m.source_table}.parquet")) for m in load_mappings(a.mappings)]
+        else:
+            pairs = [(name, m, mapping_source(t, name, m)) for name, m in standard_mappings()]
         wanted = set(a.tables.split(",")) if a.tables else None
-        sources = {name: (mapping_source(t, name, m), m) for name, m in standard_mappings()
-                   if wanted is None or name in wanted}
+        sources = {name: (df, m) for name, m, df in pairs if wanted is None or name in wanted}
         if a.reconcile:
             out = {n: jobs.run_reconcile(spark, df, m, f"{a.store}/{n}", a.run_id, a.as_of or params.ORDERS_AS_OF, a.reconcile)[:2]
                    for n, (df, m) in sources.items()}

@@ -25,13 +25,16 @@ from pyspark.sql import functions as F
 
 from ambry.operators.materialize import materialize
 
+#: Rows of a range, about.
+RANGE_ROWS = 500_000
 _LOW = 33  # monotonically_increasing_id keeps the position in the low 33 bits
 
 
 def global_index(df: DataFrame, order_col: str, num_ranges: int | None = None,
                  index_col: str = "row_index") -> DataFrame:
     spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # ranges follow the rows to index, not the cluster: few changed rows need no shuffle over all of it
+    n = num_ranges or min(int(spark.conf.get("spark.sql.shuffle.partitions")), df.count() // RANGE_ROWS + 1)
     tagged = (df.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col)
               .withColumn("__mid", F.monotonically_increasing_id()))
     tagged = materialize(tagged, "row-index")

@@ -41,7 +41,7 @@ class PageIndex:
 
     def _rows(self) -> DataFrame:
         # the whole set of ranges is discovered from the folder names
-        return self.spark.read.schema(StructType(self.schema.fields).add(PART, IntegerType())).parquet(f"{self.root}/rows")
+        return self.spark.read.schema(StructType([*self.schema.fields]).add(PART, IntegerType())).parquet(f"{self.root}/rows")
 
     def ranges(self) -> DataFrame:
         return self.spark.read.schema(f"{PART} int, n long, start long").parquet(f"{self.root}/ranges")

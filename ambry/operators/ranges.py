@@ -51,13 +51,14 @@ def read_ranged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_touched_ranges(spark: SparkSession, path: str, batch: DataFrame, pk: str | list[str],
-                          ts_col: str, range_size: int) -> DataFrame:
+                          ts_col: str, range_size: int, newer_only: bool = False) -> DataFrame:
     """Upsert ``batch`` into the range-partitioned table at ``path``.
 
     The range is taken on the first key column; rows are matched on all key
     columns.  New batch columns are added (additive evolution): the touched
     partitions are written with the wider layout and the table is read with
     ``mergeSchema``, so untouched partitions show NULL for them.
+    With ``newer_only`` a stored row stays where the batch's is older.
     Returns the staged rows of the touched ranges (already written); an
     empty batch changes nothing.
     """
@@ -72,7 +73,10 @@ def upsert_touched_ranges(spark: SparkSession, path: str, batch: DataFrame, pk:
         return newest
     old = evolve_table(current.where(F.col(RANGE_COL).isin(touched)).drop(RANGE_COL), schema) \
         .withColumn(RANGE_COL, key_range(keys[0], range_size))
-    merged = upsert(old, newest.select(*old.columns), keys)
+    if newer_only:
+        merged = latest_per_key(old.unionByName(newest.select(*old.columns)), keys, ts_col)
+    else:
+        merged = upsert(old, newest.select(*old.columns), keys)
     staging = scratch_path(spark, "touched-ranges")
     merged.repartition(RANGE_COL).write.partitionBy(RANGE_COL).parquet(staging)
     staged = spark.read.parquet(staging)

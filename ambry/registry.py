@@ -470,6 +470,18 @@ def p2_lineitem(spark, sf_dir):
     return sync_table(spark, mapping_source(Tables(spark, sf_dir), "lineitem", m), None, m, None, params.ORDERS_AS_OF).target
 
 
+def _first_load(name: str):
+    def run(spark, sf_dir):
+        from ambry.plans.sync import mapping_source, standard_mappings, sync_table
+        m = dict(standard_mappings())[name]
+        return sync_table(spark, mapping_source(Tables(spark, sf_dir), name, m), None, m, None, params.ORDERS_AS_OF).target
+    return run
+
+
+for _table in ("orders", "events", "customer", "supplier", "part", "nation"):
+    QUERIES[f"p2_{_table}_table"] = _first_load(_table)   # lineitem's is above
+
+
 @query("s5_moved_rows")
 def s5_moved(spark, sf_dir):
     """Rows that move between businesses and days, and NULL businesses: the refreshed fact."""
@@ -564,6 +576,35 @@ def st1(spark, sf_dir):
     return s.latest(spark)
 
 
+@query("st1_late_rows")
+def st1_late(spark, sf_dir):
+    """Orders that arrive in three files: a ninth one file late, a quarter twice, and outdated copies after
+    the rows that replaced them."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from ambry.plans.sync import TableMapping
+    from ambry.session import scratch_path
+    from ambry.streaming.late_rows import start_late_sync
+    orders = Tables(spark, sf_dir).orders
+    k, arrivals, target = F.col("o_orderkey"), scratch_path(spark, "late-arrivals"), scratch_path(spark, "late-orders")
+    own = F.pmod(k, F.lit(3))                       # the file that a row belongs to
+    came = F.least(own + (k % 9 == 0).cast("long"), F.lit(2))
+    outdated = (orders.where((k % 5 == 0) & (own < 2)).withColumn("o_totalprice", F.lit(0.0))
+                .withColumn("o_orderdate", F.col("o_orderdate") - F.expr("INTERVAL 10 DAYS")))
+    for n in range(3):
+        again = orders.where((came == n - 1) & (k % 4 == 0))
+        late = outdated.where(came == n - 1)
+        orders.where(came == n).unionByName(again).unionByName(late).coalesce(1).write.mode("append").parquet(arrivals)
+    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
+    # the test data's order dates are spread over years in every file
+    start_late_sync(spark, stream, m, target, scratch_path(spark, "late-ckpt"), params.BRONZE_KEY_RANGE, dt.timedelta(days=4000)).awaitTermination()
+    from ambry.operators.ranges import read_ranged
+    return read_ranged(spark, target)
+
+
 def _daily_counts(spark, sf_dir):
     from pyspark.sql import functions as F
 
