@@ -513,7 +513,8 @@ def near_duplicates(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES, block
     docs = docs.select("doc_id", "text")
     rows = written(set_rows(docs), "sets")
     real, own = rows.where("n > 0 AND doc_id IS NOT NULL"), ["n", "s1", "s2"]
-    classes = real.groupBy(*own).agg(F.min("doc_id").alias("rep"))
+    # written: the join then has two plain shuffles, of which Spark splits the one with a hot class (many copies of a text)
+    classes = written(real.groupBy(*own).agg(F.min("doc_id").alias("rep")), "class-reps")
     of_class = written(real.select("doc_id", *own).join(classes, own).select("doc_id", "n", "s1", "rep"), "classes")
     entries = (real.agg(F.sum("n")).first()[0] or 0) // 2  # about half a part for each shingle
     reps = of_class.where("doc_id = rep").select("rep", "n", "s1").distinct()
