@@ -34,6 +34,9 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--mappings", default=None, metavar="FILE",
                     help="sync: a mapping file (sources/mappings); its source tables are read from --sf-dir by name")
     ap.add_argument("--tables", default=None, help="sync: comma-separated mapping names")
+    ap.add_argument("--sources", default=None, metavar="DIR",
+                    help="score: folder with operational tables of your own (plans/scoring_run.SOURCES), one Parquet table each")
+    ap.add_argument("--window-days", type=int, default=params.ORDER_WINDOW_DAYS, help="score: days of order items")
     ap.add_argument("--batch-size", type=int, default=params.PUBLISH_BATCH_SIZE)
     ap.add_argument("--parallelism", type=int, default=4, help="sync: tables synced at once")
     ap.add_argument("--key-range", type=int, default=None,
@@ -52,8 +55,11 @@ def main(argv: list[str] | None = None) -> dict:
     spark = build_session(a.master, app=f"ambry-{a.job}")
     out: dict = {}
     if a.job == "score":
-        res = jobs.run_scoring(spark, a.sf_dir, a.store, a.run_id, a.as_of or params.AS_OF,
-                               batch_size=a.batch_size)
+        from ambry.operators.versioned import exists
+        from ambry.plans.scoring_run import SOURCES
+        paths = {n: f"{a.sources}/{n}.parquet" for n in SOURCES} if a.sources else {}
+        res = jobs.run_scoring(spark, a.sf_dir, a.store, a.run_id, a.as_of or params.AS_OF, batch_size=a.batch_size,
+                               window_days=a.window_days, sources={n: spark.read.parquet(p) for n, p in paths.items() if exists(spark, p)})
         out = vars(res)
     elif a.job == "sync":
         t = Tables(spark, a.sf_dir)

@@ -24,12 +24,6 @@ def days_before(t: _dt.datetime, days: int) -> Column:
     return ts_lit(t - _dt.timedelta(days=days))
 
 
-def to_dec(c: Column | str, p: int = 10, s: int = 2) -> Column:
-    """Assignment cast to numeric(p,s): HALF_UP rounding, overflow raises."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast(f"decimal({p},{s})")
-
-
 def is_true(c: Column | str) -> Column:
     """``x IS TRUE``: NULL counts as false."""
     c = F.col(c) if isinstance(c, str) else c

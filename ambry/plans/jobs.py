@@ -75,13 +75,14 @@ def run_scoring(spark: SparkSession, sf_dir: str, store: str, run_id: int,
                 as_of: _dt.datetime = params.AS_OF, boosted: DataFrame | None = None,
                 views: DataFrame | None = None, weights: dict | None = None,
                 batch_size: int = params.PUBLISH_BATCH_SIZE,
-                window_days: int = params.ORDER_WINDOW_DAYS, publish_at: _dt.datetime | None = None) -> ScoringOutputs:
-    """P3–P14 as one scheduled run.  ``publish_at`` is the time of publishing, later than the
+                window_days: int = params.ORDER_WINDOW_DAYS, publish_at: _dt.datetime | None = None,
+                sources: dict[str, DataFrame] | None = None) -> ScoringOutputs:
+    """P3–P14 as one scheduled run, on the given ``sources`` (``plans/scoring_run.SOURCES``) where there are any.  ``publish_at`` is the time of publishing, later than the
     scores' stamp ``as_of``, so that the next run doesn't send them again (default: just after)."""
     publish_at = publish_at or as_of + _dt.timedelta(microseconds=1)
     if publish_at <= as_of:
         raise ValueError("scores are published after they are stamped")
-    run = ScoringRun(spark, sf_dir, as_of, window_days, weights, views)
+    run = ScoringRun(spark, sf_dir, as_of, window_days, weights, views, sources=sources)
     p = {t: version_path(f"{store}/{t}", run_id) for t in
          ("product_stats", "category_states", "product_score", "boosted_products", "messages",
           "publish_state")}

@@ -23,43 +23,64 @@ from ambry.sources import proxies
 from ambry.sources.tables import Tables
 
 
+#: The operational tables of the job, and how the test tables stand in for them.
+SOURCES = {
+    "products": proxies.src_product,                                # id, seller_id, category_id, total_stock_quantity, approval_status_id, created_at
+    "seller_reviews": lambda t, _: proxies.src_seller_review(t),    # seller_id, rating
+    "customer_reviews": lambda t, _: proxies.src_customer_review(t),  # product_id, rating, is_accepted
+    "order_items": lambda t, _: proxies.src_order_items(t),         # order_id, product_id, price, quantity, created_at
+    "orders": lambda t, _: proxies.src_orders(t),                   # id, package_status_id
+    "campaigns": proxies.src_campaigns,                             # id, start_date, end_date
+    "campaign_products": lambda t, _: proxies.src_campaign_products(t),  # product_id, campaign_id
+    "product_views": lambda t, _: proxies.src_product_views(t),     # product_id, view_count
+}
+
+
 class ScoringRun:
+    """``sources`` gives any of the operational tables (``SOURCES``) as frames of their columns."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.datetime = params.AS_OF,
                  window_days: int = params.ORDER_WINDOW_DAYS, weights: dict | None = None,
-                 views: DataFrame | None = None, materialized: bool = False):
+                 views: DataFrame | None = None, materialized: bool = False,
+                 sources: dict[str, DataFrame] | None = None):
         self.t = Tables(spark, sf_dir)
+        self.given = sources or {}
+        if unknown := set(self.given) - set(SOURCES):
+            raise ValueError(f"unknown sources {sorted(unknown)}; there are {sorted(SOURCES)}")
         self.as_of = as_of
         self.window_days = window_days
         self.weights = weights
         self._views = views
         self.materialized = materialized
 
+    def source(self, name: str) -> DataFrame:
+        """An operational table: the given one, else the one derived from the test tables."""
+        return self.given[name] if name in self.given else SOURCES[name](self.t, self.as_of)
+
     # stage tables -----------------------------------------------------------
     @cached_property
     def product_info(self) -> DataFrame:
-        return scoring.product_info(proxies.src_product(self.t, self.as_of), self.as_of)
+        return scoring.product_info(self.source("products"), self.as_of)
 
     @cached_property
     def seller_review(self) -> DataFrame:
-        return scoring.seller_review(proxies.src_seller_review(self.t), self.as_of)
+        return scoring.seller_review(self.source("seller_reviews"), self.as_of)
 
     @cached_property
     def customer_review(self) -> DataFrame:
-        return scoring.customer_review(proxies.src_customer_review(self.t), self.as_of)
+        return scoring.customer_review(self.source("customer_reviews"), self.as_of)
 
     @cached_property
     def order_items(self) -> DataFrame:
-        return scoring.order_items(proxies.src_order_items(self.t), proxies.src_orders(self.t),
-                                   self.as_of, self.window_days)
+        return scoring.order_items(self.source("order_items"), self.source("orders"), self.as_of, self.window_days)
 
     @cached_property
     def deal_bowl(self) -> DataFrame:
-        return scoring.deal_bowl(proxies.src_campaign_products(self.t),
-                                 proxies.src_campaigns(self.t, self.as_of), self.as_of)
+        return scoring.deal_bowl(self.source("campaign_products"), self.source("campaigns"), self.as_of)
 
     @cached_property
     def product_views(self) -> DataFrame:
-        v = self._views if self._views is not None else proxies.src_product_views(self.t)
+        v = self._views if self._views is not None else self.source("product_views")
         return scoring.product_views(v, self.as_of)
 
     # targets ----------------------------------------------------------------

@@ -33,9 +33,3 @@ def write_csv_lines(lines: DataFrame, path: str, header: str = "product_id,view_
      .option("quote", "\u0001").option("escapeQuotes", "false")
      .option("ignoreLeadingWhiteSpace", "false")
      .option("ignoreTrailingWhiteSpace", "false").csv(path))
-
-
-def write_view_counts(df: DataFrame, path: str) -> None:
-    """Write ``product_id,view_count`` rows."""
-    write_csv_lines(df.select(F.concat_ws(",", F.col("product_id").cast("string"),
-                                          F.col("view_count").cast("string")).alias("line")), path)

@@ -78,3 +78,21 @@ def test_cli_with_a_mapping_file(spark, tmp_path):
     with pytest.raises(ValueError, match="never synced"):
         main(["sync", "--sf-dir", str(tmp_path / "in"), "--store", str(tmp_path / "other"), "--run-id", "1", "--as-of", "2024-02-01T00:00:00",
               "--mappings", str(mapping), "--reconcile", "10"])
+
+
+def test_scoring_on_tables_of_ones_own(spark, tmp_path):
+    from ambry.cli import main
+    from ambry.plans.scoring_run import SOURCES, ScoringRun
+    sf = "/root/testdata/sf0.001"
+    run = ScoringRun(spark, sf)
+    for name in SOURCES:   # without campaign products: these then come from the test tables
+        if name != "campaign_products":
+            run.source(name).write.parquet(str(tmp_path / "own" / f"{name}.parquet"))
+    (spark.read.parquet(str(tmp_path / "own" / "products.parquet")).withColumn("total_stock_quantity", F.lit(0))
+     .write.parquet(str(tmp_path / "empty" / "products.parquet")))
+    out = [spark.read.parquet(main(["score", "--sf-dir", sf, "--store", str(tmp_path / d), "--run-id", "0", *more])["product_score"])
+           for d, more in (("a", []), ("b", ["--sources", str(tmp_path / "own")]), ("c", ["--sources", str(tmp_path / "empty")]))]
+    plain, own, no_stock = ({r.product_id: r.score for r in df.collect()} for df in out)
+    assert plain == own and plain.keys() == no_stock.keys() and all(no_stock[k] <= plain[k] for k in plain) and no_stock != plain
+    with pytest.raises(ValueError, match="unknown sources"):
+        ScoringRun(spark, sf, sources={"produkte": spark.range(1)})
