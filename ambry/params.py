@@ -62,6 +62,7 @@ OLD_SCORE_TS = _dt.datetime(2001, 11, 4, 9)  # updated_at of the existing scores
 DIM_EPOCH = _dt.datetime(2001, 1, 1)         # dims: ts = epoch + key % DIM_DAYS days
 DIM_DAYS = 3650
 BRONZE_KEY_RANGE = 1000                      # keys per partition of a ranged bronze table
+DRIFT_KEY_RANGE = 100                        # keys per range of a reconciliation
 
 # Weight table of the scoring job (decimal(10,2)), FIXTURES.md §3.
 WEIGHTS = {

@@ -304,18 +304,21 @@ def _repair(spark, sf_dir):
     from ambry.operators.digests import reconcile
     from ambry.sources import fixtures
     orders = Tables(spark, sf_dir).orders
-    return reconcile(orders, materialize(fixtures.drifted_orders(orders), "drifted"), ["o_orderkey"], params.BRONZE_KEY_RANGE)
+    target = materialize(fixtures.drifted_orders(orders), "drifted")
+    return target, reconcile(orders, target, ["o_orderkey"], params.DRIFT_KEY_RANGE)
 
 
 @query("d12_range_drift")
 def d12_drift(spark, sf_dir):
     """The key ranges in which a bronze table differs from its source, and by how many rows."""
-    return _repair(spark, sf_dir).report
+    _, fixed = _repair(spark, sf_dir)
+    return fixed.report if fixed else spark.createDataFrame([], "key_range long, source_rows long, target_rows long, missing long, extra long, changed long")
 
 
 @query("d12_range_repair")
 def d12_repair(spark, sf_dir):
-    return _repair(spark, sf_dir).table
+    target, fixed = _repair(spark, sf_dir)
+    return fixed.table if fixed else target
 
 
 def _typed(spark, sf_dir):

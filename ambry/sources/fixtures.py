@@ -53,10 +53,10 @@ def line_versions(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
 def drifted_orders(orders: DataFrame) -> DataFrame:
     """Bronze orders that drifted from their source in every fifth key range: changed, missing and extra rows."""
     k = F.col("o_orderkey")
-    here = F.floor(k / F.lit(params.BRONZE_KEY_RANGE)) % 5 == 2
-    kept = (orders.where(~here | (k % 101 != 5))
-            .withColumn("o_totalprice", F.when(here & (k % 97 == 3), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))))
-    return kept.unionByName(orders.where(here & (k % 211 == 7)).withColumn("o_orderkey", -k - 1))
+    here = F.floor(k / F.lit(params.DRIFT_KEY_RANGE)) % 5 == 2
+    kept = (orders.where(~here | (k % 41 != 5))
+            .withColumn("o_totalprice", F.when(here & (k % 37 == 3), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))))
+    return kept.unionByName(orders.where(here & (k % 53 == 7)).withColumn("o_orderkey", -k - 1))
 
 
 #: A catalog's description of the raw orders.
