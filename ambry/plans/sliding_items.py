@@ -63,7 +63,7 @@ def sliding_order_items(spark: SparkSession, root: str, run: int, as_of: _dt.dat
 
 
 def mean_ratings(stored: DataFrame, as_of: _dt.datetime) -> DataFrame:
-    """P5 from the stored sums and counts."""
-    mean = F.when(F.col("rated") > 0, F.col("rating_sum").cast("decimal(28,10)") / F.col("n").cast("decimal(20,0)"))
+    """P5 from the stored sums and counts; a product none of whose reviews has a rating has the mean 0."""
+    mean = F.col("rating_sum").cast("decimal(28,10)") / F.col("n").cast("decimal(20,0)")   # a stored key has rows
     out = stored.select("product_id", mean.alias("product_rating")).withColumn("updated_at", ts_lit(as_of))
     return apply_contract(out, CUSTOMER_REVIEW, "stg.customer_review", keys=("product_id",))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -61,3 +62,16 @@ def test_only_expired_days_are_read(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in expired._jdf.queryExecution().executedPlan().toString()
     assert {f.rsplit("/", 2)[1] for f in expired.inputFiles() if "/day=" in f} >= {"day=2024-03-01", "day=2024-03-02"}
     assert sum(r.n for r in expired.collect()) == 48
+
+
+def test_means_of_products_that_lose_their_last_rating(spark):
+    """Reviews of a product may all be left without a rating: its mean is 0, as the SQL has it, and not an error."""
+    from ambry.operators.deltas import maintain
+    from ambry.plans.sliding_items import REVIEWS, mean_ratings
+    schema = "product_id long, rating decimal(10,2), is_accepted boolean"
+    old = spark.createDataFrame([(1, Decimal(4), True), (1, None, True), (2, Decimal(5), True), (3, None, True), (4, Decimal(1), True)], schema)
+    new = spark.createDataFrame([(1, Decimal(4), True), (1, None, True), (2, None, True), (3, None, True), (4, Decimal(1), None)], schema)
+    first = maintain(REVIEWS, "reviews", {}, signed(old, 1))
+    now = maintain(REVIEWS, "reviews", first, version_changes(old, new, new.columns))
+    means = lambda stored: {r.product_id: float(r.product_rating) for r in mean_ratings(stored["reviews"], START).collect()}
+    assert means(first) == {1: 2.0, 2: 5.0, 3: 0.0, 4: 1.0} and means(now) == {1: 2.0, 2: 0.0, 3: 0.0}
