@@ -29,6 +29,19 @@ def test_pages_cover_all_rows_once(spark, tmp_path):
     assert empty.page(0, 10).count() == 0
 
 
+def test_small_ranges_share_folders(spark, tmp_path):
+    """Ranges of few rows don't cost a folder, a task and a sample each; pages of any span are whole."""
+    n = 20_000
+    index = PageIndex.build(spark.range(n).select((F.col("id") * 7919 % n).alias("k")), ["k"], str(tmp_path), 10)
+    assert len(list((tmp_path / "rows").glob("__part=*"))) <= 256
+    ranges = index.ranges().orderBy("start").collect()
+    assert len(ranges) >= n // 10 and max(r.n for r in ranges) <= 10
+    assert [r.start for r in ranges] == [sum(x.n for x in ranges[:i]) for i in range(len(ranges))]
+    for offset, limit in ((0, 7), (9_990, 25), (3_333, 1_000), (n - 3, 9), (0, n)):
+        assert [r.k for r in index.page(offset, limit).collect()] == list(range(offset, min(n, offset + limit)))
+    assert index.page(n, 5).count() == 0 and index.page(5, 0).count() == 0
+
+
 AS_OF = dt.datetime(2024, 5, 20)
 
 
