@@ -19,35 +19,66 @@ partitions whose range received a changed row:
 
 Re-running after a failure is safe: the staged data is a complete image of
 each touched range, so copying it again gives the same table.
+
+A folder costs a file to open, to write and to move, however few rows it has.  So a table of
+more than ``FOLDERS`` ranges is laid out in folders of 2, 4, 8, ... adjacent ranges, which
+hold at most ``FOLDER_KEYS`` keys; the partition column's name says how many
+(``key_range_x8``), and the folder is then what an upsert rewrites.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql.types import StructType
 
+from ambry.operators.materialize import materialize
 from ambry.operators.schema_evolution import align_to_target, evolve_schema, evolve_table
-from ambry.operators.upsert import latest_per_key, upsert
+from ambry.operators.upsert import applied, latest_per_key, prepared_batch
 from ambry.session import scratch_path
 
 RANGE_COL = "key_range"
+#: A table of more ranges than this gets folders of several, of so many keys at most.
+FOLDERS, FOLDER_KEYS = 256, 1 << 20
+
+
+def key_range(pk: str, range_size: int, column: str = RANGE_COL) -> Column:
+    return F.floor(F.col(pk) / F.lit(range_size)).cast("long").alias(column)
 
 
-def key_range(pk: str, range_size: int) -> Column:
-    return F.floor(F.col(pk) / F.lit(range_size)).cast("long").alias(RANGE_COL)
+def folder_ranges(n_ranges: int, range_size: int) -> int:
+    """How many adjacent ranges of a table of ``n_ranges`` share a folder: a power of two."""
+    per = 1
+    while n_ranges > FOLDERS * per and 2 * per * range_size <= FOLDER_KEYS:
+        per *= 2
+    return per
 
 
 def write_ranged(df: DataFrame, path: str, pk: str, range_size: int) -> None:
-    """Initial layout of a target table, partitioned by key range."""
-    (df.withColumn(RANGE_COL, key_range(pk, range_size))
-     .repartition(RANGE_COL).write.mode("overwrite").partitionBy(RANGE_COL).parquet(path))
+    """Initial layout of a target table, partitioned by key range.  The keys are read once more to count the ranges."""
+    per = folder_ranges(df.select(key_range(pk, range_size)).distinct().count(), range_size)
+    column = RANGE_COL if per == 1 else f"{RANGE_COL}_x{per}"
+    (df.withColumn(column, key_range(pk, range_size * per))
+     .repartition(column).write.mode("overwrite").partitionBy(column).parquet(path))
+
+
+def _laid_out(spark: SparkSession, path: str) -> tuple[DataFrame, str, int]:
+    """The table in its widest layout, its partition column and how many ranges a folder has."""
+    table = spark.read.option("mergeSchema", "true").parquet(path)
+    column = table.columns[-1]      # partition columns are the last ones
+    named = re.fullmatch(RANGE_COL + r"(?:_x(\d+))?", column)
+    if not named:
+        raise ValueError(f"{path}: not partitioned by key range, but by {column}")
+    return table, column, int(named[1] or 1)
 
 
 def read_ranged(spark: SparkSession, path: str) -> DataFrame:
     """The whole table (all ranges, widest layout) without the range column."""
-    return spark.read.option("mergeSchema", "true").parquet(path).drop(RANGE_COL)
+    table, column, _ = _laid_out(spark, path)
+    return table.drop(column)
 
 
 def upsert_touched_ranges(spark: SparkSession, path: str, batch: DataFrame, pk: str | list[str],
@@ -63,23 +94,28 @@ def upsert_touched_ranges(spark: SparkSession, path: str, batch: DataFrame, pk:
     empty batch changes nothing.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
-    current = spark.read.option("mergeSchema", "true").parquet(path)
-    base = StructType([f for f in current.schema.fields if f.name != RANGE_COL])
+    current, column, per = _laid_out(spark, path)
+    base = StructType([f for f in current.schema.fields if f.name != column])
     schema = evolve_schema(base, batch.schema)
-    newest = (latest_per_key(align_to_target(batch, schema), keys, ts_col)
-              .withColumn(RANGE_COL, key_range(keys[0], range_size)))
-    touched = [r[0] for r in newest.select(RANGE_COL).distinct().collect()]
+    folder = key_range(keys[0], range_size * per, column)
+    # the newest rows are written once: a batch may be costly, or a stream's
+    newest = align_to_target(batch, schema)
+    if newer_only:
+        newest = materialize(latest_per_key(newest, keys, ts_col), "touched-batch")
+    else:
+        newest, small = prepared_batch(newest, keys, ts_col)
+    touched = [r[0] for r in newest.select(folder).distinct().collect()]
     if not touched:                       # empty batch: nothing to rewrite
-        return newest
-    old = evolve_table(current.where(F.col(RANGE_COL).isin(touched)).drop(RANGE_COL), schema) \
-        .withColumn(RANGE_COL, key_range(keys[0], range_size))
+        return newest.withColumn(column, folder)
+    old = evolve_table(current.where(F.col(column).isin(touched)).drop(column), schema)
+    newest = newest.select(*old.columns)
     if newer_only:
-        merged = latest_per_key(old.unionByName(newest.select(*old.columns)), keys, ts_col)
+        merged = latest_per_key(old.unionByName(newest), keys, ts_col)
     else:
-        merged = upsert(old, newest.select(*old.columns), keys)
+        merged = applied(old, newest, keys, small)
     staging = scratch_path(spark, "touched-ranges")
-    merged.repartition(RANGE_COL).write.partitionBy(RANGE_COL).parquet(staging)
+    merged.withColumn(column, folder).repartition(column).write.partitionBy(column).parquet(staging)
     staged = spark.read.parquet(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(RANGE_COL).parquet(path))
+     .partitionBy(column).parquet(path))
     return staged

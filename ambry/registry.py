@@ -643,7 +643,7 @@ def d8(spark, sf_dir):
 @query("p1_sync_orders_ranges")
 def p1r(spark, sf_dir):
     """The P1 sync applied in place to a key-range partitioned bronze table."""
-    from ambry.operators.ranges import RANGE_COL, upsert_touched_ranges, write_ranged
+    from ambry.operators.ranges import read_ranged, upsert_touched_ranges, write_ranged
     from ambry.operators.state import read_watermark
     from ambry.session import scratch_path
     from ambry.sources import fixtures
@@ -655,4 +655,4 @@ def p1r(spark, sf_dir):
                            {"target_db_name": "dw", "target_schema": "bronze", "target_table": "orders"})
     upsert_touched_ranges(spark, path, changed_rows(t.orders, "o_orderdate", since),
                           "o_orderkey", "o_orderdate", params.BRONZE_KEY_RANGE)
-    return spark.read.parquet(path).drop(RANGE_COL)
+    return read_ranged(spark, path)

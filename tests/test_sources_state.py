@@ -125,6 +125,31 @@ def test_upsert_touched_ranges_rewrites_only_touched(spark):
     assert untouched and all(after.get(p) == before[p] for p in untouched)
 
 
+def test_many_ranges_share_folders(spark):
+    """A table of thousands of ranges has a bounded number of folders; an upsert rewrites only the ones it touches."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from ambry.operators.ranges import read_ranged, upsert_touched_ranges, write_ranged
+    d = tempfile.mkdtemp(prefix="ambry-many-ranges-")
+    base = spark.range(30_000).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit(W).cast("timestamp_ntz").alias("ts"))
+    write_ranged(base, d, "k", 10)
+    files = lambda: {p: os.path.getmtime(p) for p in glob.glob(f"{d}/key_range*/*.parquet")}
+    before = files()
+    assert len(glob.glob(f"{d}/key_range*")) <= 256 and len(before) <= 256
+    batch = spark.createDataFrame([(1500, "b", W + dt.timedelta(days=1)), (40_000, "new", W), (-5, "new", W)], "k long, v string, ts timestamp_ntz")
+    upsert_touched_ranges(spark, d, batch, "k", "ts", 10)
+    after = files()
+    assert sum(after.get(p) != t for p, t in before.items()) == 1 and len(after) == len(before) + 2
+    out = read_ranged(spark, d)
+    assert out.columns == ["k", "v", "ts"] and out.count() == 30_002
+    assert {r.k: r.v for r in out.where("k IN (1499, 1500, 40000, -5)").collect()} == {1499: "a", 1500: "b", 40_000: "new", -5: "new"}
+    old = spark.createDataFrame([(1500, "older", W)], "k long, v string, ts timestamp_ntz")
+    upsert_touched_ranges(spark, d, old, "k", "ts", 10, newer_only=True)
+    assert read_ranged(spark, d).where("k = 1500").first().v == "b"
+
+
 def test_failed_sync_run_writes_failed_state(spark):
     from pyspark.sql import functions as F
 
