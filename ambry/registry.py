@@ -581,8 +581,8 @@ def st1(spark, sf_dir):
 
 @query("st1_late_rows")
 def st1_late(spark, sf_dir):
-    """Orders that arrive in three files: a ninth one file late, a quarter twice, and outdated copies after
-    the rows that replaced them."""
+    """Orders that arrive in three deliveries: a ninth one delivery late, a quarter twice, and outdated copies after
+    the rows that replaced them.  The stream is started for each delivery and goes on where it ended."""
     import datetime as dt
 
     from pyspark.sql import functions as F
@@ -592,18 +592,19 @@ def st1_late(spark, sf_dir):
     from ambry.streaming.late_rows import start_late_sync
     orders = Tables(spark, sf_dir).orders
     k, arrivals, target = F.col("o_orderkey"), scratch_path(spark, "late-arrivals"), scratch_path(spark, "late-orders")
-    own = F.pmod(k, F.lit(3))                       # the file that a row belongs to
+    own = F.pmod(k, F.lit(3))                       # the delivery that a row belongs to
     came = F.least(own + (k % 9 == 0).cast("long"), F.lit(2))
     outdated = (orders.where((k % 5 == 0) & (own < 2)).withColumn("o_totalprice", F.lit(0.0))
                 .withColumn("o_orderdate", F.col("o_orderdate") - F.expr("INTERVAL 10 DAYS")))
+    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
+    ckpt = scratch_path(spark, "late-ckpt")
     for n in range(3):
         again = orders.where((came == n - 1) & (k % 4 == 0))
         late = outdated.where(came == n - 1)
-        orders.where(came == n).unionByName(again).unionByName(late).coalesce(1).write.mode("append").parquet(arrivals)
-    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
-    m = TableMapping("orders", "orders", ["o_orderkey"], "o_orderdate")
-    # the test data's order dates are spread over years in every file
-    start_late_sync(spark, stream, m, target, scratch_path(spark, "late-ckpt"), params.BRONZE_KEY_RANGE, dt.timedelta(days=4000)).awaitTermination()
+        orders.where(came == n).unionByName(again).unionByName(late).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(orders.schema).parquet(arrivals)
+        # the test data's order dates are spread over years in every delivery
+        start_late_sync(spark, stream, m, target, ckpt, params.BRONZE_KEY_RANGE, dt.timedelta(days=4000)).awaitTermination()
     from ambry.operators.ranges import read_ranged
     return read_ranged(spark, target)
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ambry import params
+from ambry.operators.materialize import materialize
 from ambry.operators.ranges import upsert_touched_ranges, write_ranged
 from ambry.operators.upsert import latest_per_key
 from ambry.operators.versioned import exists
@@ -39,8 +40,10 @@ def start_late_sync(spark: SparkSession, stream: DataFrame, mapping: TableMappin
         s = batch.sparkSession
         if exists(s, f"{target}/_SUCCESS"):
             upsert_touched_ranges(s, target, batch, mapping.pk, mapping.ts_column, key_range, newer_only=True)
-        elif not batch.isEmpty():
-            write_ranged(latest_per_key(batch, mapping.pk, mapping.ts_column), target, mapping.pk[0], key_range)
+            return
+        first = materialize(latest_per_key(batch, mapping.pk, mapping.ts_column), "late-batch")   # the stream's plan runs once
+        if not first.isEmpty():
+            write_ranged(first, target, mapping.pk[0], key_range)
 
     w = fresh.writeStream.outputMode("append").foreachBatch(put).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
