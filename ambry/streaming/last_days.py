@@ -39,10 +39,11 @@ def start_daily_counts(spark: SparkSession, stream: DataFrame, table_root: str,
         s = batch.sparkSession
         last = last_version(s, table_root, batch_id)
         old = s.createDataFrame([], SCHEMA) if last is None else read_version(s, table_root, last)
-        # a day and status once each: the update if there is one
-        both = old.withColumn("new", F.lit(0)).unionByName(batch.withColumn("new", F.lit(1)))
+        # a day and status once each: the update if there is one.  Both are small and meet in one partition before they
+        # are grouped: one task that groups partition after partition keeps the memory of each until it ends
+        both = old.withColumn("new", F.lit(0)).unionByName(batch.withColumn("new", F.lit(1))).repartition(1)
         kept = both.groupBy("day", "delivery_status_id").agg(F.max_by("orders", "new").alias("orders"))
-        write_version(kept.coalesce(1), table_root, batch_id)
+        write_version(kept, table_root, batch_id)
 
     w = counts.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()

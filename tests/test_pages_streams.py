@@ -109,3 +109,20 @@ def test_scoring_on_tables_of_ones_own(spark, tmp_path):
     assert plain == own and plain.keys() == no_stock.keys() and all(no_stock[k] <= plain[k] for k in plain) and no_stock != plain
     with pytest.raises(ValueError, match="unknown sources"):
         ScoringRun(spark, sf, sources={"produkte": spark.range(1)})
+
+
+def test_day_counts_are_grouped_in_one_partition(spark, tmp_path, monkeypatch):
+    """One task must not group a partition after the other: it would keep the memory of each."""
+    from ambry.streaming import last_days
+    plans, write = [], last_days.write_version
+
+    def put(df, *more):
+        plans.append((df._jdf.queryExecution().executedPlan().toString(), df.rdd.getNumPartitions()))
+        return write(df, *more)
+
+    monkeypatch.setattr(last_days, "write_version", put)
+    schema = "timestamp_at timestamp_ntz, delivery_status_id int"
+    spark.createDataFrame([(AS_OF, 1), (AS_OF, 1), (AS_OF, 2)], schema).write.parquet(str(tmp_path / "src"))
+    start_daily_counts(spark, spark.readStream.schema(schema).parquet(str(tmp_path / "src")), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    assert plans and all("Coalesce" not in p and n == 1 for p, n in plans)
+    assert {(r.delivery_status_id, r.orders) for r in daily_counts(spark, str(tmp_path / "t")).collect()} == {(1, 2), (2, 1)}
