@@ -28,9 +28,12 @@ columns are left out.
 from __future__ import annotations
 
 import os
+import string
 import unicodedata
+import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ambry.llm.common import text_chunks, written
+from ambry.llm.common import give_back, text_bytes, text_chunks, written
 from ambry.session import scratch_path
 
 #: Longest code, ids of a block, ids between checkpoints, ids of a part.
@@ -50,8 +53,8 @@ NO_ID = -(1 << 62)
 END = 2
 #: Blocks of letters some of which get a mark when normalised (composed forms that Unicode takes apart, and the dotted capital I).
 CHANGING = r"\x{0130}\x{0900}-\x{0FFF}\x{FB00}-\x{FB4F}\x{10000}-\x{10FFFF}"
-#: Words whose ids an encoder remembers.
-KNOWN_WORDS = 300_000
+#: Words whose ids an encoder remembers, and their bytes with those of the ids.
+KNOWN_WORDS, KNOWN_BYTES = 600_000, 32 << 20
 #: Bytes of text that are encoded at once: distinct pieces repeat more in larger chunks.
 ENCODE_BYTES = 10 << 20
 BLOCK_FIELDS = "block long, doc_ids array<long>, n_tokens array<long>, bits binary, checkpoints array<long>"
@@ -63,8 +66,8 @@ class Encoder:
     """A tokenizer from its definition.  Where the definition drops white space between tokens, ignores
     case and marks the token that ends a word, distinct words are encoded, many in a call."""
 
-    #: Marks that may follow a word; next to letters they are tokens of their own.
-    MARKS = ".,;:!?"
+    #: Marks that may follow a word (ASCII's, but the apostrophe); next to letters they are tokens of their own.
+    MARKS = string.punctuation.replace("'", "")
 
     def __init__(self, definition: str):
         import json
@@ -88,7 +91,8 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and number of ids of distinct words of letters only; the last words of earlier calls are known."""
+        """Ids and number of ids of distinct words of letters only; those of earlier calls are known until they
+        are too many, and then the words of this call."""
         place = pc.index_in(words, value_set=self.known)
         unknown = words.filter(pc.is_null(place))
         flat, n = self._encoded_words(unknown.to_pylist())
@@ -97,11 +101,11 @@ class Encoder:
         new = np.isnan(at) if at.dtype.kind == "f" else np.zeros(len(at), bool)
         at = np.where(new, len(self.known) + np.cumsum(new) - 1, at).astype(np.int64)
         ids = pa.concat_arrays([self.known_ids, fresh])
-        if len(ids) <= KNOWN_WORDS:
+        own = ids.take(pa.array(at))
+        if len(ids) <= KNOWN_WORDS and self.known.nbytes + ids.nbytes <= KNOWN_BYTES:
             self.known, self.known_ids = pa.concat_arrays([self.known, unknown]), ids
         else:
-            self.known, self.known_ids = unknown, fresh
-        own = ids.take(pa.array(at))
+            self.known, self.known_ids = words, own
         return own.flatten().to_numpy(zero_copy_only=False), own.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
 
     def _encoded_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +176,12 @@ def encoded(texts: pa.Array, encoder: Encoder, end: int) -> tuple[np.ndarray, np
     return ids, np.concatenate(([0], ends))[at + np.arange(len(at))]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(definition: str, call: str) -> Encoder:
+    """The encoder that a Python worker's tasks of one ``call`` share, with the words it has learned in them."""
+    return Encoder(definition)
+
+
 def token_rows(docs: DataFrame, tokenizer_path: str, end: int = END) -> DataFrame:
     """doc_id, salt (tells rows of equal doc_id apart), and the ids of every whole text (4 bytes each, 2 where
     the vocabulary allows)."""
@@ -179,10 +189,11 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end: int = END) -> DataFram
     kind = np.uint16 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end + 1) <= 1 << 16 else np.uint32
     with open(tokenizer_path) as f:
         definition = f.read()  # executors need no copy of the file
+    call = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        encoder = Encoder(definition)
+        encoder = encoder_of(definition, call)
         for t in text_chunks(batches, size=ENCODE_BYTES):
             ids, at = encoded(t.column("text").combine_chunks(), encoder, end)
             ids = ids.astype(kind)
@@ -290,13 +301,14 @@ def count_ids(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     kind = _kind(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder_of.cache_clear()  # no texts are left to encode
+        give_back()
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column("ids"):
-                own = np.bincount(np.frombuffer(x.as_buffer(), kind))
-                if len(own) > len(total):
-                    own, total = total, own.astype(np.int64)
-                total[:len(own)] += own
+            own = np.bincount(text_bytes(b.column("ids"))[0].view(kind))
+            if len(own) > len(total):
+                own, total = total, own.astype(np.int64)
+            total[:len(own)] += own
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from ambry.llm.huffman_ids import canonical, code_lengths, decode, decode_table, packed, read_files, round_trip, segments, token_rows, write_files
+from ambry.llm.huffman_ids import END, canonical, code_lengths, decode, decode_table, packed, read_files, round_trip, segments, token_rows, write_files
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -128,3 +128,39 @@ def test_blocks_of_changing_letters_are_complete():
     for c in map(chr, range(sys.maxunicode + 1)):
         if c.isalpha() and not unicodedata.normalize("NFC", c).lower().isalpha():
             assert block.match(c), hex(ord(c))
+
+
+def test_words_are_encoded_once_in_a_worker(monkeypatch):
+    """Tasks of one call share an encoder; a full memory keeps the last words; marks don't make a word a piece of its own."""
+    import pyarrow as pa
+
+    from ambry.llm import huffman_ids as h
+    with open(PATH) as f:
+        definition = f.read()
+    encoder = h.encoder_of(definition, "a")
+    assert h.encoder_of(definition, "a") is encoder and h.encoder_of(definition, "b") is not encoder
+    asked, each = [], encoder.each
+    monkeypatch.setattr(encoder, "each", lambda texts: asked.extend(texts) or each(texts))
+    monkeypatch.setattr(h, "KNOWN_WORDS", 3)
+    first = h.encoded(pa.array(['some words" (no']), encoder, END)[0].tolist()
+    assert first == [*each(['some words" (no'])[0], END] and sorted(asked) == ["", '"', "(no", "some words"]
+    h.encoded(pa.array(["some more words"]), encoder, END)
+    assert asked[-1] == "more"
+    h.encoded(pa.array(["other, words]"]), encoder, END)  # the fourth word: those of this call stay
+    assert asked[-1] == "other" and sorted(encoder.known.to_pylist()) == ["other", "words"]
+    assert h.encoded(pa.array(["Words} other"]), encoder, END)[0].tolist() == [*each(["words} other"])[0], END] and "other" not in asked[-2:]
+    monkeypatch.setattr(h, "KNOWN_WORDS", 1000)
+    h.encoded(pa.array(["short " + "long" * 100]), encoder, END)
+    assert len(encoder.known) == 4
+    monkeypatch.setattr(h, "KNOWN_BYTES", 300)
+    h.encoded(pa.array(["short end"]), encoder, END)
+    assert sorted(encoder.known.to_pylist()) == ["end", "short"]
+
+
+def test_counts_of_ids(spark):
+    from ambry.llm.huffman_ids import count_ids
+    for kind in (np.uint16, np.uint32):
+        rows = [np.array(x, kind) for x in ([7, 7, 50_000], [], [2], [7, 2])]
+        df = spark.createDataFrame([(x.tobytes(),) for x in rows], "ids binary").coalesce(1)
+        ids, n = count_ids(df.withMetadata("ids", {"bytes": kind().itemsize}))
+        assert ids.tolist() == [2, 7, 50_000] and n.tolist() == [2, 3, 1]
